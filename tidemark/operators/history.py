@@ -166,17 +166,17 @@ def scd2_build(
     return required_and_valid(number_versions(versions, spec, hot, now), spec)
 
 
-def preliminary_currency(versions: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Diagnostics: current flag by "no later version", and how many a key has.
+def preliminary_currency(versions: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+    """Diagnostics: current flag by "no later version", and how many of these a key has.
 
-    Ties aside, the count is 0 or 1 for every key.
+    Only one row of a key has no later one, so the count is 0 or 1.
     """
-    order = [F.col(c).asc_nulls_first() for c in spec.order(versions.columns)]
-    later = F.lead(spec.ts).over(Window.partitionBy(spec.key).orderBy(*order))
-    whole = Window.partitionBy(spec.key)
-    flagged = versions.withColumn("preliminary_current", later.isNull() & ~F.col(spec.deleted))
-    live = F.when(F.col("preliminary_current") & ~F.col(spec.deleted), 1).otherwise(0)
-    return flagged.withColumn("current_record_count", F.sum(live).over(whole))
+    order = spec.order(versions.columns)
+    seen = ordered(versions, spec.key, order, lead={"_later": F.lit(True)}, hot=hot)
+    live = F.col("_later").isNull() & ~F.col(spec.deleted)
+    seen = seen.withColumn("preliminary_current", live).drop("_later")
+    flag = F.when(F.col("preliminary_current"), 1).otherwise(0).cast("bigint")
+    return ordered(seen, spec.key, order, peak={"current_record_count": flag}, hot=hot)
 
 
 def version_tracking(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:

@@ -26,10 +26,15 @@ def read(spark: SparkSession, log: str) -> DataFrame:
         return spark.createDataFrame([], SCHEMA)
 
 
+def latest_marks(log: DataFrame) -> DataFrame:
+    """High-water mark of each job's last successful run."""
+    done = log.filter(F.col("state") == "succeeded")
+    return done.groupBy("job").agg(F.max_by("mark", "recorded_at").alias("mark"))
+
+
 def last_mark(spark: SparkSession, log: str, job: str) -> str | None:
-    """High-water mark of the job's last successful run."""
-    done = read(spark, log).filter((F.col("job") == job) & (F.col("state") == "succeeded"))
-    return done.agg(F.max_by("mark", "recorded_at")).first()[0]
+    found = latest_marks(read(spark, log)).filter(F.col("job") == job).first()
+    return found["mark"] if found else None
 
 
 def has_state(spark: SparkSession, log: str, job: str, run_id: str, state: str) -> bool:
