@@ -101,6 +101,21 @@ def find_hot(
     return HotKeys(df.sparkSession.createDataFrame(rows, schema))
 
 
+def match(
+    left: DataFrame, per_key: DataFrame, key: str, how: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """Join to a table that holds each key at most once.
+
+    Rows of hot keys meet their few counterparts by broadcast instead of being
+    shuffled to one task; ``how`` is inner, left, left_semi or left_anti.
+    """
+    if hot is None:
+        return left.join(per_key, key, how)
+    heavy, light = hot.split(left, key)
+    few, _ = hot.split(per_key, key)
+    return light.join(per_key, key, how).unionByName(heavy.join(F.broadcast(few), key, how))
+
+
 def ordered(
     df: DataFrame,
     key: str,

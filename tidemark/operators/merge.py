@@ -17,7 +17,7 @@ from tidemark.operators.history import (
     required_and_valid,
     scd2_build,
 )
-from tidemark.operators.keyed import HotKeys
+from tidemark.operators.keyed import HotKeys, match
 from tidemark.spec import HistorySpec
 
 BEGINNING = "1900-01-01 00:00:00"
@@ -104,10 +104,12 @@ def merge_update_columns(spec: HistorySpec) -> list[str]:
     return [spec.current, spec.stamp]
 
 
-def seed_versions(target: DataFrame, staged: DataFrame, spec: HistorySpec) -> DataFrame:
+def seed_versions(
+    target: DataFrame, staged: DataFrame, spec: HistorySpec, hot: HotKeys | None = None
+) -> DataFrame:
     """For each staged key, the stored version in force just before its first staged row."""
     firsts = staged.groupBy(spec.key).agg(F.min(spec.ts).alias("_first"))
-    before = target.join(firsts, spec.key).filter(F.col(spec.ts) < F.col("_first"))
+    before = match(target, firsts, spec.key, "inner", hot).filter(F.col(spec.ts) < F.col("_first"))
     order = spec.order([c for c in target.columns if c != spec.sequence])
     kept = [c for c in target.columns if c != spec.key]
     latest = before.groupBy(spec.key).agg(
@@ -132,7 +134,7 @@ def seeded_versions(
     than the key's latest stored version becomes current.  A predecessor whose
     values are not valid was never stored and cannot take part.
     """
-    seeds = seed_versions(target, staged, spec)
+    seeds = seed_versions(target, staged, spec, hot)
     begun = seeds.select(*staged.columns, F.lit(True).alias("_seed"))
     rows = begun.unionByName(staged.withColumn("_seed", F.lit(False)))
     found = detect_changes(rows, spec, hot, track_deletes)
@@ -141,9 +143,9 @@ def seeded_versions(
     base = seeds.select(spec.key, F.col(spec.sequence).alias("_base"))
     stored = target.groupBy(spec.key).agg(F.max(spec.ts).alias("_stored"))
     overtaken = F.coalesce(F.col("_stored") > F.col(spec.ts), F.lit(False))
+    known = base.join(stored, spec.key, "full_outer")
     return (
-        numbered.join(base, spec.key, "left")
-        .join(stored, spec.key, "left")
+        match(numbered, known, spec.key, "left", hot)
         .withColumns(
             {
                 spec.sequence: (F.col(spec.sequence) + F.coalesce("_base", F.lit(0))).cast("int"),
@@ -170,7 +172,7 @@ def derive(
     key is closed only when it got a later version.
     """
     keys = updated_keys(staged, target, spec, per_key)
-    rows = staged.join(keys, spec.key, "left_semi")
+    rows = match(staged, keys, spec.key, "left_semi", hot)
     if not seeded:
         return scd2_build(rows, spec, hot, now=now), keys
     new = seeded_versions(rows, target, spec, hot, now=now)
@@ -276,16 +278,18 @@ def changed_active_rows(
     tracked: Sequence[str],
     ts: str = "lastmodifieddate",
     active: str = "dwh_active_flag",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Active target rows for which the source holds a differing row, with the first such time.
 
     The same rows as joining target and source on the key with ``t.a != s.a or
     t.b != s.b``, but against one source row per key, so no pairs are formed.
     """
-    return _closing(target.filter(active), source, key, tracked, ts).filter(F.col("changed_at").isNotNull())
+    ended = _closing(target.filter(active), source, key, tracked, ts, hot)
+    return ended.filter(F.col("changed_at").isNotNull())
 
 
-def _closing(rows: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], ts: str) -> DataFrame:
+def _closing(rows, source, key: str, tracked: Sequence[str], ts: str, hot: HotKeys | None) -> DataFrame:
     per_key = first_difference(source, key, ts, tracked)
     times = [
         F.when(F.col(c).cast("string") != F.col(f"_value_{c}"), F.col(f"_first_{c}")).when(
@@ -294,7 +298,7 @@ def _closing(rows: DataFrame, source: DataFrame, key: str, tracked: Sequence[str
         for c in tracked
     ]
     at = F.least(*times) if len(times) > 1 else times[0]
-    joined = rows.join(per_key, key, "left").withColumn("changed_at", at)
+    joined = match(rows, per_key, key, "left", hot).withColumn("changed_at", at)
     return joined.select(*rows.columns, "changed_at")
 
 
@@ -309,10 +313,11 @@ def dim_changes(
     key: str = "id",
     ts: str = "lastmodifieddate",
     tracked: Sequence[str] = ("division", "audit_phase__c"),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Closed rows and inserted rows of one incremental pass."""
     latest = newer_than_target(staged, target, ts)
-    closed = changed_active_rows(target, latest, key, tracked, ts)
+    closed = changed_active_rows(target, latest, key, tracked, ts, hot=hot)
     closed = closed.withColumns({"dwh_end_ts": F.col("changed_at"), "dwh_active_flag": F.lit(False)})
     return closed.drop("changed_at").unionByName(dim_full(latest, ts))
 
@@ -323,6 +328,7 @@ def dim_merge(
     key: str = "id",
     ts: str = "lastmodifieddate",
     tracked: Sequence[str] = ("division", "audit_phase__c"),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The target after an incremental pass: rows closed in place, new rows added.
 
@@ -330,7 +336,7 @@ def dim_merge(
     join is needed.
     """
     latest = newer_than_target(staged, target, ts)
-    ended = _closing(target, latest, key, tracked, ts)
+    ended = _closing(target, latest, key, tracked, ts, hot)
     close = F.col("dwh_active_flag") & F.col("changed_at").isNotNull()
     kept = ended.withColumns(
         {

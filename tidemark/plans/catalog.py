@@ -14,7 +14,7 @@ from tidemark.operators import checks, history, merge, metrics, report, serve, s
 from tidemark.operators.keyed import HotKeys, find_hot
 from tidemark.operators.metrics import AlarmRule
 from tidemark.plans import expected as sql, feeds, pipeline
-from tidemark.session import scratch
+from tidemark.session import scratch, written
 from tidemark.sources import landing, runs, tables
 from tidemark.spec import AUDIT_PHASES, DIVISIONS, USERS
 from tidemark.streaming.history import stream_scd2, stream_table
@@ -65,7 +65,13 @@ class Feed:
 
     @cached_property
     def hot(self) -> HotKeys | None:
-        return find_hot(self.rows, USERS.key, USERS.ts)
+        # Two columns of the raw feed are enough; staging only ever drops rows.
+        return find_hot(self.raw, "id", "lastmodifieddate")
+
+    @cached_property
+    def old(self) -> DataFrame:
+        """The stored history of all rows before the split."""
+        return written(self.build(self.before(SPLIT)), "old")
 
     @cached_property
     def dim(self) -> DataFrame:
@@ -710,14 +716,14 @@ _KEYS = "keys as (select distinct user_id from src where update_date > (select m
 @query(sql.with_(*_OLD_DIM, _KEYS, select="select * from keys"))
 def updated_keys(spark, d):
     f = Feed(spark, d)
-    return merge.updated_keys(f.rows, f.build(f.before(SPLIT)), USERS)
+    return merge.updated_keys(f.rows, f.old, USERS)
 
 
 @query(sql.with_(*_OLD_DIM, select="""select user_id from src group by user_id
 having max(update_date) > coalesce((select max(o.update_date) from old o where o.user_id = src.user_id), timestamp '1900-01-01')"""))
 def updated_keys_per_key(spark, d):
     f = Feed(spark, d)
-    return merge.updated_keys(f.rows, f.build(f.before(SPLIT)), USERS, per_key=True)
+    return merge.updated_keys(f.rows, f.old, USERS, per_key=True)
 
 
 _PARTIAL = sql.dim("new", "new_src")
@@ -729,16 +735,16 @@ _CLOSED = """closed as (select * replace (false as is_current) from old
 def closed_versions(spark, d):
     """A staging of the recent rows only closes the current versions it replaces."""
     f = Feed(spark, d)
-    old, recent = f.build(f.before(SPLIT)), f.since(SPLIT)
-    keys = merge.updated_keys(recent, old, USERS)
-    return merge.close_versions(old, keys, USERS, f.build(recent), now())
+    recent = f.since(SPLIT)
+    keys = merge.updated_keys(recent, f.old, USERS)
+    return merge.close_versions(f.old, keys, USERS, f.build(recent), now())
 
 
 @query(sql.with_(sql.DIM, select="select * from dim"))
 def scd2_merge(spark, d):
     """Two batches merged equal one full build."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.build(f.before(SPLIT)), f.rows, USERS, hot=f.hot, now=now())
+    return merge.scd2_merge(f.old, f.rows, USERS, hot=f.hot, now=now())
 
 
 @query(sql.with_(*_OLD_DIM, _KEYS, _PARTIAL, _CLOSED, select="""select * from old where _scd_id not in (select _scd_id from closed)
@@ -746,7 +752,7 @@ union all select * from closed union all select * from new"""))
 def scd2_merge_partial(spark, d):
     """Recent rows only, without continuing from the stored history."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.build(f.before(SPLIT)), f.since(SPLIT), USERS, hot=f.hot, now=now())
+    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, hot=f.hot, now=now())
 
 
 _SEEDED = f"""first_new as (select user_id, min(update_date) as first_date from new_src group by user_id),
@@ -771,7 +777,7 @@ union all select * from closed union all select * from new"""))
 def lookback_seeded(spark, d):
     """Recent rows only, continued from the stored history."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.build(f.before(SPLIT)), f.since(SPLIT), USERS, hot=f.hot, seeded=True, now=now())
+    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, hot=f.hot, seeded=True, now=now())
 
 
 @query(sql.with_(*_OLD_DIM, sql.dim(), select="""select count(*) filter (where o._scd_id is null and not n.is_deleted) as records_created,
@@ -780,8 +786,7 @@ def lookback_seeded(spark, d):
 from dim n left join old o on n._scd_id = o._scd_id"""))
 def merge_stats(spark, d):
     f = Feed(spark, d)
-    old = f.build(f.before(SPLIT))
-    return merge.merge_stats(old, merge.scd2_changes(old, f.rows, USERS, hot=f.hot, now=now()), USERS)
+    return merge.merge_stats(f.old, merge.scd2_changes(f.old, f.rows, USERS, hot=f.hot, now=now()), USERS)
 
 
 @query(sql.with_(sql.DIM, select="select * from dim"))
@@ -825,7 +830,8 @@ from t {kind} join ends e on t.id = e.id and t.lastmodifieddate = e.lastmodified
 def _second(spark, d) -> tuple[DataFrame, DataFrame]:
     staged = Feed(spark, d).staged
     at = F.lit(SPLIT).cast("timestamp_ntz")
-    return merge.dim_full(staged.filter(F.col("lastmodifieddate") < at)), staged
+    old = merge.dim_full(staged.filter(F.col("lastmodifieddate") < at))
+    return written(old, "second"), staged
 
 
 @query(sql.with_(*_SECOND, select=f"{_ENDED.format(kind='left')} union all select {_FULL} from latest"))

@@ -85,7 +85,7 @@ def run_pipeline(
     paths, began = Paths(root), datetime.now(timezone.utc)
     pulled = ingest(spark, source, paths, run_id, now)
     result = {"run_id": run_id, "pulled": pulled}
-    if not tables.exists(spark, paths.raw):
+    if tables.stored_schema(spark, paths.raw) is None:
         return result
     raw = tables.read_raw(spark, paths.raw)
     batch = raw.filter(F.col("_extraction_run_id") == run_id)

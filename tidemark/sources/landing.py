@@ -72,10 +72,11 @@ def stamp_extraction(df: DataFrame, run_id: str | Column, now: Column | None = N
 def lookback(raw: DataFrame, as_of, days: int = 7, extracted: str = "_extracted_at", partition: str = "_extracted_date") -> DataFrame:
     """Extracts of the last ``days`` days before ``as_of``, to catch late rows.
 
-    The date partition is compared as well, so older partitions are not listed or read.
+    The date partition is compared as well, so older partitions are not read; it gets
+    a day of slack, since a run around midnight may file rows under either date.
     """
     start = F.date_sub(moment(raw, extracted, as_of).cast("date"), days)
     rows = raw.filter(F.col(extracted) >= start.cast(raw.schema[extracted].dataType))
     if partition in raw.columns:
-        rows = rows.filter(F.col(partition) >= F.date_format(start, "yyyy-MM-dd"))
+        rows = rows.filter(F.col(partition) >= F.date_format(F.date_sub(start, 1), "yyyy-MM-dd"))
     return rows

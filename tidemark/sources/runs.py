@@ -44,17 +44,22 @@ def has_state(spark: SparkSession, log: str, job: str, run_id: str, state: str)
     return not rows.isEmpty()
 
 
-def unfinished(spark: SparkSession, log: str, job: str) -> list[tuple[str, str]]:
-    """(run id, staged path) of runs that were staged but never applied, oldest first."""
+def standing(spark: SparkSession, log: str, job: str, run_id: str) -> tuple[bool, list[tuple[str, str]]]:
+    """(whether ``run_id`` was applied, runs staged but never applied, oldest first).
+
+    One look at the log; unfinished runs come as (run id, staged path).
+    """
     states = read(spark, log).filter(F.col("job") == job)
-    open_runs = (
+    found = (
         states.groupBy("run_id")
         .agg(
             F.bool_or(F.col("state") == "applied").alias("done"),
             F.max(F.when(F.col("state") == "staged", F.col("path"))).alias("path"),
             F.min("recorded_at").alias("at"),
         )
-        .filter(~F.col("done") & F.col("path").isNotNull())
-        .orderBy("at")
+        .filter((F.col("run_id") == run_id) | (~F.col("done") & F.col("path").isNotNull()))
+        .collect()
     )
-    return [(r["run_id"], r["path"]) for r in open_runs.collect()]
+    open_runs = sorted((r for r in found if not r["done"] and r["path"]), key=lambda r: r["at"])
+    done = any(r["run_id"] == run_id and (r["done"] or r["path"]) for r in found)
+    return done, [(r["run_id"], r["path"]) for r in open_runs]

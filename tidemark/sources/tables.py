@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.ids import bucket_of
 from tidemark.functions.times import micros
 from tidemark.operators.history import scd2_build
-from tidemark.operators.keyed import HotKeys
+from tidemark.operators.keyed import HotKeys, match
 from tidemark.operators.merge import (
     close_versions,
     combine,
@@ -110,22 +110,23 @@ def _parts_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*plain, T.StructField(BUCKET, T.IntegerType()), T.StructField(PERIOD, T.IntegerType())])
 
 
-def _read_parts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_parts_schema(spark.read.parquet(path).schema)).parquet(path)
+def _read_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    schema = schema or spark.read.parquet(path).schema
+    return spark.read.schema(_parts_schema(schema)).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return _read_parts(spark, path).drop(BUCKET, PERIOD)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Schema of a stored table, None if there is none yet."""
     try:
-        spark.read.parquet(path)
+        return spark.read.parquet(path).schema
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
 
 
 def _only(df: DataFrame, parts: DataFrame) -> DataFrame:
@@ -139,21 +140,23 @@ def _log(path: str) -> str:
     return path.rstrip("/") + "_runs"
 
 
-def _apply(spark: SparkSession, path: str, run_id: str, staged: str) -> None:
+def _apply(spark: SparkSession, path: str, run_id: str, staged: str, schema=None) -> None:
     """Replace directories of the table by the staged ones; doing it twice is harmless."""
-    rows = _read_parts(spark, staged)
+    rows = _read_parts(spark, staged, schema)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         BUCKET, PERIOD
     ).parquet(path)
     runs.record(spark, _log(path), MERGE, run_id, "applied")
 
 
-def recover(spark: SparkSession, path: str) -> list[str]:
-    """Finish merges that were staged but not applied when their driver was lost."""
-    done = []
-    for run_id, staged in runs.unfinished(spark, _log(path), MERGE):
-        _apply(spark, path, run_id, staged)
-        done.append(run_id)
+def recover(spark: SparkSession, path: str, run_id: str = "") -> bool:
+    """Finish merges that were staged but not applied when their driver was lost.
+
+    Returns whether ``run_id`` is applied.
+    """
+    done, left = runs.standing(spark, _log(path), MERGE, run_id)
+    for other, staged in left:
+        _apply(spark, path, other, staged)
     return done
 
 
@@ -162,7 +165,7 @@ def _replace(df: DataFrame, path: str, run_id: str) -> None:
     staged = scratch(spark, "staged")
     _write_parts(df, staged, dynamic=False)
     runs.record(spark, _log(path), MERGE, run_id, "staged", path=staged)
-    _apply(spark, path, run_id, staged)
+    _apply(spark, path, run_id, staged, df.schema)
 
 
 def merge_into(
@@ -185,14 +188,12 @@ def merge_into(
     Versions whose current flag stays as it is are not touched.
     """
     run_id = run_id or uuid.uuid4().hex
-    recover(spark, path)
-    none = {"records_created": 0, "records_updated": 0, "records_deleted": 0}
-    if runs.has_state(spark, _log(path), MERGE, run_id, "applied"):
-        return none
-
-    if not exists(spark, path):
+    if recover(spark, path, run_id):
+        return {"records_created": 0, "records_updated": 0, "records_deleted": 0}
+    schema = stored_schema(spark, path)
+    if schema is None:
         return _first_load(path, staged, spec, run_id, layout, hot, now)
-    table = _read_parts(spark, path)
+    table = _read_parts(spark, path, schema)
     # At most layout.buckets numbers.
     used = staged.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
     near = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])) if used else table.limit(0)
@@ -202,7 +203,7 @@ def merge_into(
     if not per_key:
         mark = high_water_mark(table, spec.ts).scalar()
         newer = rows.filter(F.col(spec.ts) > mark).select(spec.key).distinct()
-        rows = rows.join(newer, spec.key, "left_semi")
+        rows = match(rows, newer, spec.key, "left_semi", hot)
     new, keys = derive(target, rows, spec, hot=hot, seeded=seeded, per_key=True, now=now)
     new = written(new, "new")
     closed = close_versions(target, keys, spec, new, now)
