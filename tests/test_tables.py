@@ -185,7 +185,7 @@ def test_stream_equals_batch(spark, small, tmp_path):
     from tidemark.operators import staging
 
     source, target, cp = (str(tmp_path / n) for n in ("events", "target", "cp"))
-    events = _event_files(spark, small, source, 3)
+    events = _event_files(spark, small, source, 2)
 
     def prepare(batch):
         rows = staging.to_history_names(staging.stage_users(feeds.raw_from(batch)))

@@ -22,7 +22,7 @@ def rows(spark, *changes, key="K"):
     for c in changes:
         k, t, division, deleted = c if len(c) == 4 else (key, *c)
         data.append((k, f"name {k}", division, "Phase1", True, at(t), deleted, at(t), "r"))
-    return spark.createDataFrame(data, SCHEMA)
+    return spark.createDataFrame(data, SCHEMA).coalesce(1)
 
 
 def build(df, hot=None, **options):

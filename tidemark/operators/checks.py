@@ -197,18 +197,21 @@ def dq_profile(
     max_null: float = 0.05,
     max_duplicate: float = 0.01,
     min_success: float = 0.95,
+    digest: bool = False,
 ) -> DataFrame:
     """Null share per column, duplicate share of the key, and success rate, against limits.
 
     One row per measure: (measure, value, threshold, passed).  ``success_rate`` is
-    the share of rows with no NULL in ``columns``.
+    the share of rows with no NULL in ``columns``.  ``digest`` is for keys that are
+    long texts: their SHA-256 is shuffled in their place.
     """
     n = F.count(F.lit(1))
     complete = F.lit(True)
     for c in columns:
         complete = complete & F.col(c).isNotNull()
     # Count the copies of every key first (map-side), then roll everything up.
-    per_key = df.groupBy(*key).agg(
+    by = [F.sha2(F.col(c).cast("string"), 256).alias(f"_key_{c}") if digest else F.col(c) for c in key]
+    per_key = df.groupBy(*by).agg(
         n.alias("_n"),
         F.count_if(complete).alias("_complete"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)],

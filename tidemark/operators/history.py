@@ -82,9 +82,7 @@ def collapse_copies(df: DataFrame, spec: HistorySpec) -> DataFrame:
 
 
 def required_and_valid(df: DataFrame, spec: HistorySpec) -> DataFrame:
-    for c in (spec.key, *spec.required, spec.ts):
-        df = df.filter(F.col(c).isNotNull())
-    return in_lists(df, spec.valid)
+    return in_lists(df.dropna(subset=[spec.key, *spec.required, spec.ts]), spec.valid)
 
 
 def is_current(ts: Column, latest: Column, deleted: Column) -> Column:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.times import micros
+from tidemark.session import small_table
 
 CELL = "_cell"
 
@@ -98,7 +99,7 @@ def find_hot(
             T.StructField("_last", T.LongType()),
         ]
     )
-    return HotKeys(df.sparkSession.createDataFrame(rows, schema))
+    return HotKeys(small_table(df.sparkSession, rows, schema))
 
 
 def match(

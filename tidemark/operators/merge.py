@@ -77,9 +77,7 @@ def _to_close(target: DataFrame, keys: DataFrame, spec: HistorySpec) -> DataFram
 
 def combine(closed: DataFrame, new: DataFrame, spec: HistorySpec) -> DataFrame:
     rows = closed.unionByName(new, allowMissingColumns=True)
-    for c in (spec.key, *spec.required, spec.ts, spec.version_id):
-        rows = rows.filter(F.col(c).isNotNull())
-    return rows
+    return rows.dropna(subset=[spec.key, *spec.required, spec.ts, spec.version_id])
 
 
 def merge_on_key(
@@ -163,15 +161,16 @@ def derive(
     hot: HotKeys | None = None,
     seeded: bool = False,
     per_key: bool = False,
+    keys: DataFrame | None = None,
     now: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(versions of the updated keys, keys whose current version is to be closed).
 
     Versions are derived for updated keys only; the other keys' cannot differ.
-    ``seeded`` is for a staging that holds just the recent rows of a key: there a
+    ``keys`` are the updated keys if they are known.  ``seeded`` is for a staging that holds just the recent rows of a key: there a
     key is closed only when it got a later version.
     """
-    keys = updated_keys(staged, target, spec, per_key)
+    keys = updated_keys(staged, target, spec, per_key) if keys is None else keys
     rows = match(staged, keys, spec.key, "left_semi", hot)
     if not seeded:
         return scd2_build(rows, spec, hot, now=now), keys
@@ -199,10 +198,7 @@ def scd2_merge(target: DataFrame, staged: DataFrame, spec: HistorySpec, **option
     new, keys = derive(target, staged, spec, **options)
     now = options.get("now")
     stamp = F.current_timestamp() if now is None else now
-    closing = _to_close(target, keys, spec)
-    for c in spec.required:
-        closing = closing.filter(F.col(c).isNotNull())
-    closing = closing.select(spec.version_id, F.lit(True).alias("_close"))
+    closing = closing_ids(target, keys, spec)
     closed = target.join(closing, spec.version_id, "left").withColumns(
         {
             spec.current: F.col(spec.current) & F.col("_close").isNull(),
@@ -214,6 +210,12 @@ def scd2_merge(target: DataFrame, staged: DataFrame, spec: HistorySpec, **option
     )
 
 
+def closing_ids(target: DataFrame, keys: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Ids of the current versions of ``keys``, marked ``_close``."""
+    old = _to_close(target, keys, spec).dropna(subset=[spec.key, *spec.required])
+    return old.select(spec.version_id, F.lit(True).alias("_close"))
+
+
 def merge_stats(target: DataFrame, changes: DataFrame, spec: HistorySpec) -> DataFrame:
     """Counts of a merge: versions created, versions whose flag moves, delete versions."""
     have = target.select(spec.version_id, F.col(spec.current).alias("_was"))

@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.times import moment
+from tidemark.session import small_table
 
 
 @dataclass(frozen=True)
@@ -80,7 +81,7 @@ def fill_missing(
     if names is None:
         metrics = windows.select("metric").distinct()
     else:
-        metrics = spark.createDataFrame([(n,) for n in names], "metric string")
+        metrics = small_table(spark, [(n,) for n in names], "metric string")
     first, last = moment(windows, "window_start", start), moment(windows, "window_start", end)
     step = F.expr(f"interval {int(period)} seconds")
     spine = metrics.select("metric", F.explode(F.sequence(first, last - step, step)).alias("window_start"))
@@ -93,7 +94,7 @@ def rule_table(spark, rules: Sequence[AlarmRule]) -> DataFrame:
         "threshold double, periods int, missing string, severity string"
     )
     rows = [tuple({**asdict(r), "threshold": float(r.threshold)}.values()) for r in rules]
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, rows, schema)
 
 
 def evaluate_rules(windows: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:

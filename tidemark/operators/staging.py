@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.clean import default_false, is_blank, standardize_enum
 from tidemark.functions.times import moment
+from tidemark.session import small_table
 from tidemark.spec import AUDIT_PHASES, DIVISIONS, USER_COLUMNS
 
 
@@ -30,11 +33,8 @@ def clean_rows(
 
 
 def quality_filter(df: DataFrame, not_blank: Sequence[str], not_null: Sequence[str]) -> DataFrame:
-    for c in not_blank:
-        df = df.filter(~is_blank(c))
-    for c in not_null:
-        df = df.filter(F.col(c).isNotNull())
-    return df
+    tests = [~is_blank(c) for c in not_blank] + [F.col(c).isNotNull() for c in not_null]
+    return df.filter(reduce(and_, tests))
 
 
 def stage_users(raw: DataFrame) -> DataFrame:
@@ -56,9 +56,8 @@ def to_history_names(staged: DataFrame) -> DataFrame:
 
 
 def in_lists(df: DataFrame, valid: Mapping[str, Iterable[str]]) -> DataFrame:
-    for c, values in valid.items():
-        df = df.filter(F.col(c).isin(*values))
-    return df
+    tests = [F.col(c).isin(*values) for c, values in valid.items()]
+    return df.filter(reduce(and_, tests)) if tests else df
 
 
 def between_dates(df: DataFrame, ts: str, start, end) -> DataFrame:
@@ -90,6 +89,5 @@ def schema_changes(target: DataFrame, source: DataFrame) -> DataFrame:
     rows = [(c, "added", None, new[c]) for c in new if c not in old]
     rows += [(c, "removed", old[c], None) for c in old if c not in new]
     rows += [(c, "retyped", old[c], new[c]) for c in new if c in old and old[c] != new[c]]
-    return source.sparkSession.createDataFrame(
-        sorted(rows), "column_name string, change string, old_type string, new_type string"
-    )
+    schema = "column_name string, change string, old_type string, new_type string"
+    return small_table(source.sparkSession, sorted(rows), schema)

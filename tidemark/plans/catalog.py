@@ -583,7 +583,7 @@ _DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
        "select 'success_rate', round(complete / n, 6), 0.95::double, complete / n >= 0.95 from p"]))
 def dq_profile(spark, d):
     """Document rows: NULL shares, and the share of documents whose text is a copy."""
-    return checks.dq_profile(feeds.table(spark, d, "documents"), _DOC_COLUMNS, ["text"])
+    return checks.dq_profile(feeds.table(spark, d, "documents"), _DOC_COLUMNS, ["text"], digest=True)
 
 
 @query(sql.with_(sql.USERS, select=f"""select rule, violations, violations = 0 as passed from (

@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidema
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,3 +44,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A handful of driver-side rows as one partition, not one per core of the cluster."""
+    return spark.createDataFrame(rows, schema).coalesce(1)

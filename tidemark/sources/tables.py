@@ -13,20 +13,20 @@ from tidemark.functions.times import micros
 from tidemark.operators.history import scd2_build
 from tidemark.operators.keyed import HotKeys, match
 from tidemark.operators.merge import (
-    close_versions,
-    combine,
+    closing_ids,
     derive,
-    high_water_mark,
     merge_on_key,
     merge_update_columns,
+    updated_keys,
 )
-from tidemark.session import scratch, written
+from tidemark.session import scratch, small_table, written
 from tidemark.sources import runs
 from tidemark.spec import HistorySpec
 
 BUCKET, PERIOD = "_bucket", "_period"
 DAY = 86_400_000_000
 MERGE = "merge"
+COUNTS = ("records_created", "records_updated", "records_deleted")
 
 
 # Plain sinks.
@@ -129,11 +129,10 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
         raise
 
 
-def _only(df: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of the given directories.  Their names come to the driver (never more than
-    the table has directories) so that the filter prunes the file listing."""
-    names = [f"{b}/{p}" for b, p in parts.select(BUCKET, PERIOD).distinct().collect()]
-    return df.filter(F.concat_ws("/", BUCKET, PERIOD).isin(*names)) if names else df.limit(0)
+def _only(df: DataFrame, parts: list) -> DataFrame:
+    """Rows of the given directories, as a filter that prunes the files read."""
+    names = [f"{p[BUCKET]}/{p[PERIOD]}" for p in parts]
+    return df.filter(F.concat_ws("/", BUCKET, PERIOD).isin(*names))
 
 
 def _log(path: str) -> str:
@@ -189,7 +188,7 @@ def merge_into(
     """
     run_id = run_id or uuid.uuid4().hex
     if recover(spark, path, run_id):
-        return {"records_created": 0, "records_updated": 0, "records_deleted": 0}
+        return dict.fromkeys(COUNTS, 0)
     schema = stored_schema(spark, path)
     if schema is None:
         return _first_load(path, staged, spec, run_id, layout, hot, now)
@@ -197,30 +196,23 @@ def merge_into(
     # At most layout.buckets numbers.
     used = staged.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
     near = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])) if used else table.limit(0)
-    # The overall mark needs the whole table's latest time, the rest only near buckets.
-    target = near.drop(BUCKET, PERIOD)
-    rows = staged
-    if not per_key:
-        mark = high_water_mark(table, spec.ts).scalar()
-        newer = rows.filter(F.col(spec.ts) > mark).select(spec.key).distinct()
-        rows = match(rows, newer, spec.key, "left_semi", hot)
-    new, keys = derive(target, rows, spec, hot=hot, seeded=seeded, per_key=True, now=now)
-    new = written(new, "new")
-    closed = close_versions(target, keys, spec, new, now)
-    have = target.select(spec.version_id, F.col(spec.current).alias("_was"))
-    changed = F.col("_was").isNull() | (F.col("_was") != F.col(spec.current))
-    changes = combine(closed, new, spec).join(have, spec.version_id, "left").filter(changed)
-    changes = written(layout.place(changes, spec), "changes")
-
-    fresh = F.col("_was").isNull()
-    counts = changes.agg(
-        F.count_if(fresh & ~F.col(spec.deleted)).alias("records_created"),
+    # The overall mark is the whole table's; all the rest needs only the near buckets.
+    keys = updated_keys(staged, near if per_key else table, spec, per_key)
+    new, closers = derive(near.drop(BUCKET, PERIOD), staged, spec, hot, seeded, keys=keys, now=now)
+    theirs = match(near, keys, spec.key, "left_semi", hot)
+    changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now), "changes")
+
+    fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
+    # One row per directory to rewrite; never more than the table has directories.
+    parts = changes.groupBy(BUCKET, PERIOD).agg(
+        F.count_if(fresh & ~gone).alias("records_created"),
         F.count_if(~fresh).alias("records_updated"),
-        F.count_if(fresh & F.col(spec.deleted)).alias("records_deleted"),
-    ).first().asDict()
-    if any(counts.values()):
+        F.count_if(fresh & gone).alias("records_deleted"),
+    ).collect()
+    counts = {c: sum(p[c] for p in parts) for c in COUNTS}
+    if parts:
         merged = merge_on_key(
-            _only(table, changes), changes.drop("_was"), [spec.version_id], merge_update_columns(spec)
+            _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec)
         )
         _replace(merged, path, run_id)
     else:
@@ -228,6 +220,36 @@ def merge_into(
     return counts
 
 
+def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now) -> DataFrame:
+    """Versions to insert, and stored ones whose current flag moves (``_was`` is the old flag).
+
+    A version that is derived again is not closed on top of that.  Everything meets
+    on the version id, so the derived versions are computed and shuffled once.
+    """
+    place = [spec.version_id, spec.current, BUCKET, PERIOD]
+    closing = closing_ids(stored, closers, spec)
+    have = stored.select(*[F.col(c).alias(f"_old_{c}") for c in place], spec.deleted)
+    have = have.withColumnsRenamed({f"_old_{spec.version_id}": spec.version_id, spec.deleted: "_old_deleted"})
+    have = have.join(closing, spec.version_id, "left")
+    both = new.withColumn("_new", F.lit(True)).join(have, spec.version_id, "full_outer")
+    flag = F.when(F.col("_new"), F.col(spec.current)).otherwise(
+        F.col(f"_old_{spec.current}") & F.col("_close").isNull()
+    )
+    was = F.col(f"_old_{spec.current}")
+    out = {c: F.coalesce(F.col(c), F.col(f"_old_{c}")) for c in (BUCKET, PERIOD)}
+    out |= {
+        spec.current: flag,
+        spec.stamp: F.current_timestamp() if now is None else now,
+        spec.deleted: F.coalesce(F.col(spec.deleted), F.col("_old_deleted")),
+        "_was": was,
+    }
+    return (
+        both.withColumns(out)
+        .filter(F.col("_was").isNull() | (F.col("_was") != F.col(spec.current)))
+        .select(*new.columns, "_was")
+    )
+
+
 def _first_load(path, staged, spec, run_id, layout, hot, now) -> dict[str, int]:
     spark = staged.sparkSession
     write_history(scd2_build(staged, spec, hot, now=now), path, spec, layout)
@@ -258,16 +280,17 @@ def compact(
     )
     want = F.greatest(F.ceil(F.col("size") / target_bytes), F.lit(1))
     cold = files.filter(F.col("stamped") < F.lit(older_than).cast(table.schema[spec.stamp].dataType))
-    parts = written(cold.filter(F.col("n") > want).select(BUCKET, PERIOD, want.alias("_files")), "cold")
-    n, total = parts.agg(F.count(F.lit(1)), F.coalesce(F.sum("_files"), F.lit(0))).first()
-    if not n:
-        return 0
     # One row per directory; the same bound as the file listing.
+    parts = cold.filter(F.col("n") > want).select(BUCKET, PERIOD, want.cast("int").alias("_files")).collect()
+    if not parts:
+        return 0
+    wanted = small_table(spark, parts, f"{BUCKET} int, {PERIOD} int, _files int")
     slot = F.pmod(F.xxhash64(spec.version_id), F.col("_files"))
-    rows = _only(table, parts).join(F.broadcast(parts), [BUCKET, PERIOD]).withColumn("_slot", slot)
-    spread = rows.repartition(int(total), BUCKET, PERIOD, "_slot").drop("_slot", "_files")
+    rows = _only(table, parts).join(F.broadcast(wanted), [BUCKET, PERIOD]).withColumn("_slot", slot)
+    total = sum(p["_files"] for p in parts)
+    spread = rows.repartition(total, BUCKET, PERIOD, "_slot").drop("_slot", "_files")
     run_id, staged = f"compact-{uuid.uuid4().hex}", scratch(spark, "staged")
     spread.write.partitionBy(BUCKET, PERIOD).parquet(staged)
     runs.record(spark, _log(path), MERGE, run_id, "staged", path=staged)
     _apply(spark, path, run_id, staged)
-    return n
+    return len(parts)
