@@ -19,8 +19,8 @@ def moment(df: DataFrame, column: str, value) -> Column:
 def micros(df: DataFrame, column: str) -> Column:
     """Microseconds since 1970; for TIMESTAMP_NTZ without going through a time zone."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        since = f"cast(`{column}` - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
-        return F.expr(f"cast(cast({since} as decimal(20, 6)) * 1000000 as bigint)")
+        since = f"(`{column}` - timestamp_ntz'1970-01-01 00:00:00')"
+        return F.expr(f"{since} div interval '0.000001' second")
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 

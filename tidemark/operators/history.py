@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.clean import default_false
 from tidemark.functions.ids import hash_id, version_id
-from tidemark.operators.keyed import HotKeys, ordered
+from tidemark.operators.keyed import CELL, HotKeys, cell_edges, ordered
 from tidemark.operators.staging import in_lists
 from tidemark.session import written
 from tidemark.spec import HistorySpec
@@ -28,27 +28,28 @@ def _changed(df: DataFrame, column: str) -> Column:
     return now.isNotNull() & (before.isNull() | (now != before))
 
 
-def with_previous(df: DataFrame, spec: HistorySpec, columns: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
-    """Add ``rn`` and, for each column, its value on the key's row before."""
-    return ordered(
-        df,
-        spec.key,
-        spec.order(df.columns),
-        lag={prev(c): F.col(c) for c in columns},
-        number="rn",
-        hot=hot,
-    )
-
-
 def detect_changes(
-    df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None, track_deletes: bool = False
+    df: DataFrame,
+    spec: HistorySpec,
+    hot: HotKeys | None = None,
+    track_deletes: bool = False,
+    **cells,
 ) -> DataFrame:
     """Flag rows that open a version: the first of a key, and any with a tracked change.
 
-    ``track_deletes`` also opens one when the delete marker flips.
+    Adds ``rn``, the values on the key's row before, and the flag.
+    ``track_deletes`` also opens a version when the delete marker flips.
     """
     watched = [*spec.tracked, spec.ts, *([spec.deleted] if track_deletes else [])]
-    seen = with_previous(df, spec, watched, hot)
+    seen = ordered(
+        df,
+        spec.key,
+        spec.order(df.columns),
+        lag={prev(c): F.col(c) for c in watched},
+        number="rn",
+        hot=hot,
+        **cells,
+    )
     flag = F.when(F.col("rn") == 1, True)
     for c in spec.tracked:
         flag = flag.when(_changed(seen, c), True)
@@ -117,8 +118,7 @@ def number_versions(
 ) -> DataFrame:
     """Turn version-opening rows into dimension rows: ids, sequence and current flag."""
     rows = versions.withColumn(spec.deleted, default_false(spec.deleted))
-    payload = [c for c in rows.columns if c not in (spec.surrogate, spec.version_id)]
-    rows = ordered(
+    numbered = ordered(
         rows,
         spec.key,
         spec.order(rows.columns),
@@ -126,12 +126,16 @@ def number_versions(
         peak={"_latest": F.col(spec.ts)},
         hot=hot,
     )
-    return rows.select(
-        hash_id(rows, [spec.key, spec.ts]).alias(spec.surrogate),
+    return _dimension_rows(numbered, rows.columns, spec, now)
+
+
+def _dimension_rows(numbered: DataFrame, payload: Sequence[str], spec: HistorySpec, now) -> DataFrame:
+    return numbered.select(
+        hash_id(numbered, [spec.key, spec.ts]).alias(spec.surrogate),
         *payload,
         is_current(F.col(spec.ts), F.col("_latest"), F.col(spec.deleted)).alias(spec.current),
         (F.current_timestamp() if now is None else now).alias(spec.stamp),
-        version_id(rows, spec.key, spec.ts, spec.tracked, spec.deleted).alias(spec.version_id),
+        version_id(numbered, spec.key, spec.ts, spec.tracked, spec.deleted).alias(spec.version_id),
         spec.sequence,
     )
 
@@ -150,18 +154,41 @@ def scd2_build(
     Rows with values outside ``spec.valid`` take part in both and are left out at
     the end, so a key whose latest version is invalid has no current row; pass
     ``filter_first`` to leave them out at the start instead.
+
+    Rows of hot keys go a way of their own, the others are not held up by it.
     """
-    columns = df.columns
     if filter_first:
         df = required_and_valid(df, spec)
+    light = df
     if hot is not None:
         heavy, light = hot.split(df, spec.key)
-        df = light.unionByName(collapse_copies(heavy, spec))
-    versions = change_feed(df, spec, hot, track_deletes).select(*columns)
+    versions = change_feed(light, spec, track_deletes=track_deletes).select(*df.columns)
+    dim = number_versions(versions, spec, now=now)
     if hot is not None:
-        # The hot path reads its input twice; do not detect the changes twice.
-        versions = written(versions, "versions")
-    return required_and_valid(number_versions(versions, spec, hot, now), spec)
+        dim = dim.unionByName(_build_hot(heavy, spec, hot, track_deletes, now))
+    return required_and_valid(dim, spec)
+
+
+def _build_hot(heavy: DataFrame, spec: HistorySpec, hot: HotKeys, track_deletes: bool, now) -> DataFrame:
+    """Versions of hot keys, cell by cell: one shuffle and one sort by (key, cell).
+
+    The sequence in a cell needs the number of versions in the cells before, so the
+    versions are written once, with their place in the cell, and then completed by
+    a broadcast of the cells' totals.
+    """
+    found = detect_changes(
+        collapse_copies(heavy, spec), spec, hot, track_deletes, summary_of=heavy, keep_cell=True
+    ).filter(NEEDED)
+    rows = found.select(*heavy.columns, CELL).withColumn(spec.deleted, default_false(spec.deleted))
+    order = spec.order(heavy.columns)
+    in_cell = Window.partitionBy(spec.key, CELL).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    versions = written(rows.withColumn("_at", F.row_number().over(in_cell)), "versions")
+    totals = cell_edges(versions, spec.key, order, {}, {}, {}, {"_latest": F.col(spec.ts)})
+    sequence = (F.col("_at") + F.coalesce("_skip", F.lit(0))).cast("int")
+    numbered = versions.join(
+        F.broadcast(totals.select(spec.key, CELL, "_skip", "_top__latest")), [spec.key, CELL]
+    ).withColumns({spec.sequence: sequence, "_latest": F.col("_top__latest")})
+    return _dimension_rows(numbered, heavy.columns, spec, now)
 
 
 def preliminary_currency(versions: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:

@@ -128,6 +128,8 @@ def ordered(
     number: str | None = None,
     peak: Mapping[str, Column] | None = None,
     hot: HotKeys | None = None,
+    summary_of: DataFrame | None = None,
+    keep_cell: bool = False,
 ) -> DataFrame:
     """Add columns computed along each key's rows in ``order`` (ascending, NULLs first).
 
@@ -135,7 +137,9 @@ def ordered(
     fill    last non-null value up to the row  number position, from 1
     peak    maximum over all rows of the key
 
-    ``order`` starts with the time column and should be a total order.
+    ``order`` starts with the time column and should be a total order.  With hot
+    keys, cells are summarised from ``summary_of`` if given: rows that lead to the
+    same neighbours as ``df`` at less cost (``number`` then counts those rows).
     """
     lag, lead, fill, peak = lag or {}, lead or {}, fill or {}, peak or {}
     sort = [F.col(c).asc_nulls_first() for c in order]
@@ -152,7 +156,8 @@ def ordered(
         return df.withColumns(added)
 
     placed = hot.place(df, key, order[0])
-    edges = _edges(placed, key, order, lag, lead, fill, peak)
+    source = placed if summary_of is None else hot.place(summary_of, key, order[0])
+    edges = cell_edges(source, key, order, lag, lead, fill, peak)
     w = Window.partitionBy(key, CELL).orderBy(*sort)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = {"_at": F.row_number().over(w), "_more": F.lead(F.lit(True)).over(w)}
@@ -170,12 +175,11 @@ def ordered(
     outer |= {a: F.coalesce(F.col(f"_top_{a}"), F.col(f"_peak_{a}")) for a in peak}
     if number:
         outer[number] = (F.col("_at") + F.coalesce(F.col("_skip"), F.lit(0))).cast("int")
-    return joined.select(
-        *[F.col(c) for c in df.columns], *[c.alias(a) for a, c in outer.items()]
-    )
+    kept = [*df.columns, CELL] if keep_cell else df.columns
+    return joined.select(*[F.col(c) for c in kept], *[c.alias(a) for a, c in outer.items()])
 
 
-def _edges(placed, key, order, lag, lead, fill, peak) -> DataFrame:
+def cell_edges(placed, key, order, lag, lead, fill, peak) -> DataFrame:
     """One row per (hot key, cell) with what rows of that cell need from other cells."""
     at = F.struct(*order)
     aggs = [F.count(F.lit(1)).alias("_n")]
