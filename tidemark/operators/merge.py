@@ -18,6 +18,7 @@ from tidemark.operators.history import (
     scd2_build,
 )
 from tidemark.operators.keyed import HotKeys, match
+from tidemark.session import written
 from tidemark.spec import HistorySpec
 
 BEGINNING = "1900-01-01 00:00:00"
@@ -137,6 +138,9 @@ def seeded_versions(
     rows = begun.unionByName(staged.withColumn("_seed", F.lit(False)))
     found = detect_changes(rows, spec, hot, track_deletes)
     versions = found.filter(F.col(NEEDED) & ~F.col("_seed")).select(*staged.columns)
+    if hot is not None:
+        # Numbering hot keys reads the versions twice.
+        versions = written(versions, "versions")
     numbered = number_versions(versions, spec, hot, now)
     base = seeds.select(spec.key, F.col(spec.sequence).alias("_base"))
     stored = target.groupBy(spec.key).agg(F.max(spec.ts).alias("_stored"))

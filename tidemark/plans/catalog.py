@@ -75,7 +75,17 @@ class Feed:
 
     @cached_property
     def dim(self) -> DataFrame:
-        return self.build(self.rows)
+        return self.kept(self.build(self.rows), "dim")
+
+    @cached_property
+    def versions(self) -> DataFrame:
+        """Version-opening rows, before they are numbered."""
+        found = history.change_feed(self.rows, USERS, self.hot).select(*self.rows.columns)
+        return self.kept(found, "versions")
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        """With hot keys, what follows reads its input more than once: store it first."""
+        return df if self.hot is None else written(df, name)
 
     @cached_property
     def damaged(self) -> DataFrame:
@@ -289,8 +299,7 @@ def scd2_track_deletes(spark, d):
   cast(count(*) filter (where preliminary_current) over {sql.ALL_KEY} as bigint) as current_record_count from v"""))
 def scd2_preliminary_currency(spark, d):
     f = Feed(spark, d)
-    versions = history.change_feed(f.rows, USERS, f.hot).select(*f.rows.columns)
-    found = history.preliminary_currency(versions, USERS, f.hot)
+    found = history.preliminary_currency(f.versions, USERS, f.hot)
     return found.select("user_id", "update_date", "is_deleted", "preliminary_current", "current_record_count")
 
 
@@ -475,8 +484,7 @@ def q_unchanged(spark, d):
 def q_business_rules(spark, d):
     """On the versions as derived, before invalid ones are left out."""
     f = Feed(spark, d)
-    versions = history.change_feed(f.rows, USERS, f.hot).select(*f.rows.columns)
-    return checks.business_rules(history.number_versions(versions, USERS, f.hot, now()), USERS)
+    return checks.business_rules(history.number_versions(f.versions, USERS, f.hot, now()), USERS)
 
 
 @query(sql.with_(sql.DIM, select="""select user_id, max(update_date) as latest_update_date from dim group by user_id

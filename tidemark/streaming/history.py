@@ -18,6 +18,7 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # As a pattern the path may also name one file.
+    path = path.rstrip("/")
     return reader.parquet(path[:-1] + f"[{path[-1]}]")
 
 
