@@ -1,13 +1,12 @@
 import json
 import os
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import USERS
-from tidemark.operators import checks, metrics, report
-from tidemark.plans import catalog, feeds, pipeline
+from tidemark.operators import checks, history, metrics, report, staging
+from tidemark.plans import catalog, feeds, lifecycle
 from tidemark.sources import landing, runs, tables
 from tidemark.streaming.history import stream_scd2, stream_table
 from tidemark.streaming.windows import read_windows, stream_windows
@@ -146,7 +145,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
 def test_quarantine_report_and_view(spark, tmp_path):
     df = spark.createDataFrame([(None, "a", at(1)), ("1", " ", at(1)), ("2", "b", None), ("3", "c", at(1))],
                                "id string, name string, lastmodifieddate timestamp_ntz")
-    good, bad = checks.quarantine(df, pipeline.raw_rules())
+    good, bad = checks.quarantine(df, lifecycle.raw_rules())
     assert [r["id"] for r in good.collect()] == ["3"]
     path = str(tmp_path / "q")
     tables.write_quarantine(bad, path)
@@ -182,8 +181,6 @@ def _event_files(spark, small, path, parts):
 
 
 def test_stream_equals_batch(spark, small, tmp_path):
-    from tidemark.operators import staging
-
     source, target, cp = (str(tmp_path / n) for n in ("events", "target", "cp"))
     events = _event_files(spark, small, source, 2)
 
@@ -213,16 +210,44 @@ def test_stream_windows_over_several_batches(spark, small, tmp_path):
     assert same(rounded(got), rounded(want))
 
 
-def test_pipeline_gate_and_bookmark(spark, small, tmp_path):
+def test_lifecycle_gate_and_bookmark(spark, small, tmp_path):
     source = catalog.Feed(spark, small).raw.drop("_extracted_at", "_extraction_run_id", "_extracted_date")
     with pytest.raises(checks.QualityGateClosed):
-        pipeline.run_pipeline(spark, source, str(tmp_path / "strict"), "r1", max_reject_percent=0.5)
-    clean = source.filter("id is not null and lastmodifieddate is not null and trim(name) <> ''")
+        lifecycle.run_once(spark, source, str(tmp_path / "strict"), "r1", max_reject_percent=0.5)
+    clean = staging.in_lists(
+        staging.stage_users(source.withColumns({"_extracted_at": now(), "_extraction_run_id": F.lit("")})), USERS.valid
+    ).drop("_extracted_at", "_extraction_run_id")
+    early = clean.filter("lastmodifieddate < timestamp_ntz'2024-01-20'")
     root = str(tmp_path / "run")
-    first = pipeline.run_pipeline(spark, clean, root, "r1")
-    assert first["pulled"] == clean.count() and first["records_created"] > 0
-    second = pipeline.run_pipeline(spark, clean, root, "r2")
-    assert second["pulled"] == 0 and not second["records_created"]
-    paths = pipeline.Paths(root)
-    assert runs.last_mark(spark, paths.log, pipeline.JOB) == str(clean.agg(F.max("lastmodifieddate")).first()[0])
-    assert datetime.now()
+    first = lifecycle.run_once(spark, early, root, "r1")
+    assert first["pulled"] == early.count() and first["records_created"] > 0
+    # The second run reads a day of extracts and continues the stored history.
+    second = lifecycle.run_once(spark, clean, root, "r2", lookback_days=1)
+    assert second["pulled"] == clean.count() - early.count() and second["records_updated"] > 0
+    paths = lifecycle.Paths(root)
+    whole = history.scd2_build(staging.to_history_names(
+        clean.withColumns({"_extracted_at": now(), "_extraction_run_id": F.lit("")})), USERS)
+    stamps = ["_dbt_updated_at", "_extracted_at", "_extraction_run_id"]
+    assert same(tables.read_history(spark, paths.history), whole, but=stamps)
+    third = lifecycle.run_once(spark, clean, root, "r3")
+    assert third == {"run_id": "r3", "pulled": 0}
+    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(clean.agg(F.max("lastmodifieddate")).first()[0])
+
+
+def test_lifecycle_goes_on_after_a_lost_merge(spark, tmp_path, monkeypatch):
+    changes = rows(spark, (1, "North", False), (2, "South", False)).withColumnsRenamed(
+        {"user_id": "id", "is_active": "isactive", "update_date": "lastmodifieddate", "is_deleted": "isdeleted"}
+    )
+    source = changes.drop("_extracted_at", "_extraction_run_id").withColumn("createddate", F.col("lastmodifieddate"))
+    root, merge = str(tmp_path / "run"), tables.merge_into
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "merge_into", lost)
+    with pytest.raises(RuntimeError):
+        lifecycle.run_once(spark, source, root, "r1")
+    monkeypatch.setattr(tables, "merge_into", merge)
+    again = lifecycle.run_once(spark, source, root, "r1")
+    assert again["pulled"] == 0 and again["records_created"] == 2
+    assert tables.read_raw(spark, lifecycle.Paths(root).raw).count() == 2

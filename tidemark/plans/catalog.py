@@ -13,7 +13,7 @@ from tidemark.functions.ids import hash_id, version_id
 from tidemark.operators import checks, history, merge, metrics, report, serve, staging
 from tidemark.operators.keyed import HotKeys, find_hot
 from tidemark.operators.metrics import AlarmRule
-from tidemark.plans import expected as sql, feeds, pipeline
+from tidemark.plans import expected as sql, feeds, lifecycle
 from tidemark.session import scratch, written
 from tidemark.sources import landing, runs, tables
 from tidemark.spec import AUDIT_PHASES, DIVISIONS, USERS
@@ -610,14 +610,14 @@ _REASON = """case when id is null then 'missing_id' when name is null or trim(na
 
 @query(sql.with_(sql.RAW, select=f"select *, {_REASON} as reject_reason from raw where {_REASON} is not null"))
 def quarantine(spark, d):
-    return checks.quarantine(Feed(spark, d).raw, pipeline.raw_rules())[1]
+    return checks.quarantine(Feed(spark, d).raw, lifecycle.raw_rules())[1]
 
 
 @query(sql.with_(sql.RAW, select=f"""select count(*) as total, count({_REASON}) as rejected,
   round(count({_REASON}) * 100.0 / count(*), 4)::double as rejected_pct,
   count({_REASON}) * 100.0 / count(*) <= 5 as batch_accepted from raw"""))
 def reject_rate(spark, d):
-    return checks.reject_rate(Feed(spark, d).raw, pipeline.raw_rules())
+    return checks.reject_rate(Feed(spark, d).raw, lifecycle.raw_rules())
 
 
 @query(sql.with_(sql.RAW, select=f"""select max(_extracted_at) as latest_extraction, count(*) as total_records,
@@ -995,12 +995,12 @@ def stream_metric_windows(spark, d):
     + SPLIT + "' then 'first' else 'second' end as _extraction_run_id) from src)",
     sql.dim("dim", "stamped"), select="select * from dim",
 ))
-def pipeline_runs(spark, d):
+def scheduled_runs(spark, d):
     """Two scheduled runs of the whole lifecycle, the second after more rows have arrived."""
     source = Feed(spark, d).raw.drop("_extracted_at", "_extraction_run_id", "_extracted_date")
     source = source.filter(F.col("lastmodifieddate").isNotNull())
-    root, at = scratch(spark, "pipeline"), F.lit(SPLIT).cast("timestamp_ntz")
+    root, at = scratch(spark, "runs"), F.lit(SPLIT).cast("timestamp_ntz")
     early = source.filter(F.col("lastmodifieddate") < at)
-    pipeline.run_pipeline(spark, early, root, "first", max_reject_percent=10, now=now())
-    pipeline.run_pipeline(spark, source, root, "second", max_reject_percent=10, now=now())
-    return tables.read_history(spark, pipeline.Paths(root).history)
+    lifecycle.run_once(spark, early, root, "first", max_reject_percent=10, now=now())
+    lifecycle.run_once(spark, source, root, "second", max_reject_percent=10, now=now())
+    return tables.read_history(spark, lifecycle.Paths(root).history)

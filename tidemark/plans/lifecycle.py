@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.clean import is_blank
 from tidemark.operators import checks, report, staging
-from tidemark.operators.keyed import MAX_ROWS, find_hot
+from tidemark.operators.keyed import MAX_ROWS, find_hot, match
 from tidemark.sources import landing, runs, tables
 from tidemark.spec import USERS
 
 JOB = "ingest"
+MODIFIED = "lastmodifieddate"
 
 
 @dataclass(frozen=True)
@@ -54,52 +55,58 @@ def ingest(spark: SparkSession, source: DataFrame, paths: Paths, run_id: str, no
     """Pull what is new since the last success, append it, then move the bookmark.
 
     The bookmark moves only after the write, so a failed run is pulled again.
+    Count and mark are taken by the write itself; nothing is read twice.
     """
     since = runs.last_mark(spark, paths.log, JOB)
-    if runs.has_state(spark, paths.log, JOB, run_id, "succeeded"):
-        return 0
-    new = landing.read_incremental(source, "lastmodifieddate", since)
+    new = landing.read_incremental(source, MODIFIED, since)
     stamped = landing.stamp_extraction(new, run_id, now)
-    count = tables.append_raw(stamped, paths.raw)
-    if count:
-        # What this run wrote decides the mark; the source may have moved on meanwhile.
-        mine = tables.read_raw(spark, paths.raw).filter(F.col("_extraction_run_id") == run_id)
-        mark = mine.agg(F.max("lastmodifieddate").cast("string")).first()[0] or since
-    else:
-        mark = since
-    runs.record(spark, paths.log, JOB, run_id, "succeeded", mark)
-    return count
-
-
-def run_pipeline(
+    seen = tables.append_measured(stamped, paths.raw, F.max(MODIFIED).cast("string").alias("mark"))
+    runs.record(spark, paths.log, JOB, run_id, "succeeded", seen["mark"] or since)
+    return seen["rows"]
+
+
+def run_once(
     spark: SparkSession,
     source: DataFrame,
     root: str,
     run_id: str,
     max_reject_percent: float = 5.0,
     max_rows: int = MAX_ROWS,
+    lookback_days: int | None = None,
+    as_of=None,
     now: Column | None = None,
 ) -> dict:
     """One scheduled run. Raises :class:`~tidemark.operators.checks.QualityGateClosed`
-    before the merge when too many rows are rejected."""
+    before the merge when too many rows are rejected.
+
+    By default the batch's keys are staged with their whole raw history, so versions
+    come out as in a full build.  With ``lookback_days`` only that many days of
+    extracts before ``as_of`` are read and the stored history is continued.
+    """
     paths, began = Paths(root), datetime.now(timezone.utc)
-    pulled = ingest(spark, source, paths, run_id, now)
+    # A run that was lost after it landed its batch goes on from there.
+    landed = runs.has_state(spark, paths.log, JOB, run_id, "succeeded")
+    pulled = 0 if landed else ingest(spark, source, paths, run_id, now)
     result = {"run_id": run_id, "pulled": pulled}
-    if tables.stored_schema(spark, paths.raw) is None:
+    if not pulled and not landed:
         return result
-    raw = tables.read_raw(spark, paths.raw)
+    raw = tables.read_raw(spark, paths.raw, landing.stamp_extraction(source, run_id, now).schema)
+    if lookback_days is not None:
+        raw = landing.lookback(raw, as_of or began.replace(tzinfo=None), lookback_days)
     batch = raw.filter(F.col("_extraction_run_id") == run_id)
-    if pulled:
-        rate = checks.reject_rate(batch, raw_rules(), max_reject_percent)
-        _, rejected = checks.quarantine(batch, raw_rules())
-        tables.write_quarantine(rejected, paths.quarantine)
-        checks.gate(rate.withColumn("measure", F.lit("reject_rate")), passed="batch_accepted")
-    # The whole history of the batch's keys, so that versions come out as in a full build.
+    rate = checks.reject_rate(batch, raw_rules(), max_reject_percent)
+    _, rejected = checks.quarantine(batch, raw_rules())
+    tables.write_quarantine(rejected, f"{paths.quarantine}/{run_id}", mode="overwrite")
+    checks.gate(rate.withColumn("measure", F.lit("reject_rate")), passed="batch_accepted")
+
     rows = staging.to_history_names(staging.stage_users(raw))
     keys = batch.select(F.col("id").alias(USERS.key)).distinct()
-    staged = rows.join(keys, USERS.key, "left_semi")
-    hot = find_hot(staged, USERS.key, USERS.ts, max_rows)
-    result |= tables.merge_into(spark, paths.history, staged, USERS, run_id=run_id, hot=hot, now=now)
+    hot = find_hot(rows, USERS.key, USERS.ts, max_rows)
+    staged = match(rows, keys, USERS.key, "left_semi", hot)
+    result |= tables.merge_into(
+        spark, paths.history, staged, USERS, run_id=run_id, hot=hot,
+        seeded=lookback_days is not None, now=now,
+    )
     dim = tables.read_history(spark, paths.history)
     suite = report.scd_report(report.scd_suite(dim, USERS, hot))
     tables.write_report(suite, f"{paths.reports}/{run_id}")

@@ -32,16 +32,29 @@ COUNTS = ("records_created", "records_updated", "records_deleted")
 # Plain sinks.
 
 
-def append_raw(df: DataFrame, path: str, partition: str = "_extracted_date") -> int:
-    """Append to the raw table and return the row count, counted by the write itself."""
+def append_measured(df: DataFrame, path: str, *measures: Column, partition: str = "_extracted_date") -> dict:
+    """Append to the raw table; returns ``rows`` and the measures, taken by the write itself."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
     counted.write.mode("append").partitionBy(partition).parquet(path)
-    return seen.get["rows"]
+    return seen.get
+
+
+def append_raw(df: DataFrame, path: str, partition: str = "_extracted_date") -> int:
+    """Append to the raw table and return the row count."""
+    return append_measured(df, path, partition=partition)["rows"]
+
 
+def read_raw(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, partition: str = "_extracted_date"
+) -> DataFrame:
+    """The raw table; the date stays text.
 
-def read_raw(spark: SparkSession, path: str, partition: str = "_extracted_date") -> DataFrame:
-    """The raw table with every column any extract ever had; the date stays text."""
+    Give the schema if it is known.  Without one every file's footer is read, to
+    find every column any extract ever had.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     df = spark.read.option("mergeSchema", "true").parquet(path)
     return df.withColumn(partition, F.col(partition).cast("string")) if partition in df.columns else df
 
@@ -60,8 +73,8 @@ def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
-def write_quarantine(rejected: DataFrame, path: str) -> None:
-    rejected.write.mode("append").partitionBy("reject_reason").parquet(path)
+def write_quarantine(rejected: DataFrame, path: str, mode: str = "append") -> None:
+    rejected.write.mode(mode).partitionBy("reject_reason").parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
