@@ -8,8 +8,9 @@ read is split by stripe. Each row holds its place among the ids of its own part;
 totals, one number for each task that wrote, turn that into a place among all ids.
 
 Texts are encoded by the tokenizers library. Its normalisation and pre-tokenisation never
-look across ASCII white space, so that a worker encodes each different chunk once and
-remembers it. Special tokens' strings in a text are ordinary text.
+look across white space, nor its merges across pre-tokens, so that a worker encodes each
+different part of a text once and remembers it. Special tokens' strings in a text are
+ordinary text.
 
 Null and empty texts have only the end id. A null ``doc_id`` comes first. Rows that share
 a ``doc_id`` follow each other by text. An empty table gives no rows. Other columns are
@@ -20,9 +21,10 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,53 +37,56 @@ from tidemark.llm.common import Codes, in_arrow, runs
 
 END = 1
 STRIPE_BYTES, ROW_GROUP, FALSE_POSITIVES = 16 << 20, 1_000, 0.01
-#: Chunks that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Parts of texts that a worker remembers before it starts afresh.
+REMEMBERED = 600_000
 SCHEMA = "doc_id long, part int, at long, n_tokens long, ids array<int>"
-#: Signs that the pre-tokeniser always parts from a letter before them. The apostrophe is none.
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A run of letters, one digit, or a run of signs, in lower-case text up to U+00FF.
+LATIN = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+").findall
 
 
 class Encoder:
+    """Remembers the ids of parts of texts between which the tokeniser always cuts."""
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {i: spell(chr(i))[0][0] for i in range(256)}
         self.forget()
 
     def forget(self) -> None:
-        self.codes, self.atoms = Codes(), {}
-        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts = Codes()
+        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _ids(self, part: str) -> list[int]:
+        """Pre-tokens in normal form need only the library's merges."""
+        if part[0] == " ":
+            return self.tokenizer.encode(part, add_special_tokens=False).ids
+        return [t.id for t in self.tokenizer.model.tokenize(part.translate(self.spelling))]
 
     def _learn(self) -> None:
-        fresh = [_atoms(w.decode()) for w in self.codes.taken()]
-        if not fresh:
-            return
-        missing = list(dict.fromkeys(a for atoms in fresh for a in atoms if a not in self.atoms))
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            self.atoms.update(zip(some, (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        ids = [self.atoms[a] for atoms in fresh for a in atoms]
-        counts = [sum(len(self.atoms[a]) for a in atoms) for atoms in fresh]
-        sizes = np.array(counts, np.int64)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        made = list(map(self._ids, self.parts.taken()))
+        sizes = np.fromiter(map(len, made), np.int32, len(made))
+        self.starts = np.concatenate([self.starts, (len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int32)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(made), np.int32, int(sizes.sum()))])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end ids included, and how many each text has."""
-        if len(self.codes) > REMEMBERED:
+        if len(self.parts) > REMEMBERED:
             self.forget()
-        number = self.codes.__getitem__
-        split = [list(map(number, t.encode().split())) for t in texts]
+        number = self.parts.__getitem__
+        numbers = [np.fromiter(map(number, parts_of(t)), np.int32) for t in texts]
         self._learn()
-        chunks = np.fromiter((c for codes in split for c in codes), np.int64, sum(map(len, split)))
-        sizes, doc = self.sizes[chunks], np.repeat(np.arange(len(split)), list(map(len, split)))
+        parts, lengths = np.concatenate([np.zeros(0, np.int32), *numbers]), np.fromiter(map(len, numbers), np.int64)
+        sizes = self.sizes[parts].astype(np.int64)
         before = np.cumsum(sizes) - sizes
-        words = self.flat[np.arange(int(sizes.sum())) + np.repeat(self.starts[chunks] - before, sizes)]
-        counts = np.bincount(doc, weights=sizes, minlength=len(split)).astype(np.int64) + 1
+        words = self.flat[np.arange(int(sizes.sum())) + np.repeat(self.starts[parts] - before, sizes)]
+        counts = np.bincount(np.repeat(np.arange(len(texts)), lengths), weights=sizes, minlength=len(texts)).astype(np.int64) + 1
         out = np.full(int(counts.sum()), END, np.int32)
         own = np.ones(len(out), bool)
         own[np.cumsum(counts) - 1] = False
@@ -89,11 +94,20 @@ class Encoder:
         return out, counts
 
 
-def _atoms(chunk: str) -> tuple:
-    """A chunk cut before its trailing signs, where the tokeniser cuts too; each kind of atom is encoded once."""
-    core = chunk.rstrip(SIGNS)
-    parts = (core, chunk[len(core) :]) if core and core != chunk and core[-1].isalpha() and core[-1] < "ɐ" else (chunk,)
-    return tuple(p.lower() if p.isascii() else p for p in parts)
+def parts_of(text: str) -> list[str]:
+    """Pre-tokens in normal form where that is plain to see, else what ASCII white space parts, behind a blank.
+
+    Up to U+00FF no two characters compose and each has one small form, so that lower case
+    may come first. An apostrophe starts pre-tokens of its own kind.
+    """
+    if "'" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            return LATIN(text.lower())
+    return [" " + w.decode() for w in text.encode().split()]
 
 
 @functools.lru_cache(maxsize=2)
