@@ -35,7 +35,7 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DAMPING, ROUNDS, WRITE_EVERY, EXCESS = 0.85, 12, 4, 1.0
+DAMPING, ROUNDS, WRITE_EVERY, EXCESS = 0.85, 12, 4, 0.5
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
