@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import in_arrow, runs
 
 #: Pieces and token pairs that a worker remembers, in each of two generations.
-PIECES, PAIRS = 200_000, 1_000_000
+PIECES, PAIRS = 150_000, 300_000
 NONE = 1 << 62
 
 
@@ -55,6 +55,20 @@ class Pieces(dict):
         return ids
 
 
+class Pairs(dict):
+    """Whether two tokens may be neighbours."""
+
+    def __init__(self, apart):
+        super().__init__()
+        self.apart = apart
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= PAIRS:
+            self.clear()
+        good = self[pair] = self.apart(pair >> 32, pair & 0xFFFFFFFF)
+        return good
+
+
 class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
@@ -62,14 +76,14 @@ class Codec:
         self.bytes_of = {i: t for t, i in self.ranks.items()}
         self.text_of = {i: str(i) for i in self.bytes_of}
         self.cut = regex.compile(pattern).findall
-        self.left, self.right, self.merged, self.fits = {}, {}, {}, {}
+        self.left, self.right, self.merged, self.fits = {}, {}, {}, Pairs(self._apart)
         for token, i in sorted(self.ranks.items(), key=lambda x: x[1]):
             self._split(token, i)
         self.shorter = {i: self._prefix(self.bytes_of[i]) for i in self.left}
         self.length = {i: len(self.bytes_of[i]) for i in self.left}
         self.automaton = ahocorasick.Automaton()
         for i in self.left:
-            self.automaton.add_word(self.bytes_of[i].decode("latin-1"), (self.length[i], i))
+            self.automaton.add_word(self.bytes_of[i].decode("latin-1"), i)
         self.automaton.make_automaton()
         self.pieces = Pieces(self.encode_piece)
 
@@ -126,22 +140,23 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        longest = [0] * len(piece)
-        for end, (size, i) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end + 1 - size] = i
-        n, at, ids, fits, length, shorter = len(piece), 0, [], self.fits, self.length, self.shorter
+        latin, fits = piece.decode("latin-1"), self.fits
+        # Often nothing has to be taken back: then the longest matches in a row are the answer.
+        ids = [i for _, i in self.automaton.iter_long(latin)]
+        for a, b in zip(ids, ids[1:]):
+            if not fits[a << 32 | b]:
+                return self._backtrack(latin)
+        return tuple(ids)
+
+    def _backtrack(self, latin: str) -> tuple:
+        n, at, ids, fits, length, shorter = len(latin), 0, [], self.fits, self.length, self.shorter
+        longest = [0] * n
+        for end, i in self.automaton.iter(latin):
+            longest[end + 1 - length[i]] = i
         failed, token = set(), longest[0]
         while at < n:
             end = at + length[token]
-            good = end not in failed
-            if good and ids:
-                pair = ids[-1] << 32 | token
-                good = fits.get(pair)
-                if good is None:
-                    if len(fits) >= PAIRS:
-                        fits.clear()
-                    good = fits[pair] = self._apart(ids[-1], token)
-            if good:
+            if end not in failed and (not ids or fits[ids[-1] << 32 | token]):
                 ids.append(token)
                 at = end
                 if at < n:
@@ -203,13 +218,16 @@ def encoded_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids): the token ids of each whole text."""
+def encoded(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
+    """(doc_id, ids): the token ids of each whole text; with ``decode`` also ``data``, what they stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
             for piece, texts in runs(batch, "text"):
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), _lists([own.encode(t) for t in texts])], ["doc_id", "ids"])
+                ids = [own.encode(t) for t in texts]
+                more = [pa.array(list(map(own.decode, ids)), pa.binary())] if decode else []
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), _lists(ids), *more], ["doc_id", "ids", "data"][: 2 + decode])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", data binary" * decode
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)

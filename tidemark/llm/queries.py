@@ -61,7 +61,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN
-    back = byte_bpe.decoded(byte_bpe.encoded(table(spark, sf_dir, "documents"), *vocabulary), *vocabulary)
+    back = byte_bpe.encoded(table(spark, sf_dir, "documents"), *vocabulary, decode=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
