@@ -72,7 +72,9 @@ def signatures(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(key, fp) for every one-bit deletion of every segment."""
     segments = max_distance // 2 + 1
     width = 64 // segments
-    at = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1))).alias("bit"))
+    # Few bytes of fingerprints become many of signatures: deal them to all tasks first.
+    spread = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    at = spread.select("fp", F.explode(F.sequence(F.lit(0), F.lit(segments * width - 1))).alias("bit"))
     low = (F.col("bit") / width).cast("int") * width
     part = F.expr("shiftrightunsigned(fp, low)")
     if width < 64:
@@ -110,7 +112,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     """(doc_id, fp, component_id): the smallest doc_id reachable over links, itself included."""
     rows = written(fingerprints(docs, shingle), "simhash-fingerprints")
     known = rows.where("doc_id is not null")
-    distinct = known.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    distinct = written(known.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), max_distance), "simhash")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
