@@ -32,3 +32,14 @@ def test_one_shuffle_for_the_whole_history(spark, small):
     plan = QUERIES["scd2_build"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("name", ["lookback_seeded", "scd2_merge", "dim_merge", "scd_as_of_join", "stream_scd2_history"])
+def test_without_broadcast_joins(spark, small, con, name):
+    """Real histories are too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare.difference(QUERIES[name](spark, small), con, EXPECTED[name]) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -92,3 +92,10 @@ def test_match(spark, how):
     hot = find_hot(left, "k", "t", max_rows=10)
     plain = sorted(left.join(right, "k", how).collect(), key=repr)
     assert sorted(match(left, right, "k", how, hot).collect(), key=repr) == plain
+
+
+def test_a_hot_key_without_any_time(spark):
+    """Its sample shows no time to cut at; the build goes on and gives the plain result."""
+    rows = spark.range(200).selectExpr("'A' as k", "cast(null as timestamp_ntz) as t")
+    found = find_hot(rows, "k", "t", max_rows=10)
+    assert found is not None and found.place(rows, "k", "t").select("_cell").distinct().count() == 1

@@ -157,6 +157,8 @@ def scd2_build(
 
     Rows of hot keys go a way of their own, the others are not held up by it.
     """
+    # A row without a key belongs to no history; all of them would meet in one task.
+    df = df.filter(F.col(spec.key).isNotNull())
     if filter_first:
         df = required_and_valid(df, spec)
     light = df

@@ -89,8 +89,9 @@ def find_hot(
     for r in found:
         wanted = 64 * int(r["n"] / share / max_rows + 1)
         cells = max(2, min(wanted, max_cells // len(found)))
-        width = max(1, (r["hi"] - r["lo"]) // cells + 1)
-        rows.append((r["_key"], r["lo"], width, cells - 1))
+        # A key may show no time at all: its rows are all in the first cell.
+        low, high = r["lo"] or 0, r["hi"] or 0
+        rows.append((r["_key"], low, max(1, (high - low) // cells + 1), cells - 1))
     schema = T.StructType(
         [
             T.StructField("_key", df.schema[key].dataType),

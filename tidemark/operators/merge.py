@@ -99,8 +99,9 @@ def merge_on_key(
     return t.join(s, on, "full_outer").select(*out)
 
 
-def merge_update_columns(spec: HistorySpec) -> list[str]:
-    return [spec.current, spec.stamp]
+def merge_update_columns(spec: HistorySpec, seeded: bool = False) -> list[str]:
+    """A seeded merge numbers the stored versions that follow a late row anew."""
+    return [spec.current, spec.stamp] + [spec.sequence] * seeded
 
 
 def seed_versions(
@@ -117,6 +118,14 @@ def seed_versions(
     return latest.select(spec.key, *[F.col(f"_seed.{c}").alias(c) for c in kept])
 
 
+def later_versions(
+    target: DataFrame, staged: DataFrame, spec: HistorySpec, hot: HotKeys | None = None
+) -> DataFrame:
+    """The stored versions of each staged key from its first staged row on."""
+    firsts = staged.groupBy(spec.key).agg(F.min(spec.ts).alias("_first"))
+    return match(target, firsts, spec.key, "inner", hot).filter(F.col(spec.ts) >= F.col("_first")).drop("_first")
+
+
 def seeded_versions(
     staged: DataFrame,
     target: DataFrame,
@@ -129,13 +138,19 @@ def seeded_versions(
 
     Without the stored predecessor the first staged row of every key would pass
     for a new version.  The predecessor joins the change detection as a row of its
-    own and leaves again; numbering goes on from its sequence, and nothing older
-    than the key's latest stored version becomes current.  A predecessor whose
-    values are not valid was never stored and cannot take part.
+    own and leaves again; numbering goes on from its sequence.  Stored versions
+    from the first staged row on take part like staged rows, so that late rows are
+    compared with what follows them, and all are numbered anew.  A predecessor whose
+    values are not valid was never stored and cannot take part, and a stored version
+    that a late row makes redundant stays stored.
     """
     seeds = seed_versions(target, staged, spec, hot)
     begun = seeds.select(*staged.columns, F.lit(True).alias("_seed"))
-    rows = begun.unionByName(staged.withColumn("_seed", F.lit(False)))
+    after = later_versions(target, staged, spec, hot).select(*staged.columns).unionByName(staged)
+    rows = begun.unionByName(after.withColumn("_seed", F.lit(False)))
+    # An exchange of its own: the sides may each be partitioned by key already, in different
+    # ways, and what stands above must not take the union's partitioning from them.
+    rows = rows.repartition(spec.key) if hot is None else rows.repartition(spec.key, spec.ts)
     found = detect_changes(rows, spec, hot, track_deletes)
     versions = found.filter(F.col(NEEDED) & ~F.col("_seed")).select(*staged.columns)
     if hot is not None:
@@ -210,7 +225,7 @@ def scd2_merge(target: DataFrame, staged: DataFrame, spec: HistorySpec, **option
         }
     )
     return merge_on_key(
-        closed.select(*target.columns), new, [spec.version_id], merge_update_columns(spec)
+        closed.select(*target.columns), new, [spec.version_id], merge_update_columns(spec, options.get("seeded", False))
     )
 
 

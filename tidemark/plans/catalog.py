@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.audit import audit_columns
 from tidemark.functions.clean import delete_status, is_blank
@@ -990,6 +990,21 @@ def stream_metric_windows(spark, d):
     return read_windows(spark, path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query(f"""select event_type as metric, {_tumbling(21600)} as window_start, sum(value) as value from events group by all""")
+def stream_metric_windows_late(spark, d):
+    """The same from three batches out of order: the middle of the time comes last, far behind the others."""
+    events = feeds.table(spark, d, "events")
+    path, landed = scratch(spark, "windows"), scratch(spark, "late-events")
+    third = F.ntile(3).over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    parted = written(events.withColumn("third", third), "thirds")
+    checkpoint = scratch(spark, "checkpoint")
+    for part in (1, 3, 2):
+        parted.where(F.col("third") == part).drop("third").write.mode("append").parquet(landed)
+        values = stream_table(spark, landed, events.schema).select(F.col("event_type").alias("metric"), "ts", "value")
+        stream_windows(values, 21_600, "Sum", path, checkpoint).awaitTermination()
+    return read_windows(spark, path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 @query(sql.with_(
     sql.HISTORY, "stamped as (select * replace (" + sql.NOW + " as _extracted_at, case when update_date < timestamp '"
     + SPLIT + "' then 'first' else 'second' end as _extraction_run_id) from src)",
@@ -998,7 +1013,6 @@ def stream_metric_windows(spark, d):
 def scheduled_runs(spark, d):
     """Two scheduled runs of the whole lifecycle, the second after more rows have arrived."""
     source = Feed(spark, d).raw.drop("_extracted_at", "_extraction_run_id", "_extracted_date")
-    source = source.filter(F.col("lastmodifieddate").isNotNull())
     root, at = scratch(spark, "runs"), F.lit(SPLIT).cast("timestamp_ntz")
     early = source.filter(F.col("lastmodifieddate") < at)
     lifecycle.run_once(spark, early, root, "first", max_reject_percent=10, now=now())

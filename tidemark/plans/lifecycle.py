@@ -105,7 +105,7 @@ def run_once(
     staged = match(rows, keys, USERS.key, "left_semi", hot)
     result |= tables.merge_into(
         spark, paths.history, staged, USERS, run_id=run_id, hot=hot,
-        seeded=lookback_days is not None, now=now,
+        seeded=lookback_days is not None, now=now, keys=keys,
     )
     dim = tables.read_history(spark, paths.history)
     suite = report.scd_report(report.scd_suite(dim, USERS, hot))

@@ -189,11 +189,15 @@ def merge_into(
     layout: Layout = Layout(),
     hot: HotKeys | None = None,
     seeded: bool = False,
-    per_key: bool = False,
+    per_key: bool = True,
     now: Column | None = None,
+    keys: DataFrame | None = None,
 ) -> dict[str, int]:
     """Merge staged rows into a stored history and return the merge's counts.
 
+    ``keys`` are the keys to derive, if they are known; else those with rows newer than
+    their own latest stored one, or with ``per_key`` off than the table's latest.
+
     Only buckets of staged keys are read, and only directories that hold a changed
     row are rewritten: to scratch space first, then over the old ones.  A run id
     that was applied before is skipped, so a replayed batch changes nothing.
@@ -210,10 +214,11 @@ def merge_into(
     used = staged.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
     near = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])) if used else table.limit(0)
     # The overall mark is the whole table's; all the rest needs only the near buckets.
-    keys = updated_keys(staged, near if per_key else table, spec, per_key)
+    if keys is None:
+        keys = updated_keys(staged, near if per_key else table, spec, per_key)
     new, closers = derive(near.drop(BUCKET, PERIOD), staged, spec, hot, seeded, keys=keys, now=now)
     theirs = match(near, keys, spec.key, "left_semi", hot)
-    changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now), "changes")
+    changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded), "changes")
 
     fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
     # One row per directory to rewrite; never more than the table has directories.
@@ -225,7 +230,7 @@ def merge_into(
     counts = {c: sum(p[c] for p in parts) for c in COUNTS}
     if parts:
         merged = merge_on_key(
-            _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec)
+            _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, seeded)
         )
         _replace(merged, path, run_id)
     else:
@@ -233,13 +238,15 @@ def merge_into(
     return counts
 
 
-def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now) -> DataFrame:
+def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now, seeded: bool = False) -> DataFrame:
     """Versions to insert, and stored ones whose current flag moves (``_was`` is the old flag).
 
+    With ``seeded`` also stored ones whose number moves.
+
     A version that is derived again is not closed on top of that.  Everything meets
     on the version id, so the derived versions are computed and shuffled once.
     """
-    place = [spec.version_id, spec.current, BUCKET, PERIOD]
+    place = [spec.version_id, spec.current, spec.sequence, BUCKET, PERIOD]
     closing = closing_ids(stored, closers, spec)
     have = stored.select(*[F.col(c).alias(f"_old_{c}") for c in place], spec.deleted)
     have = have.withColumnsRenamed({f"_old_{spec.version_id}": spec.version_id, spec.deleted: "_old_deleted"})
@@ -249,7 +256,8 @@ def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: Histor
         F.col(f"_old_{spec.current}") & F.col("_close").isNull()
     )
     was = F.col(f"_old_{spec.current}")
-    out = {c: F.coalesce(F.col(c), F.col(f"_old_{c}")) for c in (BUCKET, PERIOD)}
+    out = {c: F.coalesce(F.col(c), F.col(f"_old_{c}")) for c in (BUCKET, PERIOD, spec.sequence)}
+    moved = F.col(spec.sequence) != F.col(f"_old_{spec.sequence}") if seeded else F.lit(False)
     out |= {
         spec.current: flag,
         spec.stamp: F.current_timestamp() if now is None else now,
@@ -258,7 +266,7 @@ def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: Histor
     }
     return (
         both.withColumns(out)
-        .filter(F.col("_was").isNull() | (F.col("_was") != F.col(spec.current)))
+        .filter(F.col("_was").isNull() | (F.col("_was") != F.col(spec.current)) | F.coalesce(moved, F.lit(False)))
         .select(*new.columns, "_was")
     )
 

@@ -19,16 +19,19 @@ def stream_windows(
     path: str,
     checkpoint: str,
     ts: str = "ts",
-    late: str = "1 day",
+    late: str | None = None,
     dims: Sequence[str] = (),
 ) -> StreamingQuery:
     """Windows as they change, one directory per batch; read them with :func:`read_windows`.
 
-    The watermark bounds the state: rows later than ``late`` are dropped.  A
-    replayed batch overwrites its own directory.
+    No row comes too late: a window's sums stay in the state, two numbers a window,
+    however old it is.  Only if ``late`` is given, rows later than that are dropped
+    and the state is bounded by it.  A replayed batch overwrites its own directory.
     """
-    # A watermark needs an instant; wall-clock times are read in the session zone.
-    at = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    # Windows and watermarks need an instant; wall-clock times are read in the session zone.
+    at = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    if late is not None:
+        at = at.withWatermark(ts, late)
     windows = metric_windows(at, period, statistic, dims, ts)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
