@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -144,13 +145,12 @@ def seeded_versions(
     values are not valid was never stored and cannot take part, and a stored version
     that a late row makes redundant stays stored.
     """
-    seeds = seed_versions(target, staged, spec, hot)
-    begun = seeds.select(*staged.columns, F.lit(True).alias("_seed"))
-    after = later_versions(target, staged, spec, hot).select(*staged.columns).unionByName(staged)
-    rows = begun.unionByName(after.withColumn("_seed", F.lit(False)))
-    # An exchange of its own: the sides may each be partitioned by key already, in different
-    # ways, and what stands above must not take the union's partitioning from them.
-    rows = rows.repartition(spec.key) if hot is None else rows.repartition(spec.key, spec.ts)
+    # Both are read more than once. Written, they also have no partitioning by key left: a union
+    # whose sides all have one is zipped, and fails where their numbers of partitions differ.
+    seeds = written(seed_versions(target, staged, spec, hot), "seeds")
+    later = written(later_versions(target, staged, spec, hot).select(*staged.columns), "later")
+    sides = [(seeds.select(*staged.columns), True), (later, False), (staged, False)]
+    rows = reduce(DataFrame.unionByName, [side.withColumn("_seed", F.lit(seed)) for side, seed in sides])
     found = detect_changes(rows, spec, hot, track_deletes)
     versions = found.filter(F.col(NEEDED) & ~F.col("_seed")).select(*staged.columns)
     if hot is not None:
