@@ -99,3 +99,13 @@ def test_a_hot_key_without_any_time(spark):
     rows = spark.range(200).selectExpr("'A' as k", "cast(null as timestamp_ntz) as t")
     found = find_hot(rows, "k", "t", max_rows=10)
     assert found is not None and found.place(rows, "k", "t").select("_cell").distinct().count() == 1
+
+
+def test_a_burst_after_a_stray_date_is_still_cut(spark):
+    """One row long before all others, which come within an hour."""
+    data = [("hot", -20_000_000, 0, "first")] + [("hot", i % 61, i, str(i)) for i in range(1, 4000)]
+    df = frame(spark, data)
+    hot = find_hot(df, "k", "t", max_rows=200)
+    sizes = [r["count"] for r in hot.place(df, "k", "t").groupBy("_cell").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 200
+    assert computed(df, hot) == expected(data)

@@ -28,25 +28,35 @@ MAX_ROWS = 4_000_000
 # Bounds of what is broadcast: hot keys, and cells over all of them.
 MAX_HOT = 1_000
 MAX_CELLS = 200_000
+# A hot key's time is cut at so many quantiles at most, then evenly between them.
+QUANTILES = 256
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys with the origin, width and number of their time cells."""
+    """Hot keys with the edges of their time cells.
 
-    cuts: DataFrame  # _key, _from, _width, _last; at most MAX_HOT rows
+    Between two edges time is cut evenly.  The edges are quantiles of the key's own
+    times, so a burst or a stray early date does not put all rows into one cell.
+    """
+
+    cuts: DataFrame  # _key, _edges, _parts, _last; at most MAX_HOT rows
 
     def place(self, df: DataFrame, key: str, ts: str) -> DataFrame:
         """Add the cell of every row; -1 for keys that are not hot."""
-        at = F.floor((micros(df, ts) - F.col("_from")) / F.col("_width"))
+        at, edges = micros(df, ts), F.col("_edges")
+        # The first and the last span take what lies beyond the edges that were seen.
+        span = F.greatest(F.lit(1), F.least(F.size(edges) - 1, F.size(F.filter(edges, lambda e: e <= at))))
+        low, high = F.element_at(edges, span), F.element_at(edges, span + 1)
+        part = F.floor((at - low) * F.col("_parts") / (high - low))
+        part = F.greatest(F.lit(0), F.least(F.col("_parts") - 1, part))
         # Rows without a time sort first, so they belong to the first cell.
-        at = F.coalesce(at, F.lit(0))
-        cell = F.greatest(F.lit(0), F.least(F.col("_last"), at)).cast("int")
+        cell = F.coalesce((span - 1) * F.col("_parts") + part, F.lit(0)).cast("int")
         cuts = F.broadcast(self.cuts)
         return (
             df.join(cuts, df[key] == cuts["_key"], "left")
-            .withColumn(CELL, F.when(F.col("_from").isNotNull(), cell).otherwise(F.lit(-1)))
-            .drop("_key", "_from", "_width", "_last")
+            .withColumn(CELL, F.when(edges.isNotNull(), F.when(at.isNull(), 0).otherwise(cell)).otherwise(F.lit(-1)))
+            .drop("_key", "_edges", "_parts", "_last")
         )
 
     def split(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -66,7 +76,8 @@ def find_hot(
     """Look for keys with more than ``max_rows`` rows; None if there are none.
 
     Runs one small job: a sample in which a key at the limit still shows about
-    2 000 rows, counted with map-side combine.  At most ``max_hot`` rows come back.
+    2 000 rows, counted with map-side combine.  If there are hot keys, a second one
+    takes the quantiles of their times.  At most ``max_hot`` rows come back from each.
     A key missed here is not lost, it is just sorted by one task.
     """
     share = min(1.0, 2_000 / max_rows)
@@ -85,18 +96,28 @@ def find_hot(
     )
     if not found:
         return None
+    kind = df.schema[key].dataType
+    keys = small_table(df.sparkSession, [(r["_key"],) for r in found], T.StructType([T.StructField("_key", kind)]))
+    shares = [i / QUANTILES for i in range(1, QUANTILES)]
+    spread = narrow.join(F.broadcast(keys), "_key").groupBy("_key").agg(F.percentile_approx("_us", shares, 20 * QUANTILES).alias("at"))
+    at = {r["_key"]: r["at"] or [] for r in spread.collect()}
     rows = []
     for r in found:
         wanted = 64 * int(r["n"] / share / max_rows + 1)
         cells = max(2, min(wanted, max_cells // len(found)))
+        spans = min(cells, QUANTILES)
+        inner = at.get(r["_key"], [])
+        inner = [inner[i * QUANTILES // spans - 1] for i in range(1, spans)] if inner else []
         # A key may show no time at all: its rows are all in the first cell.
         low, high = r["lo"] or 0, r["hi"] or 0
-        rows.append((r["_key"], low, max(1, (high - low) // cells + 1), cells - 1))
+        edges = sorted({low, *inner, high + 1})
+        parts = cells // spans
+        rows.append((r["_key"], edges, parts, (len(edges) - 1) * parts - 1))
     schema = T.StructType(
         [
-            T.StructField("_key", df.schema[key].dataType),
-            T.StructField("_from", T.LongType()),
-            T.StructField("_width", T.LongType()),
+            T.StructField("_key", kind),
+            T.StructField("_edges", T.ArrayType(T.LongType())),
+            T.StructField("_parts", T.LongType()),
             T.StructField("_last", T.LongType()),
         ]
     )

@@ -967,16 +967,26 @@ def error_tail(spark, d):
 # --- Streams and the whole run -----------------------------------------------------------
 
 
+def _out_of_order(events: DataFrame, key: str, name: str):
+    """Lands the events of each key in three parts, the middle of its time last; yields after each."""
+    spark, landed = events.sparkSession, scratch(events.sparkSession, name)
+    third = F.ntile(3).over(Window.partitionBy(key).orderBy("ts", "event_id"))
+    parted = written(events.withColumn("third", third), "thirds")
+    for part in (1, 3, 2):
+        parted.where(F.col("third") == part).drop("third").write.mode("append").parquet(landed)
+        yield stream_table(spark, landed, events.schema)
+
+
 @query(sql.with_(sql.DIM, select="select * exclude (_dbt_updated_at) from dim"))
 def stream_scd2_history(spark, d):
-    schema = feeds.table(spark, d, "events").schema
-    events = stream_table(spark, f"{d}/events.parquet", schema)
-    path = scratch(spark, "stream")
+    """Three batches out of order, nothing filtered: the history of a full build."""
+    path, checkpoint = scratch(spark, "stream"), scratch(spark, "checkpoint")
 
     def prepare(batch: DataFrame) -> DataFrame:
         return staging.to_history_names(staging.stage_users(feeds.raw_from(batch)))
 
-    stream_scd2(events, USERS, path, scratch(spark, "checkpoint"), prepare).awaitTermination()
+    for events in _out_of_order(feeds.table(spark, d, "events"), "user_id", "late-changes"):
+        stream_scd2(events, USERS, path, checkpoint, prepare).awaitTermination()
     return tables.read_history(spark, path).drop("_dbt_updated_at")
 
 
@@ -993,14 +1003,9 @@ def stream_metric_windows(spark, d):
 @query(f"""select event_type as metric, {_tumbling(21600)} as window_start, sum(value) as value from events group by all""")
 def stream_metric_windows_late(spark, d):
     """The same from three batches out of order: the middle of the time comes last, far behind the others."""
-    events = feeds.table(spark, d, "events")
-    path, landed = scratch(spark, "windows"), scratch(spark, "late-events")
-    third = F.ntile(3).over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    parted = written(events.withColumn("third", third), "thirds")
-    checkpoint = scratch(spark, "checkpoint")
-    for part in (1, 3, 2):
-        parted.where(F.col("third") == part).drop("third").write.mode("append").parquet(landed)
-        values = stream_table(spark, landed, events.schema).select(F.col("event_type").alias("metric"), "ts", "value")
+    path, checkpoint = scratch(spark, "windows"), scratch(spark, "checkpoint")
+    for events in _out_of_order(feeds.table(spark, d, "events"), "event_type", "late-events"):
+        values = events.select(F.col("event_type").alias("metric"), "ts", "value")
         stream_windows(values, 21_600, "Sum", path, checkpoint).awaitTermination()
     return read_windows(spark, path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

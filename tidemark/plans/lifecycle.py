@@ -51,17 +51,29 @@ def raw_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def ingest(spark: SparkSession, source: DataFrame, paths: Paths, run_id: str, now: Column | None = None) -> int:
-    """Pull what is new since the last success, append it, then move the bookmark.
-
-    The bookmark moves only after the write, so a failed run is pulled again.
-    Count and mark are taken by the write itself; nothing is read twice.
+def ingest(
+    spark: SparkSession, source: DataFrame, paths: Paths, run_id: str, now: Column | None = None, overlap_days: int = 0
+) -> int:
+    """Pull what is new since the last success, land it, then move the bookmark.
+
+    The bookmark moves only after the write, and a run writes into a directory of its
+    own: one that is lost in between is pulled again and replaces what it had landed.
+    Count and mark are taken by the write itself.  With ``overlap_days`` the pull starts
+    that much before the bookmark, for rows that reached the source late; those that
+    were landed before are left out.
     """
     since = runs.last_mark(spark, paths.log, JOB)
     new = landing.read_incremental(source, MODIFIED, since)
+    if since and overlap_days:
+        start = F.lit(since).cast(source.schema[MODIFIED].dataType) - F.expr(f"interval {int(overlap_days)} days")
+        raw = tables.read_raw(spark, paths.raw, landing.stamp_extraction(source, run_id, now).schema)
+        had = raw.filter((F.col(MODIFIED) > start) & (F.col("_extraction_run_id") != run_id))
+        new = landing.read_incremental(source, MODIFIED, start).subtract(had.select(*source.columns))
     stamped = landing.stamp_extraction(new, run_id, now)
-    seen = tables.append_measured(stamped, paths.raw, F.max(MODIFIED).cast("string").alias("mark"))
-    runs.record(spark, paths.log, JOB, run_id, "succeeded", seen["mark"] or since)
+    seen = tables.land_run(stamped, paths.raw, run_id, F.max(MODIFIED).cast("string").alias("mark"))
+    # Late rows alone do not move the bookmark back.
+    mark = max((m for m in (seen["mark"], since) if m), default=None)
+    runs.record(spark, paths.log, JOB, run_id, "succeeded", mark)
     return seen["rows"]
 
 
@@ -75,6 +87,7 @@ def run_once(
     lookback_days: int | None = None,
     as_of=None,
     now: Column | None = None,
+    overlap_days: int = 0,
 ) -> dict:
     """One scheduled run. Raises :class:`~tidemark.operators.checks.QualityGateClosed`
     before the merge when too many rows are rejected.
@@ -82,11 +95,12 @@ def run_once(
     By default the batch's keys are staged with their whole raw history, so versions
     come out as in a full build.  With ``lookback_days`` only that many days of
     extracts before ``as_of`` are read and the stored history is continued.
+    ``overlap_days``: see :func:`ingest`.
     """
     paths, began = Paths(root), datetime.now(timezone.utc)
     # A run that was lost after it landed its batch goes on from there.
     landed = runs.has_state(spark, paths.log, JOB, run_id, "succeeded")
-    pulled = 0 if landed else ingest(spark, source, paths, run_id, now)
+    pulled = 0 if landed else ingest(spark, source, paths, run_id, now, overlap_days)
     result = {"run_id": run_id, "pulled": pulled}
     if not pulled and not landed:
         return result
@@ -105,7 +119,7 @@ def run_once(
     staged = match(rows, keys, USERS.key, "left_semi", hot)
     result |= tables.merge_into(
         spark, paths.history, staged, USERS, run_id=run_id, hot=hot,
-        seeded=lookback_days is not None, now=now, keys=keys,
+        seeded=lookback_days is not None, complete=lookback_days is None, now=now, keys=keys,
     )
     dim = tables.read_history(spark, paths.history)
     suite = report.scd_report(report.scd_suite(dim, USERS, hot))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -19,13 +21,13 @@ from tidemark.operators.merge import (
     merge_update_columns,
     updated_keys,
 )
-from tidemark.session import scratch, small_table, written
+from tidemark.session import small_table, written
 from tidemark.sources import runs
 from tidemark.spec import HistorySpec
 
 BUCKET, PERIOD = "_bucket", "_period"
 DAY = 86_400_000_000
-MERGE = "merge"
+MERGE, LAYOUT = "merge", "layout"
 COUNTS = ("records_created", "records_updated", "records_deleted")
 
 
@@ -45,6 +47,22 @@ def append_raw(df: DataFrame, path: str, partition: str = "_extracted_date") ->
     return append_measured(df, path, partition=partition)["rows"]
 
 
+def land_run(
+    df: DataFrame, path: str, run_id: str, *measures: Column,
+    run: str = "_extraction_run_id", partition: str = "_extracted_date",
+) -> dict:
+    """Write one run's rows into a directory of its own; returns ``rows`` and the measures.
+
+    A run that is repeated replaces what it left there before, so nothing is doubled.
+    """
+    seen = Observation()
+    counted = df.drop(run).observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(
+        f"{path}/{run}={quote(run_id, safe='')}"
+    )
+    return seen.get
+
+
 def read_raw(
     spark: SparkSession, path: str, schema: T.StructType | None = None, partition: str = "_extracted_date"
 ) -> DataFrame:
@@ -56,7 +74,8 @@ def read_raw(
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.withColumn(partition, F.col(partition).cast("string")) if partition in df.columns else df
+    named = [c for c in (partition, "_extraction_run_id") if c in df.columns]
+    return df.withColumns({c: F.col(c).cast("string") for c in named}) if named else df
 
 
 def create_or_replace(df: DataFrame, path: str) -> None:
@@ -114,10 +133,34 @@ def _write_parts(df: DataFrame, path: str, dynamic: bool) -> None:
 
 
 def write_history(dim: DataFrame, path: str, spec: HistorySpec, layout: Layout = Layout()) -> None:
-    """Full refresh: replace the stored history."""
+    """Full refresh: replace the stored history and its layout; repeat it if its driver is lost."""
+    _keep_layout(dim.sparkSession, path, spec, layout)
     _write_parts(layout.place(dim, spec), path, dynamic=False)
 
 
+def _keep_layout(spark: SparkSession, path: str, spec: HistorySpec, layout: Layout) -> None:
+    mark = json.dumps({**asdict(layout), "sequence": spec.sequence})
+    runs.record(spark, _log(path), LAYOUT, uuid.uuid4().hex, "succeeded", mark)
+
+
+def stored_layout(spark: SparkSession, path: str) -> tuple[Layout | None, str | None]:
+    """The layout a table was written with and its sequence column; None if it has no record of them."""
+    mark = runs.last_mark(spark, _log(path), LAYOUT)
+    if mark is None:
+        return None, None
+    known = json.loads(mark)
+    sequence = known.pop("sequence")
+    return Layout(**known), sequence
+
+
+def layout_of(spark: SparkSession, path: str, wanted: Layout | None = None) -> Layout:
+    """The layout to merge by: the table's own.  Another one asked for is refused."""
+    known, _ = stored_layout(spark, path)
+    if known is not None and wanted is not None and wanted != known:
+        raise ValueError(f"{path} is laid out by {known}, not by {wanted}")
+    return known or wanted or Layout()
+
+
 def _parts_schema(schema: T.StructType) -> T.StructType:
     plain = [f for f in schema if f.name not in (BUCKET, PERIOD)]
     return T.StructType([*plain, T.StructField(BUCKET, T.IntegerType()), T.StructField(PERIOD, T.IntegerType())])
@@ -129,7 +172,10 @@ def _read_parts(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return _read_parts(spark, path).drop(BUCKET, PERIOD)
+    """The versions in force; versions that were taken back stay stored with the sequence 0."""
+    _, sequence = stored_layout(spark, path)
+    rows = _read_parts(spark, path).drop(BUCKET, PERIOD)
+    return rows if sequence is None else rows.filter(F.col(sequence) > 0)
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
@@ -152,12 +198,23 @@ def _log(path: str) -> str:
     return path.rstrip("/") + "_runs"
 
 
+def _pending(path: str) -> str:
+    """Where a merge puts its directories before they replace the table's.
+
+    Next to the table, not in scratch space: it is needed until the run is applied,
+    and may be deleted after that.
+    """
+    return f"{path.rstrip('/')}_pending/{uuid.uuid4().hex}"
+
+
 def _apply(spark: SparkSession, path: str, run_id: str, staged: str, schema=None) -> None:
     """Replace directories of the table by the staged ones; doing it twice is harmless."""
-    rows = _read_parts(spark, staged, schema)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        BUCKET, PERIOD
-    ).parquet(path)
+    schema = schema or stored_schema(spark, staged)
+    if schema is not None:
+        rows = _read_parts(spark, staged, schema)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            BUCKET, PERIOD
+        ).parquet(path)
     runs.record(spark, _log(path), MERGE, run_id, "applied")
 
 
@@ -174,7 +231,7 @@ def recover(spark: SparkSession, path: str, run_id: str = "") -> bool:
 
 def _replace(df: DataFrame, path: str, run_id: str) -> None:
     spark = df.sparkSession
-    staged = scratch(spark, "staged")
+    staged = _pending(path)
     _write_parts(df, staged, dynamic=False)
     runs.record(spark, _log(path), MERGE, run_id, "staged", path=staged)
     _apply(spark, path, run_id, staged, df.schema)
@@ -186,51 +243,62 @@ def merge_into(
     staged: DataFrame,
     spec: HistorySpec,
     run_id: str | None = None,
-    layout: Layout = Layout(),
+    layout: Layout | None = None,
     hot: HotKeys | None = None,
     seeded: bool = False,
     per_key: bool = True,
     now: Column | None = None,
     keys: DataFrame | None = None,
+    complete: bool = False,
 ) -> dict[str, int]:
     """Merge staged rows into a stored history and return the merge's counts.
 
     ``keys`` are the keys to derive, if they are known; else those with rows newer than
     their own latest stored one, or with ``per_key`` off than the table's latest.
 
-    Only buckets of staged keys are read, and only directories that hold a changed
-    row are rewritten: to scratch space first, then over the old ones.  A run id
-    that was applied before is skipped, so a replayed batch changes nothing.
-    Versions whose current flag stays as it is are not touched.
+    ``complete`` says that all rows these keys ever had are staged.  Then the stored
+    versions become those of a full build, however late a row came: they are numbered
+    anew, and one that is no version any more is taken back (see :func:`read_history`).
+
+    The table's layout is kept with it; ``layout`` is for its first load.  Only buckets
+    of staged keys are read, and only directories that hold a changed row are rewritten:
+    next to the table first, then over the old ones.  A run id that was applied before
+    is skipped, so a replayed batch changes nothing.  Versions that stay as they are
+    keep their stamp.
     """
+    if seeded and complete:
+        raise ValueError("a staging of recent rows is not complete")
     run_id = run_id or uuid.uuid4().hex
     if recover(spark, path, run_id):
         return dict.fromkeys(COUNTS, 0)
     schema = stored_schema(spark, path)
     if schema is None:
-        return _first_load(path, staged, spec, run_id, layout, hot, now)
+        return _first_load(path, staged, spec, run_id, layout or Layout(), hot, now)
+    layout = layout_of(spark, path, layout)
     table = _read_parts(spark, path, schema)
     # At most layout.buckets numbers.
-    used = staged.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
+    source = staged if keys is None else keys
+    used = source.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
     near = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])) if used else table.limit(0)
     # The overall mark is the whole table's; all the rest needs only the near buckets.
     if keys is None:
         keys = updated_keys(staged, near if per_key else table, spec, per_key)
-    new, closers = derive(near.drop(BUCKET, PERIOD), staged, spec, hot, seeded, keys=keys, now=now)
+    standing = near.filter(F.col(spec.sequence) > 0).drop(BUCKET, PERIOD)
+    new, closers = derive(standing, staged, spec, hot, seeded, keys=keys, now=now)
     theirs = match(near, keys, spec.key, "left_semi", hot)
-    changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded), "changes")
+    changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded, complete), "changes")
 
     fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
     # One row per directory to rewrite; never more than the table has directories.
     parts = changes.groupBy(BUCKET, PERIOD).agg(
         F.count_if(fresh & ~gone).alias("records_created"),
-        F.count_if(~fresh).alias("records_updated"),
+        F.count_if(~fresh & (F.col("_was") != F.col(spec.current))).alias("records_updated"),
         F.count_if(fresh & gone).alias("records_deleted"),
     ).collect()
     counts = {c: sum(p[c] for p in parts) for c in COUNTS}
     if parts:
         merged = merge_on_key(
-            _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, seeded)
+            _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, True)
         )
         _replace(merged, path, run_id)
     else:
@@ -238,10 +306,13 @@ def merge_into(
     return counts
 
 
-def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now, seeded: bool = False) -> DataFrame:
+def _changes(
+    stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now, seeded: bool = False, complete: bool = False
+) -> DataFrame:
     """Versions to insert, and stored ones whose current flag moves (``_was`` is the old flag).
 
-    With ``seeded`` also stored ones whose number moves.
+    With ``seeded`` or ``complete`` also stored ones whose number moves; with ``complete``
+    a stored version that is not derived again gets the number 0.
 
     A version that is derived again is not closed on top of that.  Everything meets
     on the version id, so the derived versions are computed and shuffled once.
@@ -252,29 +323,35 @@ def _changes(stored: DataFrame, new: DataFrame, closers: DataFrame, spec: Histor
     have = have.withColumnsRenamed({f"_old_{spec.version_id}": spec.version_id, spec.deleted: "_old_deleted"})
     have = have.join(closing, spec.version_id, "left")
     both = new.withColumn("_new", F.lit(True)).join(have, spec.version_id, "full_outer")
-    flag = F.when(F.col("_new"), F.col(spec.current)).otherwise(
-        F.col(f"_old_{spec.current}") & F.col("_close").isNull()
-    )
-    was = F.col(f"_old_{spec.current}")
-    out = {c: F.coalesce(F.col(c), F.col(f"_old_{c}")) for c in (BUCKET, PERIOD, spec.sequence)}
-    moved = F.col(spec.sequence) != F.col(f"_old_{spec.sequence}") if seeded else F.lit(False)
+    was, number = F.col(f"_old_{spec.current}"), F.col(f"_old_{spec.sequence}")
+    flag = F.when(F.col("_new"), F.col(spec.current)).otherwise(F.lit(False) if complete else was & F.col("_close").isNull())
+    if complete:
+        position = F.when(F.col("_new"), F.col(spec.sequence)).otherwise(F.lit(0))
+    elif seeded:
+        position = F.coalesce(F.col(spec.sequence), number)
+    else:
+        # A version that was taken back and is derived again comes back with its number.
+        position = F.when(number > 0, number).otherwise(F.coalesce(F.col(spec.sequence), number))
+    out = {c: F.coalesce(F.col(c), F.col(f"_old_{c}")) for c in (BUCKET, PERIOD)}
     out |= {
+        spec.sequence: position.cast(new.schema[spec.sequence].dataType),
         spec.current: flag,
         spec.stamp: F.current_timestamp() if now is None else now,
         spec.deleted: F.coalesce(F.col(spec.deleted), F.col("_old_deleted")),
         "_was": was,
+        "_moved": F.coalesce(position != number, F.lit(False)),
     }
     return (
         both.withColumns(out)
-        .filter(F.col("_was").isNull() | (F.col("_was") != F.col(spec.current)) | F.coalesce(moved, F.lit(False)))
+        .filter(F.col("_was").isNull() | (F.col("_was") != F.col(spec.current)) | F.col("_moved"))
         .select(*new.columns, "_was")
     )
 
 
 def _first_load(path, staged, spec, run_id, layout, hot, now) -> dict[str, int]:
     spark = staged.sparkSession
-    write_history(scd2_build(staged, spec, hot, now=now), path, spec, layout)
-    runs.record(spark, _log(path), MERGE, run_id, "applied")
+    _keep_layout(spark, path, spec, layout)
+    _replace(layout.place(scd2_build(staged, spec, hot, now=now), spec), path, run_id)
     counts = read_history(spark, path).agg(
         F.count_if(~F.col(spec.deleted)).alias("records_created"),
         F.lit(0).cast("bigint").alias("records_updated"),
@@ -310,7 +387,7 @@ def compact(
     rows = _only(table, parts).join(F.broadcast(wanted), [BUCKET, PERIOD]).withColumn("_slot", slot)
     total = sum(p["_files"] for p in parts)
     spread = rows.repartition(total, BUCKET, PERIOD, "_slot").drop("_slot", "_files")
-    run_id, staged = f"compact-{uuid.uuid4().hex}", scratch(spark, "staged")
+    run_id, staged = f"compact-{uuid.uuid4().hex}", _pending(path)
     spread.write.partitionBy(BUCKET, PERIOD).parquet(staged)
     runs.record(spark, _log(path), MERGE, run_id, "staged", path=staged)
     _apply(spark, path, run_id, staged)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tidemark.functions.ids import bucket_of
 from tidemark.operators.keyed import find_hot
-from tidemark.sources.tables import Layout, merge_into
+from tidemark.sources.tables import BUCKET, Layout, layout_of, merge_into
 from tidemark.spec import HistorySpec
 
+BATCH = "_batch"
+
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """A parquet table as a stream; ``path`` may be a directory or a single file."""
@@ -22,41 +25,52 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files
     return reader.parquet(path[:-1] + f"[{path[-1]}]")
 
 
+def keep_batch(rows: DataFrame, store: str, batch_id: int, spec: HistorySpec, buckets: int) -> DataFrame:
+    """Store a batch's staged rows and return all rows so far of its hash buckets.
+
+    A batch has a directory of its own, which a replay replaces.
+    """
+    spark = rows.sparkSession
+    placed = rows.withColumn(BUCKET, bucket_of(spec.key, buckets))
+    placed.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        BUCKET
+    ).parquet(f"{store}/{BATCH}={batch_id}")
+    whole = T.StructType([*rows.schema, T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+    kept = spark.read.schema(whole).parquet(store).filter(F.col(BATCH) <= batch_id)
+    # At most ``buckets`` numbers.
+    used = [r[0] for r in kept.filter(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()]
+    return kept.filter(F.col(BUCKET).isin(*used)) if used else kept.limit(0)
+
+
 def stream_scd2(
     stream: DataFrame,
     spec: HistorySpec,
     path: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-    layout: Layout = Layout(),
+    layout: Layout | None = None,
     name: str = "history",
-    per_key: bool = True,
     max_rows: int | None = None,
 ) -> StreamingQuery:
     """Process what is available and stop; start again to go on from the checkpoint.
 
-    ``prepare`` turns a batch into staged rows.  A batch holds only new rows, so
-    change detection continues from the stored history.  The batch id is the
-    merge's run id: a batch replayed after a failure is not merged twice.
+    ``prepare`` turns a batch into staged rows.  They are kept next to the history, and
+    the keys of a batch are derived from all rows they ever had, so rows may come late,
+    in any order and with values that are not valid: the history is that of a full build.
+    A batch reads its keys' hash buckets, no others.  The batch id is the merge's run id:
+    a batch replayed after a failure is not merged twice.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch)
-        if rows.isEmpty():
+        spark, limit = batch.sparkSession, {} if max_rows is None else {"max_rows": max_rows}
+        buckets = layout_of(spark, path, layout).buckets
+        near = keep_batch(prepare(batch), path.rstrip("/") + "_staged", batch_id, spec, buckets)
+        keys = near.filter(F.col(BATCH) == batch_id).select(spec.key).distinct()
+        if keys.isEmpty():
             return
-        limit = {} if max_rows is None else {"max_rows": max_rows}
+        rows = near.drop(BATCH, BUCKET)
         hot = find_hot(rows, spec.key, spec.ts, **limit)
-        merge_into(
-            batch.sparkSession,
-            path,
-            rows,
-            spec,
-            run_id=f"{name}-{batch_id}",
-            layout=layout,
-            hot=hot,
-            seeded=True,
-            per_key=per_key,
-        )
+        merge_into(spark, path, rows, spec, run_id=f"{name}-{batch_id}", layout=layout, hot=hot, keys=keys, complete=True)
 
     return (
         stream.writeStream.foreachBatch(merge)
