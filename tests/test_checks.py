@@ -23,7 +23,7 @@ def test_checks_do_not_depend_on_hot_keys(spark, small):
     assert same(history.with_validity(dim, USERS, hot), history.with_validity(dim, USERS))
     assert same(history.version_tracking(dim, USERS, hot), history.version_tracking(dim, USERS))
     assert same(history.ensure_currency(dim, USERS, hot), history.ensure_currency(dim, USERS))
-    assert same(serve.state_at(dim, USERS, catalog.MIDDLE, hot), serve.state_at(dim, USERS, catalog.MIDDLE))
+    assert same(serve.state_at(history.with_validity(dim, USERS, hot), USERS, catalog.MIDDLE), serve.state_at(dim, USERS, catalog.MIDDLE))
 
 
 def test_gate(spark):

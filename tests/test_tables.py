@@ -251,3 +251,59 @@ def test_lifecycle_goes_on_after_a_lost_merge(spark, tmp_path, monkeypatch):
     again = lifecycle.run_once(spark, source, root, "r1")
     assert again["pulled"] == 0 and again["records_created"] == 2
     assert tables.read_raw(spark, lifecycle.Paths(root).raw).count() == 2
+
+
+def test_a_late_row_makes_the_history_of_a_full_build(spark, tmp_path):
+    """It opens a version, turns its follower into one, and takes another back."""
+    path = str(tmp_path / "h")
+    first = rows(spark, ("A", 1, "North", False), ("A", 4, "South", False), ("A", 8, "South", False), ("B", 2, "East", False))
+    tables.merge_into(spark, path, first, USERS, run_id="r1", layout=LAYOUT, now=now(), complete=True)
+    late = first.unionByName(rows(spark, ("A", 2, "South", False), ("A", 6, "Nowhere", False)))
+    tables.merge_into(spark, path, late, USERS, run_id="r2", now=now(), complete=True, per_key=False, keys=late.select("user_id").distinct())
+    assert shape(tables.read_history(spark, path)) == shape(build(late))
+    # What was taken back comes again with the row that made it a version.
+    later = late.unionByName(rows(spark, ("A", 3, "North", False)))
+    tables.merge_into(spark, path, later, USERS, run_id="r3", now=now(), complete=True, keys=late.select("user_id").distinct())
+    assert shape(tables.read_history(spark, path)) == shape(build(later))
+
+
+def test_another_layout_is_refused(spark, stored):
+    first, path = stored
+    with pytest.raises(ValueError, match="laid out"):
+        tables.merge_into(spark, path, first, USERS, run_id="x", layout=tables.Layout(16, 10), now=now())
+    later = first.unionByName(rows(spark, ("K2", 33, "East", False)))
+    tables.merge_into(spark, path, later, USERS, run_id="y", now=now())
+    assert shape(tables.read_history(spark, path)) == shape(build(later))
+
+
+def test_first_load_lost_before_it_is_applied(spark, tmp_path, monkeypatch):
+    path, batch, apply = str(tmp_path / "h"), rows(spark, (1, "North", False), (2, "South", False)), tables._apply
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "_apply", lost)
+    with pytest.raises(RuntimeError):
+        tables.merge_into(spark, path, batch, USERS, run_id="r", layout=LAYOUT, now=now())
+    assert not os.path.exists(path)
+    monkeypatch.setattr(tables, "_apply", apply)
+    tables.merge_into(spark, path, batch, USERS, run_id="r", layout=LAYOUT, now=now())
+    assert shape(tables.read_history(spark, path)) == shape(build(batch))
+
+
+def test_a_run_lost_before_its_bookmark_is_not_doubled(spark, tmp_path, monkeypatch):
+    paths, record = lifecycle.Paths(str(tmp_path)), runs.record
+    source = spark.createDataFrame([(str(i), at(i)) for i in range(9)], "id string, lastmodifieddate timestamp_ntz")
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(runs, "record", lost)
+    with pytest.raises(RuntimeError):
+        lifecycle.ingest(spark, source.filter("id < '5'"), paths, "r1")
+    monkeypatch.setattr(runs, "record", record)
+    assert lifecycle.ingest(spark, source.filter("id < '7' and id <> '3'"), paths, "r1") == 6
+    # The row that reached the source late is found by the overlap, and nothing else again.
+    assert lifecycle.ingest(spark, source, paths, "r2", overlap_days=9) == 3
+    assert sorted(r.id for r in tables.read_raw(spark, paths.raw).collect()) == [str(i) for i in range(9)]
+    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(at(8))

@@ -24,6 +24,13 @@ def micros(df: DataFrame, column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
+def from_micros(df: DataFrame, column: str, us: Column) -> Column:
+    """Microseconds since 1970 as a time of the column's own type."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(us / 1_000_000).cast("decimal(18,6)"))
+    return F.timestamp_micros(us)
+
+
 def whole_days(later: str, earlier: str) -> Column:
     """Whole days between two times."""
     return F.expr(f"cast(extract(day from (`{later}` - `{earlier}`)) as bigint)")

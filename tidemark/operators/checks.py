@@ -362,11 +362,15 @@ def reject_rate(df: DataFrame, rules: Sequence[tuple[str, Column]], max_percent:
 
 
 class QualityGateClosed(RuntimeError):
-    """Raised when a gated measure failed."""
+    """Raised when a gated measure failed; ``measures`` names all of them."""
+
+    def __init__(self, measures: Sequence[str]):
+        super().__init__("failed: " + ", ".join(measures))
+        self.measures = list(measures)
 
 
 def gate(report: DataFrame, passed: str = "passed", name: str = "measure") -> None:
     """Go on only if every row of a small report passed; reads the report once."""
-    failed = [r[0] for r in report.filter(~F.col(passed)).select(name).orderBy(name).collect()]
+    failed = [str(r[0]) for r in report.filter(~F.col(passed)).select(name).orderBy(name).collect()]
     if failed:
-        raise QualityGateClosed("failed: " + ", ".join(str(f) for f in failed))
+        raise QualityGateClosed(failed)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.times import moment
+from tidemark.functions.times import from_micros, micros, moment
 from tidemark.session import small_table
 
 
@@ -101,16 +101,21 @@ def evaluate_rules(windows: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
     """Each window against each rule of its metric; ``breach`` by the rule's operator."""
     table = rule_table(windows.sparkSession, rules).withColumnRenamed("missing", "treat_missing")
     joined = windows.drop("missing").join(F.broadcast(table), "metric")
+    return _judged(joined, "treat_missing").select(*STATE_COLUMNS)
+
+
+STATE_COLUMNS = ("alarm", "metric", "window_start", "value", "operator", "threshold", "severity", "breach")
+
+
+def _judged(rows: DataFrame, missing: str) -> DataFrame:
     value, limit = F.col("value"), F.col("threshold")
     breach = (
-        F.when(value.isNull(), F.col("treat_missing") == "breaching")
+        F.when(value.isNull(), F.col(missing) == "breaching")
         .when(F.col("operator") == ">=", value >= limit)
         .when(F.col("operator") == ">", value > limit)
         .when(F.col("operator") == "<", value < limit)
     )
-    return joined.withColumn("breach", breach).select(
-        "alarm", "metric", "window_start", "value", "operator", "threshold", "severity", "breach"
-    )
+    return rows.withColumn("breach", breach)
 
 
 def consecutive_breach(evals: DataFrame, n: int) -> DataFrame:
@@ -121,18 +126,32 @@ def consecutive_breach(evals: DataFrame, n: int) -> DataFrame:
 
 
 def alarm_states(metrics: DataFrame, rules: Sequence[AlarmRule], start, end, ts: str = "ts") -> DataFrame:
-    """State of every alarm in every period of ``[start, end)``."""
-    shapes: dict[tuple, list[AlarmRule]] = {}
-    for r in rules:
-        shapes.setdefault((r.period, r.statistic, r.periods), []).append(r)
-    out = None
-    for (period, statistic, n), group in sorted(shapes.items()):
-        names = sorted({r.metric for r in group})
-        seen = metric_windows(metrics.filter(F.col("metric").isin(names)), period, statistic, ts=ts)
-        full = fill_missing(seen, period, start, end, names)
-        states = consecutive_breach(evaluate_rules(full, group), n)
-        out = states if out is None else out.unionByName(states)
-    return out
+    """State of every alarm in every period of ``[start, end)``.
+
+    One pass for all rules: a row counts in one window of each period there is, and sums
+    and counts meet in one map-side aggregate.  The rest is as long as the rules' periods.
+    """
+    table = rule_table(metrics.sparkSession, rules)
+    names, periods = sorted({r.metric for r in rules}), sorted({r.period for r in rules})
+    us = micros(metrics, ts)
+    wide = metrics.filter(F.col("metric").isin(names)).withColumn("_us", us)
+    wide = wide.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods])))
+    step = F.col("period").cast("bigint") * 1_000_000
+    wide = wide.withColumn("_start", F.col("_us") - F.pmod(F.col("_us"), step))
+    seen = wide.groupBy("metric", "period", "_start").agg(*[f("value").alias(f"_{name}") for name, f in STATISTICS.items()])
+    bounds = table.select("*", moment(metrics, ts, start).alias("_first"), moment(metrics, ts, end).alias("_last"))
+    first, last = micros(bounds, "_first"), micros(bounds, "_last")
+    line = F.explode(F.sequence(first, last - step, step)).alias("_start")
+    full = bounds.select(*table.columns, line).join(seen, ["metric", "period", "_start"], "left")
+    value = F.coalesce(*[F.when(F.col("statistic") == name, F.col(f"_{name}")) for name in STATISTICS])
+    states = _judged(full.withColumns({"value": value, "window_start": from_micros(metrics, ts, F.col("_start"))}), "missing")
+    # The periods since the last one that did not breach.
+    order = Window.partitionBy("alarm").orderBy("_start")
+    place = F.row_number().over(order)
+    states = states.withColumn("_place", place)
+    quiet = F.max(F.when(~F.col("breach"), F.col("_place"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    held = F.col("_place") - F.coalesce(quiet, F.lit(0)) >= F.col("periods")
+    return states.withColumn("in_alarm", held).select(*STATE_COLUMNS, "in_alarm")
 
 
 def volume_alarm(metrics: DataFrame, start, end, minimum: int = 100, metric: str = "RecordsProcessed") -> DataFrame:
@@ -165,6 +184,33 @@ def durations(runs: DataFrame, started: str, ended: str, job: str) -> DataFrame:
     )
 
 
+def run_metrics(raw: DataFrame, broken: Column, failures: dict[str, Column], dim: DataFrame, spec, key: str, started: str, ended: str, run: str) -> DataFrame:
+    """(metric, ts, value): what the alarms watch, from the landed rows of each run and the history.
+
+    ``broken`` tells rejected rows, ``failures`` further counts by metric name.  The
+    integrity score is the percent of a run's keys with exactly one current version.
+    """
+    n, bad = F.count(F.lit(1)), F.count_if(F.coalesce(broken, F.lit(False)))
+    at = F.min(ended).alias("ts")
+    values = {
+        "RecordsProcessed": n,
+        "DataQualityScore": 100 * (1 - F.try_divide(bad, n)),
+        "ExecutionTime": _millis(F.max(ended)) - _millis(F.min(started)),
+        **{name: F.count_if(F.coalesce(c, F.lit(False))) for name, c in failures.items()},
+    }
+    runs = raw.groupBy(run).agg(at, *[F.round(v.cast("double"), 4).alias(k) for k, v in values.items()])
+    pairs = ", ".join(f"'{k}', `{k}`" for k in values)
+    long = runs.select("ts", F.expr(f"stack({len(values)}, {pairs}) as (metric, value)"))
+    live = dim.groupBy(F.col(spec.key).alias(key)).agg((F.count_if(F.col(spec.current)) == 1).alias("_one"))
+    keys = raw.filter(F.col(key).isNotNull()).groupBy(run, key).agg(F.min(ended).alias("ts")).join(live, key)
+    whole = keys.groupBy(run).agg(F.min("ts").alias("ts"), F.round(100 * F.avg(F.col("_one").cast("int")), 4).alias("value"))
+    return long.select("metric", "ts", "value").unionByName(whole.select(F.lit("SCDIntegrityScore").alias("metric"), "ts", "value"))
+
+
+def _millis(at: Column) -> Column:
+    return F.unix_timestamp(at.cast("timestamp")) * 1000
+
+
 def error_tail(logs: DataFrame, pattern: str = "ERROR", n: int = 20) -> DataFrame:
     """The ``n`` latest log lines matching a pattern."""
     return logs.filter(F.col("message").rlike(pattern)).orderBy(F.col("ts").desc(), "message").limit(n)

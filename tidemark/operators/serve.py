@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import moment
-from tidemark.operators.history import with_validity
 from tidemark.operators.keyed import HotKeys, ordered
 from tidemark.spec import HistorySpec
 
@@ -35,14 +34,25 @@ def change_analysis(dim: DataFrame, spec: HistorySpec, column: str) -> DataFrame
     )
 
 
-def state_at(dim: DataFrame, spec: HistorySpec, at, hot: HotKeys | None = None) -> DataFrame:
-    """The version of each key in force at a time."""
-    valid = dim if "effective_to" in dim.columns else with_validity(dim, spec, hot)
+def state_at(dim: DataFrame, spec: HistorySpec, at) -> DataFrame:
+    """The version of each key in force at a time.
+
+    One aggregate with map-side combine: the last version up to then, and the first
+    time after it.  A history that carries its validity is only filtered.
+    """
     when = moment(dim, spec.ts, at)
-    return valid.filter(
-        (F.col("effective_from") <= when)
-        & (F.col("effective_to").isNull() | (F.col("effective_to") > when))
+    if "effective_to" in dim.columns:
+        ended = F.col("effective_to").isNull() | (F.col("effective_to") > when)
+        return dim.filter((F.col("effective_from") <= when) & ended)
+    started, rest = F.col(spec.ts) <= when, [c for c in dim.columns if c != spec.key]
+    order = F.struct(*[F.col(c) for c in spec.order(dim.columns)])
+    found = dim.groupBy(spec.key).agg(
+        F.max_by(F.struct(*rest), F.when(started, order)).alias("_version"),
+        F.min(F.when(F.col(spec.ts) > when, F.col(spec.ts))).alias("effective_to"),
     )
+    out = found.filter(F.col("_version").isNotNull())
+    out = out.select(*[F.col(c) if c == spec.key else F.col(f"_version.{c}").alias(c) for c in dim.columns], "effective_to")
+    return out.withColumn("effective_from", F.col(spec.ts))
 
 
 def as_of(

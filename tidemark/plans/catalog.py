@@ -14,7 +14,7 @@ from tidemark.operators import checks, history, merge, metrics, report, serve, s
 from tidemark.operators.keyed import HotKeys, find_hot
 from tidemark.operators.metrics import AlarmRule
 from tidemark.plans import expected as sql, feeds, lifecycle
-from tidemark.session import scratch, written
+from tidemark.session import scratch, small_table, written
 from tidemark.sources import landing, runs, tables
 from tidemark.spec import AUDIT_PHASES, DIVISIONS, USERS
 from tidemark.streaming.history import stream_scd2, stream_table
@@ -185,6 +185,55 @@ def valid_members(spark, d):
     return staging.in_lists(Feed(spark, d).rows, USERS.valid)
 
 
+@query(sql.with_(sql.RAW, select=f"{_RECORDS} where lastmodifieddate > (select max(lastmodifieddate) from raw)"))
+def empty_pull(spark, d):
+    """Nothing follows the mark: no rows, the whole schema."""
+    raw = Feed(spark, d).raw
+    mark = raw.agg(F.max("lastmodifieddate")).first()[0]
+    fields = ["id", "name", "division", "audit_phase__c", "isactive", "createddate", "lastmodifieddate", "isdeleted"]
+    return landing.read_incremental(raw, "lastmodifieddate", mark, fields)
+
+
+@query(sql.with_(sql.RAW, select=f"""select id, lastmodifieddate, row_number() over (order by lastmodifieddate, id) as place
+from raw where lastmodifieddate > timestamp '{SPLIT}' and id is not null"""))
+def ordered_extract(spark, d):
+    """The extract in order, written and numbered as it was written."""
+    rows = landing.read_incremental(Feed(spark, d).raw.filter("id is not null"), "lastmodifieddate", SPLIT, ["id", "lastmodifieddate"], ordered=True)
+    back = written(rows, "ordered")
+    return back.withColumn("place", F.row_number().over(Window.orderBy("lastmodifieddate", "id")))
+
+
+@query(sql.with_(sql.USERS, select="select * from staged"))
+def replaced_table(spark, d):
+    """A table replaced by another one, read back through a view."""
+    f, path = Feed(spark, d), scratch(spark, "replaced")
+    tables.create_or_replace(f.raw, path)
+    tables.create_or_replace(f.staged, path)
+    tables.publish_view(spark.read.parquet(path), "replaced_rows")
+    return spark.table("replaced_rows")
+
+
+_ANALYZED = ("division", "audit_phase__c", "_extraction_run_id")
+
+
+@query(sql.with_(sql.DIM, select=" union all ".join(
+    f"select '{c}' as column_name, (count(*) - count({c}))::varchar as num_nulls, max(len({c}::varchar))::varchar as max_col_len from dim" for c in _ANALYZED
+)))
+def analyzed_columns(spark, d):
+    """Statistics of a catalog table's columns, as the catalog gives them afterwards."""
+    path = scratch(spark, "analyzed")
+    Feed(spark, d).dim.write.parquet(path)
+    name = "analyzed_" + path.rsplit("-", 1)[1]
+    spark.sql(f"create table {name} using parquet location '{path}'")
+    tables.analyze(spark, name)
+    found = []
+    for c in _ANALYZED:
+        got = {r["info_name"]: r["info_value"] for r in spark.sql(f"describe extended {name} {c}").collect()}
+        found.append((c, got["num_nulls"], got["max_col_len"]))
+    spark.sql(f"drop table {name}")
+    return small_table(spark, found, "column_name string, num_nulls string, max_col_len string")
+
+
 @query(sql.with_(sql.RAW, select="""select id, lastmodifieddate as update_date,
   coalesce(isdeleted, false) as is_deleted,
   case when isdeleted then false end as is_current,
@@ -387,7 +436,7 @@ def scd_division_changes(spark, d):
 from valid_dim where effective_from <= timestamp '{MIDDLE}' and (effective_to is null or effective_to > timestamp '{MIDDLE}')"""))
 def scd_state_at(spark, d):
     f = Feed(spark, d)
-    return serve.state_at(f.dim, USERS, MIDDLE, f.hot).select("_scd_id", "user_id", "division", "effective_from", "effective_to")
+    return serve.state_at(f.dim, USERS, MIDDLE).select("_scd_id", "user_id", "division", "effective_from", "effective_to")
 
 
 @query(sql.with_(sql.DIM, VALIDITY, select="""select e.event_id, e.ts, e.value, 'U' || lpad(cast(e.user_id as string), 5, '0') as user_key,
@@ -652,6 +701,27 @@ def volume_anomaly(spark, d):
     return checks.volume_anomaly(daily, "_extraction_run_id", "record_count", 320, 345, 5.0)
 
 
+@query(sql.with_(sql.RAW, select=f"select *, {_REASON} as reject_reason from raw where {_REASON} is not null"))
+def quarantine_sink(spark, d):
+    """The rejected rows as they were filed, a directory for each reason."""
+    path = scratch(spark, "quarantine")
+    tables.write_quarantine(checks.quarantine(Feed(spark, d).raw, lifecycle.raw_rules())[1], path)
+    return spark.read.parquet(path).withColumn("_extracted_date", F.col("_extracted_date").cast("string"))
+
+
+@query(sql.with_(sql.USERS, select="""select unnest(['accepted:audit_phase__c', 'required:division', 'unique:id']) as measure"""))
+def closed_gate(spark, d):
+    """The measures a gate names when it stops a run, each of them."""
+    rules = {"required": ["name", "division"], "unique": ["id"], "accepted": {"audit_phase__c": AUDIT_PHASES}}
+    report = checks.apply_rules(Feed(spark, d).staged, rules)
+    try:
+        checks.gate(report, name="rule")
+        failed = []
+    except checks.QualityGateClosed as closed:
+        failed = closed.measures
+    return small_table(spark, [(m,) for m in failed], "measure string")
+
+
 def _staged_rules():
     return [
         ("division", ~F.col("division").isin(*DIVISIONS)),
@@ -704,6 +774,15 @@ def scd_report(spark, d):
     return report.scd_report(report.scd_suite(f.dim, USERS, f.hot)).drop("report_generated_at")
 
 
+@query(sql.with_(sql.DIM, _NEIGHBOURS, select=_REPORT))
+def report_sink(spark, d):
+    """The report as its JSON file holds it."""
+    f, path = Feed(spark, d), scratch(spark, "report")
+    lines = report.scd_report(report.scd_suite(f.dim, USERS, f.hot))
+    tables.write_report(lines, path)
+    return spark.read.schema(lines.schema).json(path).drop("report_generated_at")
+
+
 @query(sql.with_(sql.DIM, _NEIGHBOURS, select=f"""select count(*) as total_tests, count(*) filter (where test_status = 'PASS') as passed,
   count(*) filter (where test_status <> 'PASS') as failed,
   round(count(*) filter (where test_status = 'PASS') / count(*) * 100, 2) as success_rate from ({_REPORT}) r"""))
@@ -748,6 +827,14 @@ def closed_versions(spark, d):
     return merge.close_versions(f.old, keys, USERS, f.build(recent), now())
 
 
+@query(sql.with_(*_OLD_DIM, _KEYS, select="""select * replace (false as is_current) from old
+where is_current and user_id in (select user_id from keys)"""))
+def closed_all_versions(spark, d):
+    """Every current version of an updated key, derived again or not."""
+    f = Feed(spark, d)
+    return merge.close_versions(f.old, merge.updated_keys(f.rows, f.old, USERS), USERS, now=now())
+
+
 @query(sql.with_(sql.DIM, select="select * from dim"))
 def scd2_merge(spark, d):
     """Two batches merged equal one full build."""
@@ -885,7 +972,7 @@ def _spine(seconds: int) -> str:
     interval {seconds} second)) as window_start)"""
 
 
-def _alarm_sql(r: AlarmRule) -> str:
+def _alarm_sql(r: AlarmRule, source: str = "events", name: str = "event_type") -> str:
     agg = {"Sum": "sum", "Average": "avg"}[r.statistic]
     missing = "true" if r.missing == "breaching" else "false"
     return f"""select '{r.alarm}' as alarm, '{r.metric}' as metric, window_start, value, '{r.operator}' as operator,
@@ -893,7 +980,7 @@ def _alarm_sql(r: AlarmRule) -> str:
     count(*) filter (where breach) over (order by window_start rows between {r.periods - 1} preceding and current row) = {r.periods} as in_alarm
   from (select s.window_start, w.value, case when w.value is null then {missing} else w.value {r.operator} {r.threshold} end as breach
     from {_spine(r.period)} s left join (select {_tumbling(r.period)} as window_start, {agg}(value) as value
-      from events where event_type = '{r.metric}' group by all) w on s.window_start = w.window_start)"""
+      from {source} where {name} = '{r.metric}' group by all) w on s.window_start = w.window_start)"""
 
 
 STATES = "states as (" + "\n union all ".join(_alarm_sql(r) for r in EVENT_ALARMS) + ")"
@@ -939,6 +1026,51 @@ def composite_alarm(spark, d):
     return metrics.composite(_states(spark, d))
 
 
+_RUN_METRICS = f"""m as (
+  select unnest(['RecordsProcessed', 'DataQualityScore', 'ExecutionTime', 'ExecutionsFailed', 'NumFailedTasks', 'RunnerErrors', 'ValidatorErrors']) as metric, ts,
+    unnest([n::double, round(100 * (1 - rejected / n), 4)::double, ms::double, no_time::double, no_id::double, no_name::double, rejected::double]) as value
+  from (select _extraction_run_id, min(_extracted_at) as ts, count(*) as n, count({_REASON}) as rejected,
+      count(*) filter (where lastmodifieddate is null) as no_time, count(*) filter (where id is null) as no_id,
+      count(*) filter (where name is null or trim(name) = '') as no_name,
+      1000 * date_diff('second', date_trunc('second', min(lastmodifieddate)), date_trunc('second', max(_extracted_at))) as ms
+    from raw group by _extraction_run_id)
+  union all select 'SCDIntegrityScore', min(ts), round(100 * avg(case when one then 1 else 0 end), 4)
+  from (select _extraction_run_id, id, min(_extracted_at) as ts from raw where id is not null group by all) k
+    join (select user_id, count(*) filter (where is_current) = 1 as one from dim group by user_id) l on k.id = l.user_id
+  group by _extraction_run_id)"""
+_RUN_STATES = "states as (" + "\n union all ".join(_alarm_sql(r, "m", "metric") for r in metrics.ALARMS) + ")"
+
+
+def _run_metrics(spark, d) -> DataFrame:
+    f = Feed(spark, d)
+    failures = {
+        "ExecutionsFailed": F.col("lastmodifieddate").isNull(), "NumFailedTasks": F.col("id").isNull(),
+        "RunnerErrors": is_blank("name"), "ValidatorErrors": checks.any_broken(lifecycle.raw_rules()),
+    }
+    return metrics.run_metrics(
+        f.raw, checks.any_broken(lifecycle.raw_rules()), failures, f.dim, USERS, "id", "lastmodifieddate", "_extracted_at", "_extraction_run_id"
+    )
+
+
+@query(sql.with_(sql.DIM, _RUN_METRICS, select="select metric, ts, value from m"))
+def run_metrics(spark, d):
+    """What the alarms watch, for each day's run of the feed."""
+    return _run_metrics(spark, d)
+
+
+@query(sql.with_(sql.DIM, _RUN_METRICS, _RUN_STATES, select="select * from states where in_alarm or breach or value is not null"))
+def run_alarms(spark, d):
+    """The monitored pipeline's own eight alarms over these metrics."""
+    states = metrics.alarm_states(_run_metrics(spark, d), metrics.ALARMS, START, END)
+    return states.filter("in_alarm or breach or value is not null")
+
+
+@query(sql.with_(sql.DIM, _RUN_METRICS, _RUN_STATES, select=f"""select window_start, bool_or(in_alarm) as in_alarm from states
+where alarm in {sql.listed(metrics.HEALTH_MEMBERS)} group by window_start"""))
+def run_health(spark, d):
+    return metrics.composite(metrics.alarm_states(_run_metrics(spark, d), metrics.ALARMS, START, END))
+
+
 _TYPES = ("click", "error", "purchase", "signup", "view")
 
 
@@ -1011,15 +1143,15 @@ def stream_metric_windows_late(spark, d):
 
 
 @query(sql.with_(
-    sql.HISTORY, "stamped as (select * replace (" + sql.NOW + " as _extracted_at, case when update_date < timestamp '"
+    sql.HISTORY, "stamped as (select * replace (" + sql.NOW + " as _extracted_at, case when _extracted_at < timestamp '"
     + SPLIT + "' then 'first' else 'second' end as _extraction_run_id) from src)",
     sql.dim("dim", "stamped"), select="select * from dim",
 ))
 def scheduled_runs(spark, d):
     """Two scheduled runs of the whole lifecycle, the second after more rows have arrived."""
-    source = Feed(spark, d).raw.drop("_extracted_at", "_extraction_run_id", "_extracted_date")
+    raw, made = Feed(spark, d).raw, ["_extracted_at", "_extraction_run_id", "_extracted_date"]
     root, at = scratch(spark, "runs"), F.lit(SPLIT).cast("timestamp_ntz")
-    early = source.filter(F.col("lastmodifieddate") < at)
-    lifecycle.run_once(spark, early, root, "first", max_reject_percent=10, now=now())
-    lifecycle.run_once(spark, source, root, "second", max_reject_percent=10, now=now())
+    early = raw.filter(F.col("_extracted_at") < at).drop(*made)
+    lifecycle.run_once(spark, early, root, "first", now=now())
+    lifecycle.run_once(spark, raw.drop(*made), root, "second", now=now())
     return tables.read_history(spark, lifecycle.Paths(root).history)
