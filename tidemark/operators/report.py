@@ -173,7 +173,7 @@ def require_success(report: DataFrame) -> None:
     """Raise if the report holds a FAIL line."""
     failed = report.filter(F.col("test_status") == "FAIL").select("test_name").orderBy("test_name").collect()
     if failed:
-        raise QualityGateClosed("failed: " + ", ".join(r[0] for r in failed))
+        raise QualityGateClosed([r[0] for r in failed])
 
 
 __all__ = [
