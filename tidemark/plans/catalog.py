@@ -194,13 +194,11 @@ def empty_pull(spark, d):
     return landing.read_incremental(raw, "lastmodifieddate", mark, fields)
 
 
-@query(sql.with_(sql.RAW, select=f"""select id, lastmodifieddate, row_number() over (order by lastmodifieddate, id) as place
-from raw where lastmodifieddate > timestamp '{SPLIT}' and id is not null"""))
+@query(sql.with_(sql.RAW, select=f"""select id, name, lastmodifieddate from raw
+where lastmodifieddate > timestamp '{SPLIT}' order by lastmodifieddate"""))
 def ordered_extract(spark, d):
-    """The extract in order, written and numbered as it was written."""
-    rows = landing.read_incremental(Feed(spark, d).raw.filter("id is not null"), "lastmodifieddate", SPLIT, ["id", "lastmodifieddate"], ordered=True)
-    back = written(rows, "ordered")
-    return back.withColumn("place", F.row_number().over(Window.orderBy("lastmodifieddate", "id")))
+    fields = ["id", "name", "lastmodifieddate"]
+    return landing.read_incremental(Feed(spark, d).raw, "lastmodifieddate", SPLIT, fields, ordered=True)
 
 
 @query(sql.with_(sql.USERS, select="select * from staged"))
