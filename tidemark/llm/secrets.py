@@ -46,8 +46,9 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 #: Any text with a base span matches this; RE2 reads a whole batch without making strings.
 LIKELY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
 
-#: Bound of the sample on which the CRF is fitted: documents with base spans, and as many without.
-SAMPLE = 500
+#: Bounds of the sample on which the CRF is fitted: documents with base spans, and as many without;
+#: of the latter at most so many are looked at in one Arrow batch.
+SAMPLE, PLAIN = 500, 64
 #: A document of the sample gives windows of so many tokens around its spans, at most so many.
 WINDOW, WINDOWS = 24, 4
 FEATURES, ROUNDS, RATE, DECAY = 1 << 12, 60, 0.3, 1e-5
@@ -228,7 +229,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf:
         for batch in batches:
             hit = pc.fill_null(pc.match_substring_regex(batch.column("text"), LIKELY), False)
             ids = batch.column("doc_id")
-            for rows in (batch.filter(hit), batch.filter(pc.invert(hit)).slice(0, 64)):
+            for rows in (batch.filter(hit), batch.filter(pc.invert(hit)).slice(0, PLAIN)):
                 texts, keys = rows.column("text").to_pylist(), rows.column("doc_id").to_pylist()
                 got = [(k, len(values(t)) > 0, windows(t)) for k, t in zip(keys, texts) if t and k is not None]
                 got = [g for g in got if g[2]]
