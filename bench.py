@@ -18,7 +18,7 @@ HEADLINE = [
     "scd_division_changes", "scd_statistics", "scd_performance", "scd_suite", "q_strict_current",
     "q_gaps", "q_unchanged", "q_overlaps", "dq_profile", "dq_rules", "quarantine", "scd2_merge",
     "lookback_seeded", "merge_stats", "dim_merge", "upsert_latest", "snapshot_timestamp",
-    "scd2_apply", "compact", "scheduled_runs", "metric_windows", "metric_alarms", "metric_gapfill", "error_tail",
+    "scd2_apply", "compact", "scheduled_runs", "metric_windows", "metric_alarms", "run_alarms", "metric_gapfill", "error_tail",
     "stream_scd2_history", "stream_metric_windows", "stream_metric_windows_late",
 ]
 
