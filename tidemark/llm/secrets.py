@@ -222,14 +222,14 @@ def train(examples: list[tuple[list[list[int]], list[int]]]) -> Crf:
     return Crf(emit, move)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf:
+def fit(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN) -> Crf:
     """Fits the CRF on the driver; only the windows' feature numbers of the sample get there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = pc.fill_null(pc.match_substring_regex(batch.column("text"), LIKELY), False)
             ids = batch.column("doc_id")
-            for rows in (batch.filter(hit), batch.filter(pc.invert(hit)).slice(0, PLAIN)):
+            for rows in (batch.filter(hit), batch.filter(pc.invert(hit)).slice(0, plain)):
                 texts, keys = rows.column("text").to_pylist(), rows.column("doc_id").to_pylist()
                 got = [(k, len(values(t)) > 0, windows(t)) for k, t in zip(keys, texts) if t and k is not None]
                 got = [g for g in got if g[2]]
