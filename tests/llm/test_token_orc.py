@@ -73,3 +73,18 @@ def test_odd_rows(spark, odd, odd_rows, none, tmp_path):
     assert all(r[2] == ids[r[0]] for r in got if r[0] is not None)
     token_orc.write(none, str(tmp_path / "none"), PATH)
     assert token_orc.checksums(token_orc.read(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_special_tokens_in_texts_are_the_library_s(spark, tmp_path):
+    """The contract is the library as it comes, with add_special_tokens=False and no flag set."""
+    plain = Tokenizer.from_file(PATH)
+    signs = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "a", "É", "é", "\u0338", "中", "'s", "\n", "<"]
+    rnd = random.Random(9)
+    texts = ["a <|endoftext|> b", "no marker", ""] + ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12))) for _ in range(1500)]
+    ids = [plain.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert ids[0] == [320, 49407, 321, 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    token_orc.write(docs, str(tmp_path / "out"), PATH)
+    got = token_orc.read(spark, str(tmp_path / "out")).orderBy("doc_id").collect()
+    assert [list(r.ids) for r in got] == ids
+    assert [r.start for r in got] == np.cumsum([0, *map(len, ids)])[:-1].tolist()

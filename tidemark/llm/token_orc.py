@@ -9,8 +9,8 @@ totals, one number for each task that wrote, turn that into a place among all id
 
 Texts are encoded by the tokenizers library. Its normalisation and pre-tokenisation never
 look across white space, nor its merges across pre-tokens, so that a worker encodes each
-different part of a text once and remembers it. Special tokens' strings in a text are
-ordinary text.
+different part of a text once and remembers it. A text that holds a special token's string
+goes to the library whole, which gives it that token's id.
 
 Null and empty texts have only the end id. A null ``doc_id`` comes first. Rows that share
 a ``doc_id`` follow each other by text. An empty table gives no rows. Other columns are
@@ -45,15 +45,20 @@ LATIN = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\x
 
 
 class Encoder:
-    """Remembers the ids of parts of texts between which the tokeniser always cuts."""
+    """Remembers the ids of parts of texts between which the tokeniser always cuts.
 
-    def __init__(self, path: str):
+    With ``special`` the strings of added tokens in a text become these tokens, as the library
+    has it unless told otherwise; without, they are ordinary text.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {i: spell(chr(i))[0][0] for i in range(256)}
         self.forget()
@@ -77,6 +82,19 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end ids included, and how many each text has."""
+        marked = [i for i, t in enumerate(texts) if any(m in t for m in self.markers)]
+        if not marked:
+            return self._by_parts(texts)
+        rest = list(texts)
+        for i in marked:
+            rest[i] = ""
+        ids, counts = self._by_parts(rest)
+        lists = np.split(ids, np.cumsum(counts)[:-1])
+        for i in marked:
+            lists[i] = np.array([*self.tokenizer.encode(texts[i], add_special_tokens=False).ids, END], np.int32)
+        return np.concatenate(lists), np.fromiter(map(len, lists), np.int64)
+
+    def _by_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.parts) > REMEMBERED:
             self.forget()
         number = self.parts.__getitem__
@@ -112,7 +130,7 @@ def parts_of(text: str) -> list[str]:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, special=True)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str) -> None:
