@@ -1,5 +1,7 @@
+import random
 import re
 
+import numpy as np
 import pytest
 
 from tidemark.llm import queries, url_graph
@@ -103,3 +105,42 @@ def test_hot_host_repeats_and_empty(spark, graph):
     schema = "page_id long, url string, html string"
     assert rows(url_graph.verdicts(spark.createDataFrame(pages, schema))) == brute(pages)
     assert rows(url_graph.verdicts(spark.createDataFrame([], schema))) == []
+
+
+def solved(links, mass):
+    """The ranks as the solution of the linear system, without rounds."""
+    hosts = sorted({h for pair in links for h in pair} | set(mass))
+    at, passed = {h: i for i, h in enumerate(hosts)}, np.eye(len(hosts))
+    for a, b in links:
+        passed[at[b], at[a]] -= url_graph.DAMPING / sum(x == a for x, _ in links)
+    x = np.linalg.solve(passed, [(1 - url_graph.DAMPING) * mass.get(h, 0) for h in hosts])
+    return dict(zip(hosts, x))
+
+
+def test_ranks_solve_the_linear_system(spark):
+    rng = random.Random(4)
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(30)]
+    ring = [("r0", "r1"), ("r1", "r2"), ("r2", "r0"), ("c5", "r0")]
+    links = sorted({*chain, *ring, *[(f"m{rng.randrange(12)}", f"n{rng.randrange(12)}") for _ in range(40)], *[(f"n{i}", f"m{i}") for i in range(12)]})
+    seeds = [("distrust", "c30", 0.6), ("distrust", "r1", 0.4), ("trust", "c0", 0.5), ("trust", "m1", 0.5)]
+    df = spark.createDataFrame(links, "source string, target string").coalesce(1)
+    got = {(r.kind, r.host): r.score for r in url_graph.propagate(df, spark.createDataFrame(seeds, "kind string, host string, mass double").coalesce(1)).collect()}
+    for kind, pairs in (("trust", links), ("distrust", [(b, a) for a, b in links])):
+        want = solved(pairs, {h: m for k, h, m in seeds if k == kind})
+        assert {h for h, x in want.items() if abs(x) > 1e-15} == {h for k, h in got if k == kind}
+        assert all(abs(want[h] - x) < 1e-11 for (k, h), x in got.items() if k == kind)
+
+
+def test_far_end_of_a_chain_is_blocked(spark):
+    """Fourteen hosts, of which the last is blocked: whoever links there over thirteen hops is blocked too."""
+    link = lambda h: f'<a href="http://{h}/">'
+    pages = [(i, f"http://h{i}.org/", link(f"h{i + 1}.org") if i < 12 else link("bad.net")) for i in range(13)] + [(13, "http://bad.net/es/", "")]
+    pages += [(100 + i, f"http://plain{i}.org/", "") for i in range(300)]
+    got = {r[1]: r[4] for r in rows(url_graph.verdicts(spark.createDataFrame(pages, "page_id long, url string, html string")))}
+    assert all(got[f"h{i}.org"] == "block" for i in range(13)) and got["plain7.org"] == "allow"
+
+
+def test_too_few_rounds_are_an_error(spark):
+    df = spark.createDataFrame([(f"c{i}", f"c{i + 1}") for i in range(9)], "source string, target string").coalesce(1)
+    with pytest.raises(ValueError):
+        url_graph.propagate(df, spark.createDataFrame([("trust", "c0", 1.0)], "kind string, host string, mass double").coalesce(1), rounds=4)

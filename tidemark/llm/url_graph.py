@@ -12,8 +12,11 @@ and both ways between a host and the host it is a direct subdomain of, if both h
 
 Scale: pages become edges in a narrow pass and meet in map-side sums; each round is one
 join on the host and one sum for both kinds of rank, and every few rounds are written to
-the shared folder. A host with a third of all pages is one row of the ranks. Ranks are
-rounded before they are compared, so that the order of sums decides nothing.
+the shared folder. Rounds go on until all that is still under way, of both kinds together, is
+less than ``TOLERANCE`` of the share that the smallest host has to exceed, so links of any
+depth count; one number comes to the driver each time. If ``rounds`` don't suffice, that is an error. A host with a
+third of all pages is one row of the ranks. Ranks are rounded before they are compared, so
+that the order of sums decides nothing.
 
 Null urls and urls without ``://`` have an empty host and path, which no rule fits and
 nothing links to: they are allowed. Null html has no links. Repeated rows count as pages.
@@ -35,7 +38,11 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DAMPING, ROUNDS, WRITE_EVERY, EXCESS = 0.85, 12, 4, 0.5
+DAMPING, WRITE_EVERY, EXCESS = 0.85, 4, 0.5
+#: What may be under way at the end, as a part of the smallest threshold, and the least that counts.
+TOLERANCE, LEAST = 1e-3, 1e-12
+#: Most rounds: after these ``DAMPING`` leaves less than ``LEAST``.
+ROUNDS = 200
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -73,25 +80,30 @@ def edges(judged: DataFrame) -> DataFrame:
     return every.where("source <> target and target <> ''").distinct()
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, close: float = LEAST) -> DataFrame:
     """(kind, host, score): personalised PageRank of each kind of ``seeds(kind, host, mass)``.
 
     Trust follows ``links`` and distrust goes against them. What reaches a host without
-    links is not passed on.
+    links is not passed on. A round passes on what the last one brought, ``fresh``; all that
+    could still come is a geometric series of it, and ends the rounds when below ``close``.
     """
     both = links.select(F.lit("trust").alias("kind"), F.col("source").alias("host"), F.col("target").alias("to")).unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("target").alias("host"), F.col("source").alias("to"))
     )
     out = both.groupBy("kind", "host").agg(F.count("*").alias("out"))
     both = written(both.join(out, ["kind", "host"]), "url-edges")
-    start = written(seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("score")), "url-seeds")
-    ranks = start
+    mass = (1 - damping) * F.col("mass")
+    ranks = written(seeds.select("kind", "host", mass.alias("score"), mass.alias("fresh")), "url-seeds")
     for turn in range(1, rounds + 1):
-        passed = ranks.join(both, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.lit(damping) * F.col("score") / F.col("out")).alias("score"))
-        ranks = start.unionByName(passed).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        moved = ranks.where("fresh > 0").join(both, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.lit(damping) * F.col("fresh") / F.col("out")).alias("score"))
+        known = ranks.select("kind", "host", "score", F.lit(0.0).alias("fresh"))
+        ranks = known.unionByName(moved.withColumn("fresh", F.col("score"))).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
         if turn % WRITE_EVERY == 0 or turn == rounds:
             ranks = written(ranks, "url-ranks")
-    return ranks
+            left = (ranks.agg(F.sum("fresh")).first()[0] or 0.0) * damping / (1 - damping)
+            if left <= close:
+                return ranks.select("kind", "host", "score")
+    raise ValueError(f"{left} of the mass is under way after {rounds} rounds, more than {close}")
 
 
 def verdicts(pages: DataFrame, rules=RULES, excess: float = EXCESS, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -107,7 +119,8 @@ def verdicts(pages: DataFrame, rules=RULES, excess: float = EXCESS, damping: flo
         hosts.where(f"host <> '' and {kind} > 0").select(F.lit(kind).alias("kind"), "host", (F.col(kind) / F.lit(total[kind] or 1)).alias("mass"))
         for kind in ("trust", "distrust")
     ]
-    ranks = propagate(edges(judged), kinds[0].unionByName(kinds[1]), damping, rounds)
+    close = max(LEAST, TOLERANCE * excess / (total["pages"] or 1))
+    ranks = propagate(edges(judged), kinds[0].unionByName(kinds[1]), damping, rounds, close)
     whole = {r.kind: r.whole for r in ranks.groupBy("kind").agg(F.sum("score").alias("whole")).collect()}
     share = F.col("score") / F.when(F.col("kind") == "trust", -whole.get("trust", 1.0)).otherwise(whole.get("distrust", 1.0))
     sums = ranks.groupBy("host").agg(F.sum(share).alias("bad"))
