@@ -130,3 +130,18 @@ def test_odd_rows(spark, odd, odd_rows, none):
     kept = {r.doc_id: r.text for r in out.select("doc_id", "text").collect()}
     assert kept[1] is None and kept[5] == "one two" and "hunter2hunter2" not in kept[10] and "[SECRET]" in kept[10]
     assert secrets.find(none, secrets.fit(none)).count() == 0
+
+
+def test_the_sample_is_of_all_documents(spark):
+    """Three documents with secrets among 40 000 are found, whatever the hash of their ids, and all are ranked by it."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words only, number "), "id").alias("text"))
+    hashed = [r.doc_id for r in rows.orderBy(F.xxhash64("doc_id")).select("doc_id").collect()]
+    last = hashed[-3:]
+    secret = F.when(F.col("doc_id").isin(last), F.concat(F.lit("password: aB3dE6gH9jK2mN5 "), "text")).otherwise(F.col("text"))
+    docs = rows.withColumn("text", secret).repartition(7)
+    got = secrets.sampled(docs, 20).collect()
+    assert sorted(r.doc_id for r in got if r.secret) == sorted(last)
+    assert sorted(r.doc_id for r in got if not r.secret) == sorted(hashed[:20])
+    assert secrets.fit(docs, 20).emit.any()

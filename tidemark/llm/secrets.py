@@ -7,7 +7,10 @@ best tags. A tagged run becomes a span of kind ``crf`` unless it touches a base
 spans always stay as they are.
 
 The CRF is fitted on at most ``sample`` documents with base spans, those with the smallest
-hash of their id, and as many without. The values of the base spans are its labels.
+hash of their id among all, and as many without, chosen alike. Each task screens its texts and
+keeps the ids with the smallest hashes; only the texts of those chosen over all are read again
+and featurised. Of rows of one kind that share an id, the least text stands for all. The
+values of the base spans are the labels.
 It never sees the patterns' own literals as features, only shapes and neighbours, and so
 carries over to values that the patterns miss.
 
@@ -22,6 +25,7 @@ Offsets count code points, ends are exclusive. ``redacted`` passes other columns
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Codes, in_arrow, runs
+from tidemark.session import written
 
 #: The kinds in the order in which ties are listed, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -46,9 +51,8 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 #: Any text with a base span matches this; RE2 reads a whole batch without making strings.
 LIKELY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"""
 
-#: Bounds of the sample on which the CRF is fitted: documents with base spans, and as many without;
-#: of the latter at most so many are looked at in one Arrow batch.
-SAMPLE, PLAIN = 500, 64
+#: Bound of the sample on which the CRF is fitted: documents with base spans, and as many without.
+SAMPLE = 500
 #: A document of the sample gives windows of so many tokens around its spans, at most so many.
 WINDOW, WINDOWS = 24, 4
 FEATURES, ROUNDS, RATE, DECAY = 1 << 12, 60, 0.3, 1e-5
@@ -222,39 +226,77 @@ def train(examples: list[tuple[list[list[int]], list[int]]]) -> Crf:
     return Crf(emit, move)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, plain: int = PLAIN) -> Crf:
+class _Least:
+    """The ids with the smallest (hash, id), at most ``size`` different ones."""
+
+    def __init__(self, size: int):
+        self.size, self.kept, self.heap = size, set(), []
+
+    def wants(self, h: int, key: int) -> bool:
+        if (h, key) in self.kept or not self.size:
+            return False
+        return len(self.heap) < self.size or (h, key) < (-self.heap[0][0], -self.heap[0][1])
+
+    def add(self, h: int, key: int) -> None:
+        self.kept.add((h, key))
+        if len(self.heap) < self.size:
+            heapq.heappush(self.heap, (-h, -key))
+        else:
+            gone = heapq.heappushpop(self.heap, (-h, -key))
+            self.kept.remove((-gone[0], -gone[1]))
+
+
+def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(secret, h, doc_id, text) of the documents on which the CRF is fitted."""
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = {True: _Least(sample), False: _Least(sample)}
+        for batch in batches:
+            text = batch.column("text")
+            hits = pc.fill_null(pc.match_substring_regex(text, LIKELY), False).to_pylist()
+            for i, (key, h, hit) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist(), hits)):
+                if key is None or not (hit and least[True].wants(h, key) or least[False].wants(h, key)):
+                    continue
+                found = text[i].as_py() or ""
+                secret = hit and len(values(found)) > 0
+                if TOKEN.search(found) and least[secret].wants(h, key):
+                    least[secret].add(h, key)
+        rows = [(k, h, key) for k in least for h, key in sorted(least[k].kept)]
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["secret", "h", "known_id"])
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            fits = [bool(TOKEN.search(t)) and (len(values(t)) > 0) == k for t, k in zip(texts, batch.column("secret").to_pylist())]
+            yield batch.filter(pa.array(fits, pa.bool_()))
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    least = in_arrow(rows.withColumn("h", F.xxhash64("doc_id")), screen, "secret boolean, h long, known_id long")
+    least = written(least, "secrets-least")
+    first = [least.where(kind).distinct().orderBy("h", "known_id").limit(sample) for kind in ("secret", "not secret")]
+    known = written(first[0].unionByName(first[1]), "secrets-known")
+    again = rows.join(F.broadcast(known), F.col("doc_id") == F.col("known_id")).select("secret", "h", "doc_id", "text")
+    return in_arrow(again, chosen, "secret boolean, h long, doc_id long, text string").groupBy("secret", "h", "doc_id").agg(F.min("text").alias("text"))
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf:
     """Fits the CRF on the driver; only the windows' feature numbers of the sample get there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = pc.fill_null(pc.match_substring_regex(batch.column("text"), LIKELY), False)
-            ids = batch.column("doc_id")
-            for rows in (batch.filter(hit), batch.filter(pc.invert(hit)).slice(0, plain)):
-                texts, keys = rows.column("text").to_pylist(), rows.column("doc_id").to_pylist()
-                got = [(k, len(values(t)) > 0, windows(t)) for k, t in zip(keys, texts) if t and k is not None]
-                got = [g for g in got if g[2]]
-                flat = [[x for x, _ in g[2]] for g in got], [[y for _, y in g[2]] for g in got]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([g[0] for g in got], ids.type), pa.array([g[1] for g in got], pa.bool_()),
-                     pa.array(flat[0], pa.list_(pa.list_(pa.list_(pa.int32())))), pa.array(flat[1], pa.list_(pa.list_(pa.int32())))],
-                    ["doc_id", "secret", "rows", "tags"],
-                )
-
-    schema = "doc_id long, secret boolean, rows array<array<array<int>>>, tags array<array<int>>"
-    # A sample by hash: the smallest hashes of the ids. Its share of the table is cut down
-    # before any text is looked at, by a bound on the hash that comes from the counts.
-    made = in_arrow(_fraction(docs.select(F.col("doc_id").cast("long"), "text"), sample), run, schema)
-    rows = []
-    for kind in ("secret", "not secret"):
-        first = made.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        rows += [(x, y) for r in first.select("rows", "tags").collect() for x, y in zip(r.rows, r.tags)]
-    return train(rows)
-
-
-def _fraction(docs: DataFrame, sample: int) -> DataFrame:
-    """About 60 x ``sample`` documents by the hash of their id, of which some have secrets."""
-    share = min(1.0, 60 * sample / max(1, docs.select("doc_id").count()))
-    return docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
+            got = list(map(windows, batch.column("text").to_pylist()))
+            flat = [[x for x, _ in g] for g in got], [[y for _, y in g] for g in got]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in ("secret", "h", "doc_id")),
+                 pa.array(flat[0], pa.list_(pa.list_(pa.list_(pa.int32())))), pa.array(flat[1], pa.list_(pa.list_(pa.int32())))],
+                ["secret", "h", "doc_id", "rows", "tags"],
+            )
+
+    schema = "secret boolean, h long, doc_id long, rows array<array<array<int>>>, tags array<array<int>>"
+    made = in_arrow(sampled(docs, sample), run, schema).collect()  # bounded by sample
+    made.sort(key=lambda r: (not r.secret, r.h, r.doc_id))
+    return train([(x, y) for r in made for x, y in zip(r.rows, r.tags)])
 
 
 class Tagger:
