@@ -94,3 +94,23 @@ def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
 def by_group(df: DataFrame, keys: list[str], run: Callable, schema) -> DataFrame:
     find_package(df.sparkSession)
     return df.groupBy(*keys).applyInArrow(run, schema)
+
+
+#: SQL: whether the array is there and holds finite numbers only.
+FINITE = "coalesce(size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')), false)"
+
+
+def matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
+    """Rows of a list column as a matrix; all must have one length."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0), kind)
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), kind).reshape(len(column), -1)
+
+
+def by_width(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch, apart by the lengths of their vectors."""
+    widths = batch.column(column).value_lengths().to_numpy(zero_copy_only=False)
+    for width in np.unique(widths):
+        yield int(width), batch.take(pa.array(np.flatnonzero(widths == width)))

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, embed_dedup, mixing, quality, secrets, sharding, simhash, token_orc, url_graph
+from tidemark.llm import (
+    byte_bpe, chat, embed_dedup, hard_negatives, mixing, quality, secrets, sharding, simhash, token_orc, tree_search, url_graph, whitening,
+)
 from tidemark.llm.common import table
 from tidemark.session import scratch, written
 
@@ -76,12 +78,48 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return tree_search.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_embedding_near_dedup, op3_token_orc, op4_mixing, op5_chat_format,
         op6_quality_rules, op7_url_filter, op8_byte_bpe, op9_bounded_ring, op10_simhash_near_dedup,
+        op11_tree_search, op12_whitening, op13_hard_negatives,
     )
 }
 
-EXPECTED: dict[str, str] = {}
+EXPECTED: dict[str, str] = {
+    "op13_hard_negatives": """
+        with part as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                [floor(256 * cast(x as double)) for x in embedding] as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+        ), scored as (
+            select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+            from part a join part b on a.vec_id <> b.vec_id
+            where a.vec_id % 100 = 0
+        ), positive as (
+            select anchor_id, other_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+        )
+        select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as rank,
+            other_id as negative_id, positive_score, score as negative_score
+        from positive join scored using (anchor_id)
+        where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+        qualify rank <= 10
+    """,
+}
