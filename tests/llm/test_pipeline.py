@@ -34,7 +34,8 @@ def test_run_against_a_stage_by_stage_brute_force(spark, small):
         for start, end in sorted(found, reverse=True):
             texts[i] = texts[i][:start] + secrets.MARK + texts[i][end:]
     left = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
-    copies = {r.doc_id: r.copies for r in mixing.rates(left, labels).collect()}
+    targets = {"domains": corpus_pipeline.DOMAINS, "shares": corpus_pipeline.SHARES, "total": corpus_pipeline.TOTAL}
+    copies = {r.doc_id: r.copies for r in mixing.rates(left, labels, **targets).collect()}
     encode = library().encode_ordinary
     want = sorted((i, encode(t)) for i, t in texts.items() for _ in range(copies[i]))
     got = corpus_pipeline.run(spark, small).collect()

@@ -1,18 +1,21 @@
 """Mixing by soft membership: rates at which documents meet domain targets.
 
 A softmax classifier over the presence of hashed words, fitted on the labelled table, gives
-every document posteriors p over the domains good, bad and toxic. A document of n words that is taken at rate r adds r n p
-expected words to the domains. The rates are the nonnegative ones that bring the domains'
-expected totals closest to the targets, by projected-gradient least squares from rate 1.
+every document posteriors p over the domains (good, bad and toxic, or others that ``domains``
+names). A document of n words that is taken at rate r adds r n p expected words to the
+domains. The targets are given: ``total`` times the words there are, shared out by
+``shares``. The rates are the nonnegative ones that bring the domains' expected totals
+closest to the targets, by projected-gradient least squares from rate 1.
 
 With residual d = sum(r n p) - target and G = sum(n p p'), a step is
 r <- max(0, r - p' G^-1 d), with momentum: gradient descent with documents weighted by 1/n
 and domains by G^-1, for which step length one is safe. A step needs one sum over the
 documents; only the residual, a number for each domain, comes to the driver, and only the
-steps' weights G^-1 d go back. Rates are folded from them wherever they are needed, so
-nothing of the size of the table is kept between rounds. Without clipping, one step is
-exact; targets that can't be met are approached as long as steps make progress.
+steps' weights G^-1 d go back. Every ``KEPT`` steps the rates are written, so that a round
+folds a few steps at most. Steps go on until the totals are within ``CLOSE`` of the targets,
+or make no progress: targets that no rates reach are approached as long as that helps.
 
+Sums are of whole numbers (2^-16 words), so that they do not depend on the order of tasks.
 A document is taken floor(r) times, and once more if a hash of its id falls below the
 rest; expected totals are those of the rates. The classifier is fitted on at most
 ``sample`` labelled documents of each domain, those with the smallest hash of their id;
@@ -20,33 +23,38 @@ everything else covers all documents.
 
 Null, empty and blank texts have no words and no say in the totals; their posteriors are
 the classifier's prior, and so is their rate. A null ``doc_id`` hashes like a value.
-Conflicting labels count as the worst of them. If no document is labelled, posteriors are
-even. Repeated rows are documents of their own with equal rates. ``mixed`` passes other
-columns through.
+Conflicting labels count as the worst of them, the domain named last. If no document is
+labelled, posteriors are even. Repeated rows are documents of their own with equal rates.
+``mixed`` passes other columns through, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import Words, in_arrow, runs
 from tidemark.session import written
 
-DOMAINS = ("good", "bad", "toxic")
-#: How often the domains' documents shall be taken; the targets are the totals this comes to.
-MULTIPLES = (1.1, 0.4, 0.4)
+#: Domains in rising order of harm, and how a label's columns tell them.
+DOMAINS = {"good": "quality = 1", "bad": "quality = 0", "toxic": "toxic = 1"}
+#: Target shares of the domains, and all target words as a multiple of the words there are.
+SHARES, TOTAL = (0.9, 0.05, 0.05), 1.15
 #: Labelled documents of each domain for the classifier, its features, steps, rate and decay.
 SAMPLE, FEATURES, STEPS, RATE, DECAY = 4_000, 1 << 18, 100, 0.3, 1e-4
 #: A word tells if so many sampled documents have it, so many standard deviations from chance.
 LEAST_DOCS, SIGMAS = 5, 4
-#: Most steps; how close is met; the progress below which three steps in a row are the last.
-ROUNDS, CLOSE, PROGRESS = 100, 1e-9, 0.01
+#: Most steps; the share of the target words that may be missed; the progress below which ``PATIENCE`` steps in a row are the last.
+ROUNDS, CLOSE, PROGRESS, PATIENCE = 200, 1e-6, 0.001, 10
+#: After so many steps the rates are written; sums are of words times ``GRAIN``, as whole numbers.
+KEPT, GRAIN = 8, 1 << 16
 
 
 def features(words: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,29 +84,29 @@ class Classifier:
         return softmax(logits(bucket, doc, len(texts), self.weights, self.bias)), sizes
 
 
-def telling(flat: np.ndarray, of: np.ndarray, domains: np.ndarray) -> np.ndarray:
+def telling(flat: np.ndarray, of: np.ndarray, domains: np.ndarray, k: int) -> np.ndarray:
     """Buckets of words that some domain has far more or less often than chance would."""
-    share = np.bincount(domains, minlength=len(DOMAINS)) / len(domains)
-    seen = np.stack([np.bincount(flat[of == k], minlength=FEATURES) for k in range(len(DOMAINS))], axis=1)
+    share = np.bincount(domains, minlength=k) / len(domains)
+    seen = np.stack([np.bincount(flat[of == i], minlength=FEATURES) for i in range(k)], axis=1)
     docs = seen.sum(axis=1)
     chance = docs[:, None] * share
     far = np.abs(seen - chance) >= SIGMAS * np.sqrt(chance * (1 - share))
     return (docs >= LEAST_DOCS) & (far & (share > 0) & (share < 1)).any(axis=1)
 
 
-def train(buckets: list[np.ndarray], domains: np.ndarray) -> Classifier:
+def train(buckets: list[np.ndarray], domains: np.ndarray, k: int) -> Classifier:
     """Softmax regression over the telling words, with AdaGrad steps over the whole sample."""
-    n, weights, bias = len(domains), np.zeros((FEATURES, len(DOMAINS))), np.zeros(len(DOMAINS))
+    n, weights, bias = len(domains), np.zeros((FEATURES, k)), np.zeros(k)
     if not n:
         return Classifier(weights.astype(np.float32), bias)
     flat, doc = np.concatenate(buckets), np.repeat(np.arange(n), list(map(len, buckets)))
-    kept = telling(flat, domains[doc], domains)[flat]
+    kept = telling(flat, domains[doc], domains, k)[flat]
     used, flat = np.unique(flat[kept], return_inverse=True)
-    doc, want = doc[kept], np.eye(len(DOMAINS))[domains]
-    own, seen, seen_bias = np.zeros((len(used), len(DOMAINS))), np.full((len(used), len(DOMAINS)), 1e-8), np.full_like(bias, 1e-8)
+    doc, want = doc[kept], np.eye(k)[domains]
+    own, seen, seen_bias = np.zeros((len(used), k)), np.full((len(used), k), 1e-8), np.full_like(bias, 1e-8)
     for _ in range(STEPS):
         off = (softmax(logits(flat, doc, n, own, bias)) - want) / n
-        slope = np.stack([np.bincount(flat, weights=off[doc, k], minlength=len(used)) for k in range(len(DOMAINS))], axis=1) + DECAY * own
+        slope = np.stack([np.bincount(flat, weights=off[doc, i], minlength=len(used)) for i in range(k)], axis=1) + DECAY * own
         seen += slope**2
         seen_bias += off.sum(axis=0) ** 2
         own -= RATE * slope / np.sqrt(seen)
@@ -107,7 +115,7 @@ def train(buckets: list[np.ndarray], domains: np.ndarray) -> Classifier:
     return Classifier(weights.astype(np.float32), bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, domains: dict[str, str] = DOMAINS) -> Classifier:
     """Fits the classifier on the driver, on at most ``sample`` documents of each domain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,39 +128,49 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
                 yield pa.RecordBatch.from_arrays([piece.column("domain"), pa.array(lists, pa.binary())], ["domain", "buckets"])
 
     votes = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("known_id"))
-    domain = votes.agg(F.max(F.expr("case when toxic = 1 then 2 when quality = 0 then 1 when quality = 1 then 0 end")).alias("domain"))
+    worst = " ".join(f"when {rule} then {k}" for k, rule in reversed(list(enumerate(domains.values()))))
+    domain = votes.agg(F.max(F.expr(f"case {worst} end")).alias("domain"))
     hashed = domain.where("domain is not null").withColumn("h", F.xxhash64("known_id"))
-    first = [hashed.where(F.col("domain") == k).orderBy("h", "known_id").limit(sample) for k in range(len(DOMAINS))]
-    chosen = written(first[0].unionByName(first[1]).unionByName(first[2]).select("known_id", "domain"), "mixing-labelled")
+    first = [hashed.where(F.col("domain") == k).orderBy("h", "known_id").limit(sample) for k in range(len(domains))]
+    chosen = written(reduce(DataFrame.unionByName, first).select("known_id", "domain"), "mixing-labelled")
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("known_id"))
     made = in_arrow(rows.select("domain", "text"), run, "domain int, buckets binary").collect()  # bounded by sample
     made = sorted((r.domain, bytes(r.buckets)) for r in made)
-    return train([np.frombuffer(b, "<i4").astype(np.int64) for _, b in made], np.array([d for d, _ in made], dtype=int))
+    return train([np.frombuffer(b, "<i4").astype(np.int64) for _, b in made], np.array([d for d, _ in made], dtype=int), len(domains))
 
 
-def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """(doc_id, n_words, p): the posteriors of every document, in the order of ``DOMAINS``."""
+def posteriors(docs: DataFrame, model: Classifier, n_words: str = "n_words", p: str = "p") -> DataFrame:
+    """``docs`` with their words' number and the posteriors of every document, in the order of the domains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             for piece, texts in runs(batch, "text"):
-                p, sizes = model.posteriors(words, texts)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(sizes), pa.array(list(p))], ["doc_id", "n_words", "p"])
+                found, sizes = model.posteriors(words, texts)
+                yield piece.append_column(n_words, pa.array(sizes)).append_column(p, pa.array(list(found), pa.list_(pa.float64())))
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_words long, p array<double>")
+    schema = T.StructType([*docs.schema, T.StructField(n_words, T.LongType()), T.StructField(p, T.ArrayType(T.DoubleType()))])
+    return in_arrow(docs, run, schema)
 
 
-def rate_of(steps: list[list[float]]) -> Column:
-    """The rate as a column over ``p``, folded over the steps: weights, then the share of the last move added."""
+def rate_of(steps: list[list[float]], p: str = "p", start: str | None = None) -> Column:
+    """The state after the steps as a column: weights, then the share of the last move added.
+
+    ``start`` names a column with the state before them; without it all rates are 1.
+    """
+    if start is None:
+        begin = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    else:
+        begin = F.struct(F.col(start)["rate"].alias("rate"), F.col(start)["ahead"].alias("ahead"))
+    if not steps:
+        return begin
 
     def move(state: Column, step: Column) -> Column:
-        dot = sum((F.col("p")[i] * step[i] for i in range(1, len(steps[0]) - 1)), F.col("p")[0] * step[0])
+        dot = sum((F.col(p)[i] * step[i] for i in range(1, len(steps[0]) - 1)), F.col(p)[0] * step[0])
         new = F.greatest(F.lit(0.0), state["ahead"] - dot)
         return F.struct(new.alias("rate"), (new + step[len(steps[0]) - 1] * (new - state["rate"])).alias("ahead"))
 
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    return F.aggregate(F.array(*[F.array(*map(F.lit, s)) for s in steps]), start, move, lambda s: s)
+    return F.aggregate(F.array(*[F.array(*map(F.lit, s)) for s in steps]), begin, move, lambda s: s)
 
 
 def folded(p: np.ndarray, steps: list[list[float]]) -> np.ndarray:
@@ -164,71 +182,77 @@ def folded(p: np.ndarray, steps: list[list[float]]) -> np.ndarray:
     return rate
 
 
-def solve(members: DataFrame, multiples=MULTIPLES, weights=None, rounds: int = ROUNDS) -> tuple[list[list[float]], np.ndarray, np.ndarray]:
-    """The steps, the targets and what the rates reach, from ``members(n_words, p)``.
-
-    The targets are the domains' totals that come of taking a document at the mean of its
-    domains' ``multiples``; for a domain that is only a shadow of doubt over documents of
-    others they ask for no more than that. With ``weights`` the targets are these multiples
-    of all words instead, reached or not.
-    """
-    k = len(DOMAINS)
-    item = lambda i: F.col("p")[i] * F.col("n_words")
-    sums = members.agg(
-        *[F.coalesce(F.sum(item(i)), F.lit(0.0)) for i in range(k)],
-        *[F.coalesce(F.sum(item(i) * F.col("p")[j]), F.lit(0.0)) for i in range(k) for j in range(k)],
-    ).first()
-    now, gram = np.array(sums[:k]), np.array(sums[k:]).reshape(k, k)
-    target = gram @ np.array(multiples) if weights is None else now.sum() * np.array(weights)
-    inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+@dataclass
+class Solution:
+    """All steps, the targets, what the rates reach, and the members with the rates."""
+
+    steps: list[list[float]]
+    target: np.ndarray
+    reached: np.ndarray
+    rated: DataFrame
+
+    @property
+    def missed(self) -> float:
+        """Words that are off target, as a share of the target words."""
+        return float(np.abs(self.reached - self.target).sum() / max(self.target.sum(), 1))
+
+
+def solve(members: DataFrame, shares=SHARES, total: float = TOTAL, rounds: int = ROUNDS, n_words: str = "n_words", p: str = "p", rate: str = "rate") -> Solution:
+    """Projected-gradient steps for ``members(n_words, p)`` until the shares are met."""
+    k, state = len(shares), _fresh("__state", members.columns)
+    item = lambda i, of=F.lit(1.0): F.col(p)[i] * F.col(n_words) * of
+    words = lambda c: F.coalesce(F.sum(F.round(c * GRAIN).cast("long")), F.lit(0))
+    first = members.agg(*[words(item(i)) for i in range(k)], *[words(item(i, F.col(p)[j])) for i in range(k) for j in range(k)], F.coalesce(F.sum(n_words), F.lit(0))).first()
+    now, gram = np.array(first[:k]) / GRAIN, np.array(first[k:-1]).reshape(k, k) / GRAIN
+    target = total * first[-1] * np.array(shares)
+    inverse = np.linalg.pinv((gram + gram.T) / 2, rcond=1e-9, hermitian=True)
     ahead, pace, far, idle = now, 1.0, np.inf, 0
     steps: list[list[float]] = []
+    held, kept = members, 0
     for _ in range(rounds):
         off, last = now - target, far
         far = off @ inverse @ off
         idle = idle + 1 if far > last * (1 - PROGRESS) else 0
-        if np.abs(off).sum() <= CLOSE * max(target.sum(), 1) or idle == 3:
+        if np.abs(off).sum() <= CLOSE * max(target.sum(), 1) or idle == PATIENCE:
             break
         # Momentum as in Nesterov's method, dropped whenever the distance grows.
         slower = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         share, pace = ((pace - 1) / slower, slower) if far <= last else (0.0, 1.0)
         step = inverse @ (ahead - target)
         steps.append([*map(float, step), float(share)])
-        rated = members.select("p", "n_words", rate_of(steps).alias("s"))
-        both = rated.agg(*[F.coalesce(F.sum(item(i) * F.col("s")[part]), F.lit(0.0)) for part in ("rate", "ahead") for i in range(k)]).first()
-        now, ahead = np.array(both[:k]), np.array(both[k:])
-    return steps, target, now
+        moved = held.withColumn(state, rate_of(steps[kept:], p, state if kept else None))
+        if len(steps) - kept == KEPT:
+            held, kept = written(moved.select(n_words, p, state), "mixing-rates"), len(steps)
+            moved = held
+        both = moved.agg(*[words(item(i, F.col(state)[part])) for part in ("rate", "ahead") for i in range(k)]).first()
+        now, ahead = np.array(both[:k]) / GRAIN, np.array(both[k:]) / GRAIN
+    return Solution(steps, target, now, members.withColumn(rate, rate_of(steps, p)["rate"]))
 
 
-def rates(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **targets) -> DataFrame:
-    """(doc_id, n_words, p, rate, copies) of every document."""
-    members = written(posteriors(docs, fit(docs, labels, sample)), "mixing-members")
-    steps, _, _ = solve(members, **targets)
-    rated = members.withColumn("rate", rate_of(steps)["rate"] if steps else F.lit(1.0))
-    return rated.withColumn("copies", (F.floor("rate") + (_chance(F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+def _fresh(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _chance(doc_id):
-    return F.pmod(F.xxhash64(doc_id, F.lit("mix")), F.lit(1 << 30)) / F.lit(1 << 30)
+def _copies(rate: str, doc_id: str = "doc_id") -> Column:
+    chance = F.pmod(F.xxhash64(F.col(doc_id), F.lit("mix")), F.lit(1 << 30)) / F.lit(1 << 30)
+    return (F.floor(rate) + (chance < F.col(rate) - F.floor(rate)).cast("long")).cast("long")
 
 
-def mixed(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **targets) -> DataFrame:
-    """All columns of the documents, each row as often as its rate says."""
-    model = fit(docs, labels, sample)
-    members = written(posteriors(docs, model), "mixing-members")
-    steps, _, _ = solve(members, **targets)
-    chance = "__chance"
-    while chance in docs.columns:
-        chance += "_"
+def rates(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, domains: dict[str, str] = DOMAINS, **targets) -> DataFrame:
+    """(doc_id, n_words, p, rate, copies) of every document."""
+    found = posteriors(docs.select(F.col("doc_id").cast("long"), "text"), fit(docs, labels, sample, domains))
+    members = written(found.drop("text"), "mixing-members")
+    return solve(members, **targets).rated.withColumn("copies", _copies("rate"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in batches:
-            for piece, texts in runs(batch, "text"):
-                p, _ = model.posteriors(words, texts)
-                rate = folded(p, steps)
-                copies = np.floor(rate) + (piece.column(chance).to_numpy() < rate - np.floor(rate))
-                at = np.repeat(np.arange(len(texts)), copies.astype(np.int64))
-                yield piece.drop_columns([chance]).take(pa.array(at))
 
-    return in_arrow(docs.withColumn(chance, _chance(F.col("doc_id"))), run, docs.schema)
+def mixed(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, domains: dict[str, str] = DOMAINS, **targets) -> DataFrame:
+    """All columns of the documents, each row as often as its rate says."""
+    n_words, p, rate, copies = (_fresh(f"__{name}", docs.columns) for name in ("n_words", "p", "rate", "copies"))
+    # The texts are classified once: written with their posteriors, then only copied.
+    members = written(posteriors(docs, fit(docs, labels, sample, domains), n_words, p), "mixing-members")
+    rated = solve(members, n_words=n_words, p=p, rate=rate, **targets).rated
+    taken = rated.withColumn(copies, _copies(rate)).where(F.col(copies) > 0)
+    again = F.explode(F.array_repeat(F.lit(True), F.col(copies).cast("int")))
+    return taken.withColumn(rate, again).select(*[F.col(f"`{c}`") for c in docs.columns])
