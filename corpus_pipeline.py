@@ -17,6 +17,10 @@ from tidemark.llm.common import table
 from tidemark.session import written
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: What the mixture is to hold. The quality stage has left no domain of bad documents; clean
+#: words are wanted more often than all words there are, so that no clean document falls out.
+DOMAINS = {"clean": "quality is not null or toxic = 0", "toxic": "toxic = 1"}
+SHARES, TOTAL = (0.94, 0.06), 1.1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document is taken as often as its rate says."""
-    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"), domains=DOMAINS, shares=SHARES, total=TOTAL)
 
 
 def byte_bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
