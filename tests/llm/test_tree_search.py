@@ -44,10 +44,11 @@ def test_fewer_leaves_than_the_table_has(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     idx = tree_search.index(df, leaf=50)
     (tree,) = idx.trees.values()
-    assert len(tree.blocks) > 40 and idx.sizes[16].sum() == 4000
+    held = np.bincount(tree.pack, weights=idx.sizes[16])
+    assert len(tree.pack) > 40 and len(held) < len(tree.pack) and idx.sizes[16].sum() == 4000
     asked = df.where("vec_id % 50 = 0")
     wide = tree_search.calibrate(idx, asked.selectExpr("*", "16 as width", "pmod(xxhash64(vec_id), 1 << 30) as h"), 10, 0.95)
-    assert 1 <= wide[16] < len(tree.blocks) / 4
+    assert 1 <= wide[16] < len(tree.pack) / 4
     got = {}
     for r in tree_search.search(df, asked, leaf=50).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
@@ -60,10 +61,10 @@ def test_best_first_yields_every_leaf_once():
     points = rng.normal(size=(2000, 6))
     tree = tree_search.grow(points, 1.0, 20)
     leaves = tree.leaves(points)
-    assert set(leaves) <= set(range(len(tree.blocks)))
+    assert set(leaves) <= set(range(len(tree.pack)))
     for p, own in zip(points[:20], leaves):
         order = list(tree.best_first(p))
-        assert sorted(order) == list(range(len(tree.blocks))) and order.index(own) < 20
+        assert sorted(order) == list(range(len(tree.pack))) and order.index(own) < 20
 
 
 def test_odd_vectors(spark):
@@ -88,8 +89,8 @@ def test_odd_vectors(spark):
     assert tree_search.search(df.limit(0), df.limit(0)).collect() == [] and tree_search.search(df, df.limit(0)).collect() == []
 
 
-def test_near_copies_in_small_blocks(spark, monkeypatch):
-    """A leaf that nothing divides is cut into blocks; a third of the rows equal to a hair."""
+def test_near_copies_in_small_packs(spark, monkeypatch):
+    """A leaf that nothing divides is dealt over packs; a third of the rows equal to a hair."""
     monkeypatch.setattr(tree_search, "BLOCK", 16)
     monkeypatch.setattr(tree_search, "QUERIES", 2)
     rng = np.random.default_rng(2)
