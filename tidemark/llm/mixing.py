@@ -7,11 +7,12 @@ domains. The targets are given: ``total`` times the words there are, shared out
 ``shares``. The rates are the nonnegative ones that bring the domains' expected totals
 closest to the targets, by projected-gradient least squares from rate 1.
 
-With residual d = sum(r n p) - target and G = sum(n p p'), a step is
-r <- max(0, r - p' G^-1 d), with momentum: gradient descent with documents weighted by 1/n
-and domains by G^-1, for which step length one is safe. A step needs one sum over the
-documents; only the residual, a number for each domain, comes to the driver, and only the
-steps' weights G^-1 d go back. Every ``KEPT`` steps the rates are written, so that a round
+With residual d = sum(r n p) - target and G = sum(n p p'), what is minimised is the sum of
+d_k^2 / G_kk: a domain's miss counts by how hard it is to move. A step is
+r <- max(0, r - p' w), w_k = d_k / (L G_kk), with momentum: gradient descent with documents
+weighted by 1/n, for which this is safe if L is the largest eigenvalue of G scaled to a
+diagonal of ones. A step needs one sum over the documents; only the residual, a number for
+each domain, comes to the driver, and only the weights w go back. Every ``KEPT`` steps the rates are written, so that a round
 folds a few steps at most. Steps go on until the totals are within ``CLOSE`` of the targets,
 or make no progress: targets that no rates reach are approached as long as that helps.
 
@@ -46,7 +47,7 @@ from tidemark.session import written
 #: Domains in rising order of harm, and how a label's columns tell them.
 DOMAINS = {"good": "quality = 1", "bad": "quality = 0", "toxic": "toxic = 1"}
 #: Target shares of the domains, and all target words as a multiple of the words there are.
-SHARES, TOTAL = (0.9, 0.05, 0.05), 1.15
+SHARES, TOTAL = (0.94, 0.03, 0.03), 1.1
 #: Labelled documents of each domain for the classifier, its features, steps, rate and decay.
 SAMPLE, FEATURES, STEPS, RATE, DECAY = 4_000, 1 << 18, 100, 0.3, 1e-4
 #: A word tells if so many sampled documents have it, so many standard deviations from chance.
@@ -182,6 +183,15 @@ def folded(p: np.ndarray, steps: list[list[float]]) -> np.ndarray:
     return rate
 
 
+def scaled(gram: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights 1 / G_kk of the domains' misses, and the step length that is safe for them."""
+    diagonal = np.diag(gram)
+    weight = np.where(diagonal > 1e-9 * diagonal.max(initial=0.0), 1 / np.maximum(diagonal, 1e-300), 0.0)
+    root = np.sqrt(weight)
+    most = float(np.linalg.eigvalsh(root[:, None] * ((gram + gram.T) / 2) * root).max(initial=0.0))
+    return weight, 1 / most if most else 0.0
+
+
 @dataclass
 class Solution:
     """All steps, the targets, what the rates reach, and the members with the rates."""
@@ -205,20 +215,20 @@ def solve(members: DataFrame, shares=SHARES, total: float = TOTAL, rounds: int =
     first = members.agg(*[words(item(i)) for i in range(k)], *[words(item(i, F.col(p)[j])) for i in range(k) for j in range(k)], F.coalesce(F.sum(n_words), F.lit(0))).first()
     now, gram = np.array(first[:k]) / GRAIN, np.array(first[k:-1]).reshape(k, k) / GRAIN
     target = total * first[-1] * np.array(shares)
-    inverse = np.linalg.pinv((gram + gram.T) / 2, rcond=1e-9, hermitian=True)
+    weight, safe = scaled(gram)
     ahead, pace, far, idle = now, 1.0, np.inf, 0
     steps: list[list[float]] = []
     held, kept = members, 0
     for _ in range(rounds):
         off, last = now - target, far
-        far = off @ inverse @ off
+        far = off @ (weight * off)
         idle = idle + 1 if far > last * (1 - PROGRESS) else 0
         if np.abs(off).sum() <= CLOSE * max(target.sum(), 1) or idle == PATIENCE:
             break
         # Momentum as in Nesterov's method, dropped whenever the distance grows.
         slower = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         share, pace = ((pace - 1) / slower, slower) if far <= last else (0.0, 1.0)
-        step = inverse @ (ahead - target)
+        step = safe * weight * (ahead - target)
         steps.append([*map(float, step), float(share)])
         moved = held.withColumn(state, rate_of(steps[kept:], p, state if kept else None))
         if len(steps) - kept == KEPT:
