@@ -4,26 +4,26 @@ from pyspark.sql import functions as F
 from tidemark import USERS
 from tidemark.functions.ids import bucket_of, hash_bigint
 from tidemark.operators import checks, metrics, report, serve
-from tidemark.operators.keyed import find_hot
+from tidemark.operators.keyed import find_cuts
 from tidemark.operators.metrics import ALARMS, HEALTH_MEMBERS, AlarmRule
 from tidemark.plans import catalog
 from tidemark.session import written
 from users import at, build, rows, same
 
 
-def test_checks_do_not_depend_on_hot_keys(spark, small):
+def test_checks_do_not_depend_on_cuts(spark, small):
     f = catalog.Feed(spark, small)
     dim = written(f.dim, "dim")
-    hot = find_hot(f.rows, USERS.key, USERS.ts, max_rows=30)
-    assert hot is not None
+    cuts = find_cuts(f.rows, USERS.key, USERS.order(f.rows.columns), segments=60)
+    assert cuts is not None
     for check in (checks.unchanged_versions, checks.history_gaps, report.scd_suite):
-        assert same(check(dim, USERS, hot=hot), check(dim, USERS)), check.__name__
+        assert same(check(dim, USERS, cuts=cuts), check(dim, USERS)), check.__name__
     from tidemark.operators import history
 
-    assert same(history.with_validity(dim, USERS, hot), history.with_validity(dim, USERS))
-    assert same(history.version_tracking(dim, USERS, hot), history.version_tracking(dim, USERS))
-    assert same(history.ensure_currency(dim, USERS, hot), history.ensure_currency(dim, USERS))
-    assert same(serve.state_at(history.with_validity(dim, USERS, hot), USERS, catalog.MIDDLE), serve.state_at(dim, USERS, catalog.MIDDLE))
+    assert same(history.with_validity(dim, USERS, cuts), history.with_validity(dim, USERS))
+    assert same(history.version_tracking(dim, USERS, cuts), history.version_tracking(dim, USERS))
+    assert same(history.ensure_currency(dim, USERS, cuts), history.ensure_currency(dim, USERS))
+    assert same(serve.state_at(history.with_validity(dim, USERS, cuts), USERS, catalog.MIDDLE), serve.state_at(dim, USERS, catalog.MIDDLE))
 
 
 def test_gate(spark):

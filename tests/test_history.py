@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark import USERS
 from tidemark.operators import checks, history, merge, serve
-from tidemark.operators.keyed import find_hot
+from tidemark.operators.keyed import find_cuts
 from users import at, build, rows, same, shape
 
 CASES = {
@@ -42,13 +42,13 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("split_hot", [False, True], ids=["plain", "hot"])
-def test_golden(spark, split_hot):
+@pytest.mark.parametrize("segments", [None, 3, 20, 200])
+def test_golden(spark, segments):
     """All cases in one history, a key each."""
     df = rows(spark, *[(case, *g) for case, (given, _) in CASES.items() for g in given])
-    hot = find_hot(df, "user_id", "update_date", max_rows=1) if split_hot else None
-    assert (hot is not None) == split_hot
-    found = shape(build(df, hot))
+    cuts = find_cuts(df, "user_id", USERS.order(df.columns), segments) if segments else None
+    assert (cuts is not None) == (segments in (20, 200))
+    found = shape(build(df, cuts))
     for case, (_, expected) in CASES.items():
         assert [f[1:] for f in found if f[0] == case] == sorted(expected, key=repr), case
 
@@ -70,9 +70,10 @@ def test_options(spark):
 def test_copies_do_not_matter(spark):
     df = rows(spark, *[(t, d, False) for t, d in [(1, "North"), (2, "South"), (2, "East"), (3, "West")]])
     copies = df.unionByName(df).unionByName(df)
-    hot = find_hot(copies, "user_id", "update_date", max_rows=2)
-    assert shape(build(df)) == shape(build(copies)) == shape(build(copies, hot))
-    assert history.collapse_copies(copies, USERS).count() == 4
+    for segments in (4, 7, 60):
+        cuts = find_cuts(copies, "user_id", USERS.order(copies.columns), segments)
+        assert shape(build(df)) == shape(build(copies)) == shape(build(copies, cuts))
+    assert cuts.copies.count() == 4 and cuts.once(copies, "user_id", USERS.order(copies.columns)).count() == 4
 
 
 def test_any_key_type_and_bigint_tracked(spark):
@@ -99,8 +100,8 @@ def test_as_of_skips_facts_before_the_first_version_and_without_key(spark):
         [(1, "A", at(1)), (2, "A", at(2)), (3, "A", at(4)), (4, "A", at(9)), (5, "Z", at(9)), (6, None, at(9)), (7, "A", None)],
         "n int, who string, t timestamp_ntz",
     )
-    for hot in (None, find_hot(facts, "who", "t", max_rows=1)):
-        got = serve.as_of(facts, dim, USERS, "who", "t", ["division"], hot)
+    for segments in (1, 4, 30):
+        got = serve.as_of(facts, dim, USERS, "who", "t", ["division"], segments)
         assert {r["n"]: r["division"] for r in got.collect()} == {
             1: None, 2: "North", 3: "North", 4: "South", 5: None, 6: None, 7: None
         }

@@ -1,4 +1,4 @@
-"""Ordered columns against a plain Python loop, with and without hot keys."""
+"""Ordered columns against a plain Python loop, with and without cuts."""
 
 from datetime import timedelta
 from itertools import groupby
@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import find_hot, match, ordered
+from tidemark.operators.keyed import find_cuts, match, ordered
 from users import BEGIN
 
 SCHEMA = "k string, t timestamp_ntz, n int, v string"
@@ -30,10 +30,10 @@ def expected(data):
     return sorted(out, key=repr)
 
 
-def computed(df, hot):
+def computed(df, cuts):
     got = ordered(
         df, "k", ["t", "n"], lag={"before": F.col("v")}, lead={"after": F.col("v")},
-        fill={"known": F.col("v")}, number="i", peak={"top": F.col("t")}, hot=hot,
+        fill={"known": F.col("v")}, number="i", peak={"top": F.col("t")}, cuts=cuts,
     )
     assert got.columns[:4] == ["k", "t", "n", "v"]
     return sorted([(r.k, r.n, r.before, r.after, r.known, r.i, r.top) for r in got.collect()], key=repr)
@@ -46,66 +46,75 @@ skewed = st.lists(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(skewed, st.integers(1, 20))
-def test_cells_change_nothing(spark, data, max_rows):
+@given(skewed, st.integers(2, 60))
+def test_cuts_change_nothing(spark, data, segments):
     data = [(k, t, i, v) for i, (k, t, v) in enumerate(data)]
     df = frame(spark, data)
     assert computed(df, None) == expected(data)
-    hot = find_hot(df, "k", "t", max_rows=max_rows)
-    if hot is not None:
-        assert computed(df, hot) == expected(data)
+    cuts = find_cuts(df, "k", ["t", "n"], segments)
+    if cuts is not None:
+        assert computed(df, cuts) == expected(data)
 
 
-def test_one_key_holds_most_rows(spark):
-    data = [("hot", i % 997, i, None if i % 7 else str(i)) for i in range(4000)]
+def sizes(cuts, df):
+    placed = cuts.place(df, "k", ["t", "n"])
+    return {r["_cell"]: r["count"] for r in placed.filter("_cell >= 0").groupBy("_cell").count().collect()}
+
+
+@pytest.mark.parametrize("time", [lambda i: i % 997, lambda i: 5, lambda i: -20_000_000 if i == 0 else i % 61], ids=["spread", "one time", "a burst after a stray date"])
+def test_one_key_holds_most_rows(spark, time):
+    data = [("hot", time(i), i, None if i % 7 else str(i)) for i in range(4000)]
     data += [(f"k{i % 50}", i, i, "z") for i in range(500)]
     df = frame(spark, data)
-    hot = find_hot(df, "k", "t", max_rows=200)
-    assert [r["_key"] for r in hot.cuts.collect()] == ["hot"]
-    placed = hot.place(df, "k", "t")
-    sizes = {r["_cell"]: r["count"] for r in placed.filter("_cell >= 0").groupBy("_cell").count().collect()}
-    assert len(sizes) > 100 and max(sizes.values()) < 200
-    assert computed(df, hot) == expected(data)
+    cuts = find_cuts(df, "k", ["t", "n"], 45)
+    assert [r["_key"] for r in cuts.at.collect()] == ["hot"]
+    found = sizes(cuts, df)
+    assert len(found) > 35 and max(found.values()) < 250 and sum(found.values()) == 4000
+    assert computed(df, cuts) == expected(data)
 
 
-def test_everything_at_one_time(spark):
-    data = [("hot", 5, i, str(i)) for i in range(50)] + [("b", 1, 1, "q")]
+def test_any_number_of_keys_is_cut(spark):
+    """Every key that fills segments, however many there are, and no key that does not."""
+    data = [(f"k{i % 1500:04}", i, i, "x") for i in range(9000)] + [(f"s{i:04}", i, i, "x") for i in range(3000)]
     df = frame(spark, data)
-    assert computed(df, find_hot(df, "k", "t", max_rows=10)) == expected(data)
+    cuts = find_cuts(df, "k", ["t", "n"], 6000)
+    keys = {r["_key"] for r in cuts.at.collect()}
+    assert len(keys) > 1400 and all(k.startswith("k") for k in keys)
+    assert computed(df, cuts) == expected(data)
+
 
+def test_no_key_fills_a_segment(spark):
+    assert find_cuts(frame(spark, [(f"k{i}", i, i, "x") for i in range(200)]), "k", ["t", "n"], 8) is None
+    assert find_cuts(frame(spark, []), "k", ["t", "n"], 8) is None
 
-def test_no_hot_keys(spark):
-    assert find_hot(frame(spark, [("a", 1, 1, "x")]), "k", "t") is None
+
+def test_orders_that_agree_in_part(spark):
+    """Cuts by (time, n) also serve an order by time alone or one that goes on differently."""
+    data = [("A", i // 3, i % 3, str(i)) for i in range(60)]
+    df = frame(spark, data)
+    cuts = find_cuts(df, "k", ["t", "n"], 10)
+    for order in (["t"], ["t", "v", "n"]):
+        assert {r["_cell"] for r in cuts.place(df, "k", order).collect()} > {0}
+        got = ordered(df.dropDuplicates(["t"]), "k", order, lag={"b": F.col("t")}, number="i", cuts=cuts).orderBy("t").collect()
+        assert [r.i for r in got] == list(range(1, 21)) and [r.b for r in got[1:]] == [r.t for r in got[:-1]]
+    with pytest.raises(ValueError, match="do not fit"):
+        cuts.place(df, "k", ["v"])
 
 
-def test_limits_on_what_is_broadcast(spark):
-    df = frame(spark, [(f"k{i % 20}", i, i, "x") for i in range(400)])
-    hot = find_hot(df, "k", "t", max_rows=5, max_hot=3, max_cells=12)
-    cuts = hot.cuts.collect()
-    assert len(cuts) == 3 and sum(r["_last"] + 1 for r in cuts) <= 12
+def test_null_times_and_ties_come_first(spark):
+    data = [("A", None, i, "x") for i in range(50)] + [("A", 3, i, "y") for i in range(50)]
+    rows = spark.createDataFrame([(k, None if t is None else BEGIN + timedelta(minutes=t), n, v) for k, t, n, v in data], SCHEMA)
+    cuts = find_cuts(rows, "k", ["t", "n"], 20)
+    got = ordered(rows, "k", ["t", "n"], lag={"before": F.col("n")}, number="i", cuts=cuts).orderBy("i").collect()
+    assert [r.i for r in got] == list(range(1, 101)) and [r.n for r in got] == [*range(50), *range(50)]
+    assert [r.before for r in got] == [None, *[r.n for r in got[:-1]]]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_match(spark, how):
     left = frame(spark, [("hot", i, i, "x") for i in range(30)] + [("a", 1, 1, "x"), ("b", 1, 1, "x")])
     right = spark.createDataFrame([("hot", 1), ("a", 2), ("c", 3)], "k string, w int")
-    hot = find_hot(left, "k", "t", max_rows=10)
+    cuts = find_cuts(left, "k", ["t", "n"], 8)
+    assert cuts is not None
     plain = sorted(left.join(right, "k", how).collect(), key=repr)
-    assert sorted(match(left, right, "k", how, hot).collect(), key=repr) == plain
-
-
-def test_a_hot_key_without_any_time(spark):
-    """Its sample shows no time to cut at; the build goes on and gives the plain result."""
-    rows = spark.range(200).selectExpr("'A' as k", "cast(null as timestamp_ntz) as t")
-    found = find_hot(rows, "k", "t", max_rows=10)
-    assert found is not None and found.place(rows, "k", "t").select("_cell").distinct().count() == 1
-
-
-def test_a_burst_after_a_stray_date_is_still_cut(spark):
-    """One row long before all others, which come within an hour."""
-    data = [("hot", -20_000_000, 0, "first")] + [("hot", i % 61, i, str(i)) for i in range(1, 4000)]
-    df = frame(spark, data)
-    hot = find_hot(df, "k", "t", max_rows=200)
-    sizes = [r["count"] for r in hot.place(df, "k", "t").groupBy("_cell").count().collect()]
-    assert len(sizes) > 50 and max(sizes) < 200
-    assert computed(df, hot) == expected(data)
+    assert sorted(match(left, right, "k", how, cuts).collect(), key=repr) == plain

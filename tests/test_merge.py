@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import USERS
 from tidemark.operators import history, merge, staging
-from tidemark.operators.keyed import find_hot
+from tidemark.operators.keyed import find_cuts
 from tidemark.plans import catalog
 from tidemark.session import written
 from users import BEGIN, SCHEMA, at, build, rows, same, shape
@@ -68,12 +68,12 @@ def test_empty_target_and_empty_batch(spark):
     assert shape(merged(build(full), full.filter(F.lit(False)))) == shape(build(full))
 
 
-@pytest.mark.parametrize("split, split_hot", [("2024-01-04", False), ("2024-01-23 05:00:00", True)])
-def test_two_batches_equal_one(spark, small, split, split_hot):
+@pytest.mark.parametrize("at, split", [("2024-01-04", False), ("2024-01-23 05:00:00", True)])
+def test_two_batches_equal_one(spark, small, at, split):
     f = catalog.Feed(spark, small)
-    hot = find_hot(f.rows, USERS.key, USERS.ts, max_rows=60) if split_hot else None
-    old = written(f.build(f.before(split)), "old")
-    assert same(merge.scd2_merge(old, f.rows, USERS, hot=hot, now=catalog.now()), f.dim)
+    cuts = find_cuts(f.rows, USERS.key, USERS.order(f.rows.columns), segments=50) if split else None
+    old = written(f.build(f.before(at)), "old")
+    assert same(merge.scd2_merge(old, f.rows, USERS, cuts=cuts, now=catalog.now()), f.dim)
 
 
 def test_merging_again_changes_only_the_stamp(spark, small):
@@ -93,10 +93,10 @@ def test_seeded_equals_full_build_on_valid_values(spark):
     cut = F.lit(at(7)).cast("timestamp_ntz")
     target = build(full.filter(F.col("update_date") < cut))
     recent = full.filter(F.col("update_date") >= cut)
-    hot = find_hot(full, "user_id", "update_date", max_rows=2)
+    cuts = find_cuts(full, "user_id", USERS.order(full.columns), segments=8)
     whole = shape(build(full))
     assert shape(merged(target, recent, seeded=True)) == whole
-    assert shape(merged(target, recent, seeded=True, hot=hot)) == whole
+    assert shape(merged(target, recent, seeded=True, cuts=cuts)) == whole
     # A window that overlaps what is stored derives the same versions again.
     overlap = full.filter(F.col("update_date") >= F.lit(at(3)).cast("timestamp_ntz"))
     assert shape(merged(target, overlap, seeded=True)) == whole
@@ -134,8 +134,8 @@ def test_closing_times_without_pairs(spark):
               ("B", 5, "North", "P1"), ("B", 5, "South", "P1"), ("C", 4, "East", "P1")]
     df = merge.dim_full(second(spark, *target)).withColumn("n", F.monotonically_increasing_id())
     src = second(spark, *source)
-    for hot in (None, find_hot(df, "id", "lastmodifieddate", max_rows=3)):
-        got = merge.changed_active_rows(df, src, "id", ["division", "audit_phase__c"], hot=hot).collect()
+    for cuts in (None, find_cuts(df, "id", ["lastmodifieddate", "n"], segments=8)):
+        got = merge.changed_active_rows(df, src, "id", ["division", "audit_phase__c"], cuts=cuts).collect()
         found = {(r["id"], r["division"], r["audit_phase__c"]): (r["changed_at"] - BEGIN).days for r in got}
         ends = brute_force_ends(target, source)
         assert found == {(t[0], t[2], t[3]): ends[i] for i, t in enumerate(target) if ends[i] is not None}

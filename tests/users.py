@@ -25,8 +25,8 @@ def rows(spark, *changes, key="K"):
     return spark.createDataFrame(data, SCHEMA).coalesce(1)
 
 
-def build(df, hot=None, **options):
-    return history.scd2_build(df, USERS, hot, now=F.lit(BEGIN).cast("timestamp_ntz"), **options)
+def build(df, cuts=None, **options):
+    return history.scd2_build(df, USERS, cuts, now=F.lit(BEGIN).cast("timestamp_ntz"), **options)
 
 
 def shape(dim, spec=USERS):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.clean import is_blank
 from tidemark.functions.times import moment, whole_days
 from tidemark.operators.history import prev
-from tidemark.operators.keyed import HotKeys, ordered
+from tidemark.operators.keyed import Cuts, ordered
 from tidemark.spec import HistorySpec
 
 
@@ -88,11 +88,11 @@ def current_not_latest(dim: DataFrame, spec: HistorySpec) -> DataFrame:
     )
 
 
-def history_gaps(dim: DataFrame, spec: HistorySpec, days: int = 1, hot: HotKeys | None = None) -> DataFrame:
+def history_gaps(dim: DataFrame, spec: HistorySpec, days: int = 1, cuts: Cuts | None = None) -> DataFrame:
     """Neighbouring live versions more than ``days`` whole days apart."""
     live = dim.filter(~F.col(spec.deleted)).select(spec.key, spec.ts, spec.current, spec.deleted)
     before = prev(spec.ts)
-    seen = ordered(live, spec.key, [spec.ts], lag={before: F.col(spec.ts)}, hot=hot)
+    seen = ordered(live, spec.key, [spec.ts], lag={before: F.col(spec.ts)}, cuts=cuts)
     return (
         seen.withColumn("days_gap", whole_days(spec.ts, before))
         .filter(F.col("days_gap") > days)
@@ -100,7 +100,7 @@ def history_gaps(dim: DataFrame, spec: HistorySpec, days: int = 1, hot: HotKeys
     )
 
 
-def unchanged_versions(dim: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+def unchanged_versions(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
     """Live versions after the first in which no tracked column differs from the one before."""
     columns = [spec.key, spec.ts, *spec.tracked]
     live = dim.filter(~F.col(spec.deleted)).select(*columns)
@@ -110,7 +110,7 @@ def unchanged_versions(dim: DataFrame, spec: HistorySpec, hot: HotKeys | None =
         [spec.ts, *spec.tracked],
         lag={prev(c): F.col(c) for c in spec.tracked},
         number="rn",
-        hot=hot,
+        cuts=cuts,
     )
     same = F.col("rn") > 1
     for c in spec.tracked:
@@ -138,10 +138,10 @@ def business_rules(dim: DataFrame, spec: HistorySpec, labels: Mapping[str, str]
     return with_violation(live.select(spec.key, *spec.required, *spec.valid, spec.ts), rules)
 
 
-def interval_overlaps(dim: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+def interval_overlaps(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
     """Neighbouring validity intervals that overlap or leave a hole, with the kind."""
     order = ["effective_from", *spec.order([c for c in dim.columns if not c.startswith("effective_")])]
-    seen = ordered(dim, spec.key, order, lead={"next_from": F.col("effective_from")}, hot=hot)
+    seen = ordered(dim, spec.key, order, lead={"next_from": F.col("effective_from")}, cuts=cuts)
     end, after = F.col("effective_to"), F.col("next_from")
     kind = (
         F.when(after.isNull(), F.when(end < F.col("effective_from"), "inverted"))

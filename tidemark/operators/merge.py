@@ -18,7 +18,7 @@ from tidemark.operators.history import (
     required_and_valid,
     scd2_build,
 )
-from tidemark.operators.keyed import HotKeys, match
+from tidemark.operators.keyed import Cuts, match
 from tidemark.session import written
 from tidemark.spec import HistorySpec
 
@@ -106,11 +106,11 @@ def merge_update_columns(spec: HistorySpec, seeded: bool = False) -> list[str]:
 
 
 def seed_versions(
-    target: DataFrame, staged: DataFrame, spec: HistorySpec, hot: HotKeys | None = None
+    target: DataFrame, staged: DataFrame, spec: HistorySpec, cuts: Cuts | None = None
 ) -> DataFrame:
     """For each staged key, the stored version in force just before its first staged row."""
     firsts = staged.groupBy(spec.key).agg(F.min(spec.ts).alias("_first"))
-    before = match(target, firsts, spec.key, "inner", hot).filter(F.col(spec.ts) < F.col("_first"))
+    before = match(target, firsts, spec.key, "inner", cuts).filter(F.col(spec.ts) < F.col("_first"))
     order = spec.order([c for c in target.columns if c != spec.sequence])
     kept = [c for c in target.columns if c != spec.key]
     latest = before.groupBy(spec.key).agg(
@@ -120,18 +120,18 @@ def seed_versions(
 
 
 def later_versions(
-    target: DataFrame, staged: DataFrame, spec: HistorySpec, hot: HotKeys | None = None
+    target: DataFrame, staged: DataFrame, spec: HistorySpec, cuts: Cuts | None = None
 ) -> DataFrame:
     """The stored versions of each staged key from its first staged row on."""
     firsts = staged.groupBy(spec.key).agg(F.min(spec.ts).alias("_first"))
-    return match(target, firsts, spec.key, "inner", hot).filter(F.col(spec.ts) >= F.col("_first")).drop("_first")
+    return match(target, firsts, spec.key, "inner", cuts).filter(F.col(spec.ts) >= F.col("_first")).drop("_first")
 
 
 def seeded_versions(
     staged: DataFrame,
     target: DataFrame,
     spec: HistorySpec,
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
     track_deletes: bool = False,
     now: Column | None = None,
 ) -> DataFrame:
@@ -147,22 +147,22 @@ def seeded_versions(
     """
     # Both are read more than once. Written, they also have no partitioning by key left: a union
     # whose sides all have one is zipped, and fails where their numbers of partitions differ.
-    seeds = written(seed_versions(target, staged, spec, hot), "seeds")
-    later = written(later_versions(target, staged, spec, hot).select(*staged.columns), "later")
+    seeds = written(seed_versions(target, staged, spec, cuts), "seeds")
+    later = written(later_versions(target, staged, spec, cuts).select(*staged.columns), "later")
     sides = [(seeds.select(*staged.columns), True), (later, False), (staged, False)]
     rows = reduce(DataFrame.unionByName, [side.withColumn("_seed", F.lit(seed)) for side, seed in sides])
-    found = detect_changes(rows, spec, hot, track_deletes)
+    found = detect_changes(rows, spec, cuts, track_deletes)
     versions = found.filter(F.col(NEEDED) & ~F.col("_seed")).select(*staged.columns)
-    if hot is not None:
-        # Numbering hot keys reads the versions twice.
+    if cuts is not None:
+        # Numbering cut keys reads the versions twice.
         versions = written(versions, "versions")
-    numbered = number_versions(versions, spec, hot, now)
+    numbered = number_versions(versions, spec, cuts, now)
     base = seeds.select(spec.key, F.col(spec.sequence).alias("_base"))
     stored = target.groupBy(spec.key).agg(F.max(spec.ts).alias("_stored"))
     overtaken = F.coalesce(F.col("_stored") > F.col(spec.ts), F.lit(False))
     known = base.join(stored, spec.key, "full_outer")
     return (
-        match(numbered, known, spec.key, "left", hot)
+        match(numbered, known, spec.key, "left", cuts)
         .withColumns(
             {
                 spec.sequence: (F.col(spec.sequence) + F.coalesce("_base", F.lit(0))).cast("int"),
@@ -177,7 +177,7 @@ def derive(
     target: DataFrame,
     staged: DataFrame,
     spec: HistorySpec,
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
     seeded: bool = False,
     per_key: bool = False,
     keys: DataFrame | None = None,
@@ -190,10 +190,10 @@ def derive(
     key is closed only when it got a later version.
     """
     keys = updated_keys(staged, target, spec, per_key) if keys is None else keys
-    rows = match(staged, keys, spec.key, "left_semi", hot)
+    rows = match(staged, keys, spec.key, "left_semi", cuts)
     if not seeded:
-        return scd2_build(rows, spec, hot, now=now), keys
-    new = seeded_versions(rows, target, spec, hot, now=now)
+        return scd2_build(rows, spec, cuts, now=now), keys
+    new = seeded_versions(rows, target, spec, cuts, now=now)
     later = new.groupBy(spec.key).agg(F.max(spec.ts).alias("_until"))
     return required_and_valid(new, spec), later
 
@@ -299,18 +299,18 @@ def changed_active_rows(
     tracked: Sequence[str],
     ts: str = "lastmodifieddate",
     active: str = "dwh_active_flag",
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Active target rows for which the source holds a differing row, with the first such time.
 
     The same rows as joining target and source on the key with ``t.a != s.a or
     t.b != s.b``, but against one source row per key, so no pairs are formed.
     """
-    ended = _closing(target.filter(active), source, key, tracked, ts, hot)
+    ended = _closing(target.filter(active), source, key, tracked, ts, cuts)
     return ended.filter(F.col("changed_at").isNotNull())
 
 
-def _closing(rows, source, key: str, tracked: Sequence[str], ts: str, hot: HotKeys | None) -> DataFrame:
+def _closing(rows, source, key: str, tracked: Sequence[str], ts: str, cuts: Cuts | None) -> DataFrame:
     per_key = first_difference(source, key, ts, tracked)
     times = [
         F.when(F.col(c).cast("string") != F.col(f"_value_{c}"), F.col(f"_first_{c}")).when(
@@ -319,7 +319,7 @@ def _closing(rows, source, key: str, tracked: Sequence[str], ts: str, hot: HotKe
         for c in tracked
     ]
     at = F.least(*times) if len(times) > 1 else times[0]
-    joined = match(rows, per_key, key, "left", hot).withColumn("changed_at", at)
+    joined = match(rows, per_key, key, "left", cuts).withColumn("changed_at", at)
     return joined.select(*rows.columns, "changed_at")
 
 
@@ -334,11 +334,11 @@ def dim_changes(
     key: str = "id",
     ts: str = "lastmodifieddate",
     tracked: Sequence[str] = ("division", "audit_phase__c"),
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Closed rows and inserted rows of one incremental pass."""
     latest = newer_than_target(staged, target, ts)
-    closed = changed_active_rows(target, latest, key, tracked, ts, hot=hot)
+    closed = changed_active_rows(target, latest, key, tracked, ts, cuts=cuts)
     closed = closed.withColumns({"dwh_end_ts": F.col("changed_at"), "dwh_active_flag": F.lit(False)})
     return closed.drop("changed_at").unionByName(dim_full(latest, ts))
 
@@ -349,7 +349,7 @@ def dim_merge(
     key: str = "id",
     ts: str = "lastmodifieddate",
     tracked: Sequence[str] = ("division", "audit_phase__c"),
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """The target after an incremental pass: rows closed in place, new rows added.
 
@@ -357,7 +357,7 @@ def dim_merge(
     join is needed.
     """
     latest = newer_than_target(staged, target, ts)
-    ended = _closing(target, latest, key, tracked, ts, hot)
+    ended = _closing(target, latest, key, tracked, ts, cuts)
     close = F.col("dwh_active_flag") & F.col("changed_at").isNotNull()
     kept = ended.withColumns(
         {

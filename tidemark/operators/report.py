@@ -10,7 +10,7 @@ from tidemark.functions.clean import is_blank
 from tidemark.functions.times import whole_days
 from tidemark.operators.checks import QualityGateClosed
 from tidemark.operators.history import prev
-from tidemark.operators.keyed import HotKeys, ordered
+from tidemark.operators.keyed import Cuts, ordered
 from tidemark.spec import HistorySpec
 
 # The names and descriptions of the suite's lines.
@@ -42,7 +42,7 @@ def count_violations(violations: DataFrame, name: str, description: str) -> Data
     )
 
 
-def scd_suite(dim: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+def scd_suite(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
     """The four history checks and a statistics line, statistics first.
 
     The checks are not run one by one: a single pass over the per-key windows
@@ -59,7 +59,7 @@ def scd_suite(dim: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) ->
         order,
         lag={"_ts": F.col(spec.ts), **{prev(c): F.col(c) for c in spec.tracked}},
         number="rn",
-        hot=hot,
+        cuts=cuts,
     )
     same = F.col("rn") > 1
     for c in spec.tracked:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import moment
-from tidemark.operators.keyed import HotKeys, ordered
+from tidemark.operators.keyed import find_cuts, ordered
 from tidemark.spec import HistorySpec
 
 
@@ -62,12 +62,15 @@ def as_of(
     fact_key: str,
     fact_ts: str,
     columns: Sequence[str],
-    hot: HotKeys | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
     """Each fact with ``columns`` of the version in force at its time (NULL before the first).
 
     Facts and versions are merged into one time line per key and the last version
     is carried forward: work is linear in both, no fact-version pairs are formed.
+    Keys whose part of the time line fills whole segments are scanned in segments;
+    only the versions are summarised for that. Both sides are read twice: give stored
+    tables. Facts that are equal in every column share a segment.
     """
     order = spec.order(dim.columns)
     versions = dim.select(
@@ -76,6 +79,7 @@ def as_of(
         F.lit(0).alias("_fact"),
         # Versions at one time are ordered as everywhere else; facts come after them.
         F.struct(*[F.col(c) for c in order[1:]]).alias("_tie"),
+        F.lit(None).cast("bigint").alias("_salt"),
         F.struct(*[F.col(c) for c in columns]).alias("_version"),
     )
     keyed = facts.filter(F.col(fact_key).isNotNull())
@@ -83,12 +87,14 @@ def as_of(
         F.col(fact_key).alias("_k"),
         F.col(fact_ts).alias("_t"),
         F.lit(1).alias("_fact"),
+        # Facts of one time have no order of their own; by their hash they can be cut too.
+        F.xxhash64(*[F.col(c) for c in facts.columns]).alias("_salt"),
         F.struct(*[F.col(c) for c in facts.columns]).alias("_row"),
     )
     line = versions.unionByName(asked, allowMissingColumns=True)
-    filled = ordered(
-        line, "_k", ["_t", "_fact", "_tie"], fill={"_found": F.col("_version")}, hot=hot
-    )
+    order = ["_t", "_fact", "_tie", "_salt"]
+    cuts = find_cuts(line, "_k", order, segments)
+    filled = ordered(line, "_k", order, fill={"_found": F.col("_version")}, cuts=cuts, summary_of=line.filter(F.col("_fact") == 0))
     found = filled.filter(F.col("_fact") == 1).select(
         *[F.col(f"_row.{c}").alias(c) for c in facts.columns],
         *[F.col(f"_found.{c}").alias(c) for c in columns],

@@ -11,7 +11,7 @@ from tidemark.functions.audit import audit_columns
 from tidemark.functions.clean import delete_status, is_blank
 from tidemark.functions.ids import hash_id, version_id
 from tidemark.operators import checks, history, merge, metrics, report, serve, staging
-from tidemark.operators.keyed import HotKeys, find_hot
+from tidemark.operators.keyed import Cuts, find_cuts
 from tidemark.operators.metrics import AlarmRule
 from tidemark.plans import expected as sql, feeds, lifecycle
 from tidemark.session import scratch, small_table, written
@@ -64,9 +64,8 @@ class Feed:
         return staging.to_history_names(self.staged)
 
     @cached_property
-    def hot(self) -> HotKeys | None:
-        # Two columns of the raw feed are enough; staging only ever drops rows.
-        return find_hot(self.raw, "id", "lastmodifieddate")
+    def cuts(self) -> Cuts | None:
+        return find_cuts(self.rows, USERS.key, USERS.order(self.rows.columns))
 
     @cached_property
     def old(self) -> DataFrame:
@@ -80,12 +79,12 @@ class Feed:
     @cached_property
     def versions(self) -> DataFrame:
         """Version-opening rows, before they are numbered."""
-        found = history.change_feed(self.rows, USERS, self.hot).select(*self.rows.columns)
+        found = history.change_feed(self.rows, USERS, self.cuts).select(*self.rows.columns)
         return self.kept(found, "versions")
 
     def kept(self, df: DataFrame, name: str) -> DataFrame:
-        """With hot keys, what follows reads its input more than once: store it first."""
-        return df if self.hot is None else written(df, name)
+        """With cut keys, what follows reads its input more than once: store it first."""
+        return df if self.cuts is None else written(df, name)
 
     @cached_property
     def damaged(self) -> DataFrame:
@@ -94,7 +93,7 @@ class Feed:
         return self.dim.withColumn("is_current", F.col("is_current") | fault)
 
     def build(self, rows: DataFrame, **options) -> DataFrame:
-        return history.scd2_build(rows, USERS, self.hot, now=now(), **options)
+        return history.scd2_build(rows, USERS, self.cuts, now=now(), **options)
 
     def before(self, at: str) -> DataFrame:
         return self.rows.filter(F.col("update_date") < F.lit(at).cast("timestamp_ntz"))
@@ -305,14 +304,14 @@ _FEED = """select user_id, name, division, audit_phase__c, is_active, update_dat
 @query(sql.with_(sql.HISTORY, sql.seen("dim", "src"), select=f"""{_FEED} where {sql.CHANGED}"""))
 def change_feed(spark, d):
     f = Feed(spark, d)
-    return history.change_feed(f.rows, USERS, f.hot)
+    return history.change_feed(f.rows, USERS, f.cuts)
 
 
 @query(sql.with_(sql.HISTORY, sql.seen("dim", "src"), select=f"""select user_id, update_date,
   coalesce({sql.CHANGED}, false) as needs_scd_record from dim_seen"""))
 def detect_changes(spark, d):
     f = Feed(spark, d)
-    found = history.detect_changes(f.rows, USERS, f.hot)
+    found = history.detect_changes(f.rows, USERS, f.cuts)
     return found.select("user_id", "update_date", "needs_scd_record")
 
 
@@ -346,7 +345,7 @@ def scd2_track_deletes(spark, d):
   cast(count(*) filter (where preliminary_current) over {sql.ALL_KEY} as bigint) as current_record_count from v"""))
 def scd2_preliminary_currency(spark, d):
     f = Feed(spark, d)
-    found = history.preliminary_currency(f.versions, USERS, f.hot)
+    found = history.preliminary_currency(f.versions, USERS, f.cuts)
     return found.select("user_id", "update_date", "is_deleted", "preliminary_current", "current_record_count")
 
 
@@ -355,7 +354,7 @@ def scd2_preliminary_currency(spark, d):
 def scd2_currency(spark, d):
     """The current flag repaired on a history whose flags are wrong."""
     f = Feed(spark, d)
-    return history.ensure_currency(f.damaged, USERS, f.hot).select("_scd_id", "user_id", "update_date", "is_current")
+    return history.ensure_currency(f.damaged, USERS, f.cuts).select("_scd_id", "user_id", "update_date", "is_current")
 
 
 _DIM_KEYED = f"(partition by user_id order by {sql.ORDER.replace(', is_active', ', _scd_id, is_active, is_current')})"
@@ -368,7 +367,7 @@ _DIM_KEYED = f"(partition by user_id order by {sql.ORDER.replace(', is_active',
   update_date = max(update_date) over {sql.ALL_KEY} as is_latest_version from dim"""))
 def scd2_version_tracking(spark, d):
     f = Feed(spark, d)
-    return history.version_tracking(f.dim, USERS, f.hot).select(
+    return history.version_tracking(f.dim, USERS, f.cuts).select(
         "_scd_id", "user_id", "update_date", "version_sequence", "previous_version_date",
         "next_version_date", "is_latest_version",
     )
@@ -381,7 +380,7 @@ VALIDITY = f"""valid_dim as (select *, update_date as effective_from,
 @query(sql.with_(sql.DIM, VALIDITY, select="select * from valid_dim"))
 def scd2_validity(spark, d):
     f = Feed(spark, d)
-    return history.with_validity(f.dim, USERS, f.hot)
+    return history.with_validity(f.dim, USERS, f.cuts)
 
 
 @query(sql.with_(sql.HISTORY, """f as (select * from src qualify row_number() over (partition by user_id, update_date
@@ -390,17 +389,17 @@ def scd2_validity(spark, d):
   lead(update_date) over (partition by user_id order by update_date) as valid_to from f"""))
 def snapshot_timestamp(spark, d):
     f = Feed(spark, d)
-    return history.snapshot_by_timestamp(f.rows, USERS.key, USERS.ts, f.hot)
+    return history.snapshot_by_timestamp(f.rows, USERS.key, USERS.ts, f.cuts)
 
 
-def _orders(spark, d) -> tuple[DataFrame, HotKeys | None]:
+def _orders(spark, d) -> tuple[DataFrame, Cuts | None]:
     rows = feeds.order_changes(spark, d)
-    return rows, find_hot(rows, feeds.ORDERS.key, feeds.ORDERS.ts)
+    return rows, find_cuts(rows, feeds.ORDERS.key, feeds.ORDERS.order(rows.columns))
 
 
-def _order_dim(spark, d) -> tuple[DataFrame, HotKeys | None]:
-    rows, hot = _orders(spark, d)
-    return history.scd2_build(rows, feeds.ORDERS, hot).drop("_dbt_updated_at"), hot
+def _order_dim(spark, d) -> tuple[DataFrame, Cuts | None]:
+    rows, cuts = _orders(spark, d)
+    return history.scd2_build(rows, feeds.ORDERS, cuts).drop("_dbt_updated_at"), cuts
 
 
 @query(sql.with_(sql.ORDER_DIM, select="select * from o_dim"))
@@ -445,7 +444,7 @@ def scd_as_of_join(spark, d):
     f = Feed(spark, d)
     key = F.concat(F.lit("U"), F.lpad(F.col("user_id").cast("string"), 5, "0"))
     facts = feeds.table(spark, d, "events").select("event_id", "ts", "value", key.alias("user_key"))
-    return serve.as_of(facts, f.dim, USERS, "user_key", "ts", ["_scd_id", "division", "version_sequence"], f.hot)
+    return serve.as_of(facts, written(f.dim, "dim"), USERS, "user_key", "ts", ["_scd_id", "division", "version_sequence"])
 
 
 @query(sql.with_(sql.DIM, select="""select 'sf_user_scd' as table_name, count(*) as total_records,
@@ -506,7 +505,7 @@ def q_strict_current(spark, d):
   from dim where not is_deleted) where days_gap > 1"""))
 def q_gaps(spark, d):
     f = Feed(spark, d)
-    return checks.history_gaps(f.dim, USERS, hot=f.hot)
+    return checks.history_gaps(f.dim, USERS, cuts=f.cuts)
 
 
 _NEIGHBOURS = """n as (select user_id, update_date, division, audit_phase__c,
@@ -519,7 +518,7 @@ _NEIGHBOURS = """n as (select user_id, update_date, division, audit_phase__c,
   and division = coalesce(prev_division, division) and audit_phase__c = coalesce(prev_audit_phase__c, audit_phase__c)"""))
 def q_unchanged(spark, d):
     f = Feed(spark, d)
-    return checks.unchanged_versions(f.dim, USERS, f.hot)
+    return checks.unchanged_versions(f.dim, USERS, f.cuts)
 
 
 @query(sql.with_(sql.HISTORY, sql.seen("dim", "src"), sql.numbered("dim"), select=f"""select * from (
@@ -531,7 +530,7 @@ def q_unchanged(spark, d):
 def q_business_rules(spark, d):
     """On the versions as derived, before invalid ones are left out."""
     f = Feed(spark, d)
-    return checks.business_rules(history.number_versions(f.versions, USERS, f.hot, now()), USERS)
+    return checks.business_rules(history.number_versions(f.versions, USERS, f.cuts, now()), USERS)
 
 
 @query(sql.with_(sql.DIM, select="""select user_id, max(update_date) as latest_update_date from dim group by user_id
@@ -579,13 +578,13 @@ where problem is not null"""))
 def q_overlaps(spark, d):
     """On intervals some of which are shifted."""
     f = Feed(spark, d)
-    valid, seq = history.with_validity(f.dim, USERS, f.hot), F.col("version_sequence")
+    valid, seq = history.with_validity(f.dim, USERS, f.cuts), F.col("version_sequence")
     end = (
         F.when(seq % 30 == 0, F.col("effective_to") + F.expr("interval 1 day"))
         .when(seq % 31 == 0, F.col("effective_to") - F.expr("interval 1 minute"))
         .otherwise(F.col("effective_to"))
     )
-    return checks.interval_overlaps(valid.withColumn("effective_to", end), USERS, f.hot)
+    return checks.interval_overlaps(valid.withColumn("effective_to", end), USERS, f.cuts)
 
 
 _RAW_COLUMNS = ["id", "name", "division", "audit_phase__c", "isactive", "isdeleted", "lastmodifieddate", "_extracted_at"]
@@ -758,7 +757,7 @@ union all select 'overall_statistics', 0, concat('Total records: ', count(*), ',
 order by case when test_name = 'overall_statistics' then 1 else 2 end, test_name"""))
 def scd_suite(spark, d):
     f = Feed(spark, d)
-    return report.scd_suite(f.dim, USERS, f.hot)
+    return report.scd_suite(f.dim, USERS, f.cuts)
 
 
 _REPORT = f"""select 'sf_user_scd_test_report' as report_type, test_name, violation_count,
@@ -769,14 +768,14 @@ _REPORT = f"""select 'sf_user_scd_test_report' as report_type, test_name, violat
 @query(sql.with_(sql.DIM, _NEIGHBOURS, select=_REPORT))
 def scd_report(spark, d):
     f = Feed(spark, d)
-    return report.scd_report(report.scd_suite(f.dim, USERS, f.hot)).drop("report_generated_at")
+    return report.scd_report(report.scd_suite(f.dim, USERS, f.cuts)).drop("report_generated_at")
 
 
 @query(sql.with_(sql.DIM, _NEIGHBOURS, select=_REPORT))
 def report_sink(spark, d):
     """The report as its JSON file holds it."""
     f, path = Feed(spark, d), scratch(spark, "report")
-    lines = report.scd_report(report.scd_suite(f.dim, USERS, f.hot))
+    lines = report.scd_report(report.scd_suite(f.dim, USERS, f.cuts))
     tables.write_report(lines, path)
     return spark.read.schema(lines.schema).json(path).drop("report_generated_at")
 
@@ -786,7 +785,7 @@ def report_sink(spark, d):
   round(count(*) filter (where test_status = 'PASS') / count(*) * 100, 2) as success_rate from ({_REPORT}) r"""))
 def suite_summary(spark, d):
     f = Feed(spark, d)
-    lines = report.scd_report(report.scd_suite(f.dim, USERS, f.hot))
+    lines = report.scd_report(report.scd_suite(f.dim, USERS, f.cuts))
     return report.suite_summary(lines, F.col("test_status") == "PASS")
 
 
@@ -837,7 +836,7 @@ def closed_all_versions(spark, d):
 def scd2_merge(spark, d):
     """Two batches merged equal one full build."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.old, f.rows, USERS, hot=f.hot, now=now())
+    return merge.scd2_merge(f.old, f.rows, USERS, cuts=f.cuts, now=now())
 
 
 @query(sql.with_(*_OLD_DIM, _KEYS, _PARTIAL, _CLOSED, select="""select * from old where _scd_id not in (select _scd_id from closed)
@@ -845,7 +844,7 @@ union all select * from closed union all select * from new"""))
 def scd2_merge_partial(spark, d):
     """Recent rows only, without continuing from the stored history."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, hot=f.hot, now=now())
+    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, cuts=f.cuts, now=now())
 
 
 _SEEDED = f"""first_new as (select user_id, min(update_date) as first_date from new_src group by user_id),
@@ -870,7 +869,7 @@ union all select * from closed union all select * from new"""))
 def lookback_seeded(spark, d):
     """Recent rows only, continued from the stored history."""
     f = Feed(spark, d)
-    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, hot=f.hot, seeded=True, now=now())
+    return merge.scd2_merge(f.old, f.since(SPLIT), USERS, cuts=f.cuts, seeded=True, now=now())
 
 
 @query(sql.with_(*_OLD_DIM, sql.dim(), select="""select count(*) filter (where o._scd_id is null and not n.is_deleted) as records_created,
@@ -879,7 +878,7 @@ def lookback_seeded(spark, d):
 from dim n left join old o on n._scd_id = o._scd_id"""))
 def merge_stats(spark, d):
     f = Feed(spark, d)
-    return merge.merge_stats(f.old, merge.scd2_changes(f.old, f.rows, USERS, hot=f.hot, now=now()), USERS)
+    return merge.merge_stats(f.old, merge.scd2_changes(f.old, f.rows, USERS, cuts=f.cuts, now=now()), USERS)
 
 
 @query(sql.with_(sql.DIM, select="select * from dim"))
@@ -887,7 +886,7 @@ def scd2_apply(spark, d):
     """The same two batches against a stored, bucketed table."""
     f, path = Feed(spark, d), scratch(spark, "history")
     tables.write_history(f.build(f.before(SPLIT)), path, USERS)
-    tables.merge_into(spark, path, f.rows, USERS, run_id="second", hot=f.hot, now=now())
+    tables.merge_into(spark, path, f.rows, USERS, run_id="second", cuts=f.cuts, now=now())
     return tables.read_history(spark, path)
 
 
@@ -896,7 +895,7 @@ def compact(spark, d):
     """A history written in two parts, its cold directories compacted."""
     f, path = Feed(spark, d), scratch(spark, "compact")
     tables.write_history(f.build(f.before(SPLIT)), path, USERS)
-    tables.merge_into(spark, path, f.rows, USERS, run_id="second", hot=f.hot, now=now())
+    tables.merge_into(spark, path, f.rows, USERS, run_id="second", cuts=f.cuts, now=now())
     tables.compact(spark, path, USERS, "2024-02-02 00:00:00")
     return tables.read_history(spark, path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.clean import is_blank
 from tidemark.operators import checks, report, staging
-from tidemark.operators.keyed import MAX_ROWS, find_hot, match
+from tidemark.operators.keyed import find_cuts, match
 from tidemark.sources import landing, runs, tables
 from tidemark.spec import USERS
 
@@ -83,7 +83,7 @@ def run_once(
     root: str,
     run_id: str,
     max_reject_percent: float = 5.0,
-    max_rows: int = MAX_ROWS,
+    segments: int | None = None,
     lookback_days: int | None = None,
     as_of=None,
     now: Column | None = None,
@@ -115,14 +115,14 @@ def run_once(
 
     rows = staging.to_history_names(staging.stage_users(raw))
     keys = batch.select(F.col("id").alias(USERS.key)).distinct()
-    hot = find_hot(rows, USERS.key, USERS.ts, max_rows)
-    staged = match(rows, keys, USERS.key, "left_semi", hot)
+    cuts = find_cuts(rows, USERS.key, USERS.order(rows.columns), segments)
+    staged = match(rows, keys, USERS.key, "left_semi", cuts)
     result |= tables.merge_into(
-        spark, paths.history, staged, USERS, run_id=run_id, hot=hot,
+        spark, paths.history, staged, USERS, run_id=run_id, cuts=cuts,
         seeded=lookback_days is not None, complete=lookback_days is None, now=now, keys=keys,
     )
     dim = tables.read_history(spark, paths.history)
-    suite = report.scd_report(report.scd_suite(dim, USERS, hot))
+    suite = report.scd_report(report.scd_suite(dim, USERS, cuts))
     tables.write_report(suite, f"{paths.reports}/{run_id}")
     result["seconds"] = (datetime.now(timezone.utc) - began).total_seconds()
     return result

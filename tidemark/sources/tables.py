@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.ids import bucket_of
 from tidemark.functions.times import micros
 from tidemark.operators.history import scd2_build
-from tidemark.operators.keyed import HotKeys, match
+from tidemark.operators.keyed import Cuts, match
 from tidemark.operators.merge import (
     closing_ids,
     derive,
@@ -244,7 +244,7 @@ def merge_into(
     spec: HistorySpec,
     run_id: str | None = None,
     layout: Layout | None = None,
-    hot: HotKeys | None = None,
+    cuts: Cuts | None = None,
     seeded: bool = False,
     per_key: bool = True,
     now: Column | None = None,
@@ -273,7 +273,7 @@ def merge_into(
         return dict.fromkeys(COUNTS, 0)
     schema = stored_schema(spark, path)
     if schema is None:
-        return _first_load(path, staged, spec, run_id, layout or Layout(), hot, now)
+        return _first_load(path, staged, spec, run_id, layout or Layout(), cuts, now)
     layout = layout_of(spark, path, layout)
     table = _read_parts(spark, path, schema)
     # At most layout.buckets numbers.
@@ -284,8 +284,8 @@ def merge_into(
     if keys is None:
         keys = updated_keys(staged, near if per_key else table, spec, per_key)
     standing = near.filter(F.col(spec.sequence) > 0).drop(BUCKET, PERIOD)
-    new, closers = derive(standing, staged, spec, hot, seeded, keys=keys, now=now)
-    theirs = match(near, keys, spec.key, "left_semi", hot)
+    new, closers = derive(standing, staged, spec, cuts, seeded, keys=keys, now=now)
+    theirs = match(near, keys, spec.key, "left_semi", cuts)
     changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded, complete), "changes")
 
     fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
@@ -348,10 +348,10 @@ def _changes(
     )
 
 
-def _first_load(path, staged, spec, run_id, layout, hot, now) -> dict[str, int]:
+def _first_load(path, staged, spec, run_id, layout, cuts, now) -> dict[str, int]:
     spark = staged.sparkSession
     _keep_layout(spark, path, spec, layout)
-    _replace(layout.place(scd2_build(staged, spec, hot, now=now), spec), path, run_id)
+    _replace(layout.place(scd2_build(staged, spec, cuts, now=now), spec), path, run_id)
     counts = read_history(spark, path).agg(
         F.count_if(~F.col(spec.deleted)).alias("records_created"),
         F.lit(0).cast("bigint").alias("records_updated"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.ids import bucket_of
-from tidemark.operators.keyed import find_hot
+from tidemark.operators.keyed import find_cuts
 from tidemark.sources.tables import BUCKET, Layout, layout_of, merge_into
 from tidemark.spec import HistorySpec
 
@@ -50,7 +50,7 @@ def stream_scd2(
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     layout: Layout | None = None,
     name: str = "history",
-    max_rows: int | None = None,
+    segments: int | None = None,
 ) -> StreamingQuery:
     """Process what is available and stop; start again to go on from the checkpoint.
 
@@ -62,15 +62,15 @@ def stream_scd2(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark, limit = batch.sparkSession, {} if max_rows is None else {"max_rows": max_rows}
+        spark = batch.sparkSession
         buckets = layout_of(spark, path, layout).buckets
         near = keep_batch(prepare(batch), path.rstrip("/") + "_staged", batch_id, spec, buckets)
         keys = near.filter(F.col(BATCH) == batch_id).select(spec.key).distinct()
         if keys.isEmpty():
             return
         rows = near.drop(BATCH, BUCKET)
-        hot = find_hot(rows, spec.key, spec.ts, **limit)
-        merge_into(spark, path, rows, spec, run_id=f"{name}-{batch_id}", layout=layout, hot=hot, keys=keys, complete=True)
+        cuts = find_cuts(rows, spec.key, spec.order(rows.columns), segments)
+        merge_into(spark, path, rows, spec, run_id=f"{name}-{batch_id}", layout=layout, cuts=cuts, keys=keys, complete=True)
 
     return (
         stream.writeStream.foreachBatch(merge)
