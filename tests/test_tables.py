@@ -1,5 +1,6 @@
 import json
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,7 +232,8 @@ def test_lifecycle_gate_and_bookmark(spark, small, tmp_path):
     assert same(tables.read_history(spark, paths.history), whole, but=stamps)
     third = lifecycle.run_once(spark, clean, root, "r3")
     assert third == {"run_id": "r3", "pulled": 0}
-    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(clean.agg(F.max("lastmodifieddate")).first()[0])
+    latest = clean.agg(F.max("lastmodifieddate")).first()[0]
+    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(micros_of(latest))
 
 
 def test_lifecycle_goes_on_after_a_lost_merge(spark, tmp_path, monkeypatch):
@@ -306,4 +308,47 @@ def test_a_run_lost_before_its_bookmark_is_not_doubled(spark, tmp_path, monkeypa
     # The row that reached the source late is found by the overlap, and nothing else again.
     assert lifecycle.ingest(spark, source, paths, "r2", overlap_days=9) == 3
     assert sorted(r.id for r in tables.read_raw(spark, paths.raw).collect()) == [str(i) for i in range(9)]
-    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(at(8))
+    assert runs.last_mark(spark, paths.log, lifecycle.JOB) == str(micros_of(at(8)))
+
+
+def micros_of(t) -> int:
+    return (t - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
+def test_repeats_and_untimed_rows_are_landed_as_often_as_they_come(spark, tmp_path):
+    """A row given three times is three rows, with an overlap or without; rows without a time land in any run, once."""
+    timed = [(str(i), at(i)) for i in range(9)]
+    source = spark.createDataFrame(timed * 3 + [("x", None), ("x", None)], "id string, lastmodifieddate timestamp_ntz")
+    landed = lambda p: sorted(tuple(r) for r in tables.read_raw(spark, p.raw).groupBy("id").count().collect())
+    for overlap in (0, 2, 30):
+        paths = lifecycle.Paths(str(tmp_path / str(overlap)))
+        early = source.filter("id < '5'")
+        assert lifecycle.ingest(spark, early, paths, "r1", overlap_days=overlap) == 15
+        more = source.unionByName(spark.createDataFrame([("4", at(4)), ("y", None)], source.schema))
+        # The fourth copy of a row of the last day is only seen with an overlap.
+        late = 1 if overlap else 0
+        assert lifecycle.ingest(spark, more, paths, "r2", overlap_days=overlap) == 12 + 3 + late
+        want = [(str(i), 3 + late * (i == 4)) for i in range(9)] + [("x", 2), ("y", 1)]
+        assert landed(paths) == want
+        assert lifecycle.ingest(spark, more, paths, "r3", overlap_days=overlap) == 0 and landed(paths) == want
+
+
+def test_only_untimed_rows_at_first(spark, tmp_path):
+    paths = lifecycle.Paths(str(tmp_path))
+    source = spark.createDataFrame([("x", None), ("a", at(1))], "id string, lastmodifieddate timestamp_ntz")
+    assert lifecycle.ingest(spark, source.filter("id = 'x'"), paths, "r1") == 1
+    assert lifecycle.ingest(spark, source, paths, "r2") == 1
+    assert lifecycle.ingest(spark, source, paths, "r3") == 0
+
+
+def test_untimed_rows_of_a_second_run_reach_quarantine(spark, tmp_path):
+    changes = rows(spark, *[(t, "North", False) for t in range(1, 60)]).withColumnsRenamed(
+        {"user_id": "id", "is_active": "isactive", "update_date": "lastmodifieddate", "is_deleted": "isdeleted"}
+    )
+    source = changes.drop("_extracted_at", "_extraction_run_id").withColumn("createddate", F.col("lastmodifieddate"))
+    lifecycle.run_once(spark, source.filter("lastmodifieddate < timestamp_ntz'2024-01-20'"), str(tmp_path), "r1")
+    untimed = source.limit(1).withColumn("lastmodifieddate", F.lit(None).cast("timestamp_ntz"))
+    second = lifecycle.run_once(spark, source.unionByName(untimed), str(tmp_path), "r2", overlap_days=3)
+    assert second["pulled"] == 42
+    rejected = spark.read.parquet(f"{lifecycle.Paths(str(tmp_path)).quarantine}/r2").collect()
+    assert [r.reject_reason for r in rejected] == ["missing_lastmodifieddate"]

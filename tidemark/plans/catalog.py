@@ -1145,10 +1145,10 @@ def stream_metric_windows_late(spark, d):
     sql.dim("dim", "stamped"), select="select * from dim",
 ))
 def scheduled_runs(spark, d):
-    """Two scheduled runs of the whole lifecycle, the second after more rows have arrived."""
+    """Two scheduled runs of the whole lifecycle, the second after more rows have arrived, with an overlap."""
     raw, made = Feed(spark, d).raw, ["_extracted_at", "_extraction_run_id", "_extracted_date"]
     root, at = scratch(spark, "runs"), F.lit(SPLIT).cast("timestamp_ntz")
     early = raw.filter(F.col("_extracted_at") < at).drop(*made)
     lifecycle.run_once(spark, early, root, "first", now=now())
-    lifecycle.run_once(spark, raw.drop(*made), root, "second", now=now())
+    lifecycle.run_once(spark, raw.drop(*made), root, "second", now=now(), overlap_days=2)
     return tables.read_history(spark, lifecycle.Paths(root).history)

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.clean import is_blank
+from tidemark.functions.times import from_micros, micros
 from tidemark.operators import checks, report, staging
 from tidemark.operators.keyed import find_cuts, match
 from tidemark.sources import landing, runs, tables
@@ -58,22 +59,32 @@ def ingest(
 
     The bookmark moves only after the write, and a run writes into a directory of its
     own: one that is lost in between is pulled again and replaces what it had landed.
-    Count and mark are taken by the write itself.  With ``overlap_days`` the pull starts
-    that much before the bookmark, for rows that reached the source late; those that
-    were landed before are left out.
+    Count and mark are taken by the write itself; the mark is kept in microseconds, so
+    that it does not depend on a session's time zone.
+
+    Rows that earlier runs may have landed are compared with what these landed as bags, a
+    row given three times being three rows: with ``overlap_days`` those of so many days
+    before the bookmark, for rows that reached the source late, and always those without
+    a modification time, which no bookmark can tell apart.
     """
-    since = runs.last_mark(spark, paths.log, JOB)
-    new = landing.read_incremental(source, MODIFIED, since)
-    if since and overlap_days:
-        start = F.lit(since).cast(source.schema[MODIFIED].dataType) - F.expr(f"interval {int(overlap_days)} days")
+    since, at = runs.last_mark(spark, paths.log, JOB), F.col(MODIFIED)
+    new, again = source, source.filter(at.isNull())
+    if since is not None:
+        mark = from_micros(source, MODIFIED, F.lit(int(since)).cast("bigint"))
+        new = landing.read_incremental(source, MODIFIED, mark)
+        if overlap_days:
+            start = mark - F.expr(f"interval {int(overlap_days)} days")
+            again = source.filter(at.isNull() | ((at > start) & (at <= mark)))
+    if runs.any_state(spark, paths.log, JOB, "succeeded"):
         raw = tables.read_raw(spark, paths.raw, landing.stamp_extraction(source, run_id, now).schema)
-        had = raw.filter((F.col(MODIFIED) > start) & (F.col("_extraction_run_id") != run_id))
-        new = landing.read_incremental(source, MODIFIED, start).subtract(had.select(*source.columns))
+        had = raw.filter(F.col("_extraction_run_id") != run_id).select(*source.columns)
+        had = had.filter(at.isNull() if since is None or not overlap_days else at.isNull() | ((at > start) & (at <= mark)))
+        new = new.filter(at.isNotNull()).unionByName(again.exceptAll(had))
     stamped = landing.stamp_extraction(new, run_id, now)
-    seen = tables.land_run(stamped, paths.raw, run_id, F.max(MODIFIED).cast("string").alias("mark"))
+    seen = tables.land_run(stamped, paths.raw, run_id, F.max(micros(source, MODIFIED)).alias("mark"))
     # Late rows alone do not move the bookmark back.
-    mark = max((m for m in (seen["mark"], since) if m), default=None)
-    runs.record(spark, paths.log, JOB, run_id, "succeeded", mark)
+    marks = [int(m) for m in (seen["mark"], since) if m is not None]
+    runs.record(spark, paths.log, JOB, run_id, "succeeded", str(max(marks)) if marks else None)
     return seen["rows"]
 
 

@@ -5,13 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of local sessions that were started without one.
+_OWN: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidemark") -> SparkSession:
     """A session for tests and benchmarks; on a cluster use the cluster's own."""
+    builder = SparkSession.builder
+    # A folder that the installation presets stands; Spark reads that before it has a session.
+    if SparkConf().get("spark.checkpoint.dir") is None:
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -28,15 +37,17 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tidema
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    A local session, whose executors share its disk, gets one folder of its own where
+    that is unset; the setting can't be changed once a session runs.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        root = _OWN[context.applicationId]
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 

@@ -44,6 +44,10 @@ def has_state(spark: SparkSession, log: str, job: str, run_id: str, state: str)
     return not rows.isEmpty()
 
 
+def any_state(spark: SparkSession, log: str, job: str, state: str) -> bool:
+    return not read(spark, log).filter((F.col("job") == job) & (F.col("state") == state)).isEmpty()
+
+
 def standing(spark: SparkSession, log: str, job: str, run_id: str) -> tuple[bool, list[tuple[str, str]]]:
     """(whether ``run_id`` was applied, runs staged but never applied, oldest first).
 
