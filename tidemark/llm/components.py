@@ -14,8 +14,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Every round points the larger neighbours of a node at its smallest one, then does the
     same with the smaller neighbours, until the edges are stars. The edges never become
     more than twice as many, chains halve in each round, and every round is written to
-    the shared folder, so lost executors cost one round at most. Nothing but a count and
-    a checksum reaches the driver. Rows with a null end are no edges.
+    the shared folder, so lost executors cost one round at most. The smallest neighbours
+    are written too before edges are joined with them: an edge of a hub then meets one row
+    of a stored table, and the hub's partition can be split, which a join with an aggregate
+    can't. Nothing but a count and a checksum reaches the driver. Rows with a null end are
+    no edges.
     """
     stars = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -23,7 +26,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     )
     seen = _mark(stars)
     while seen[0]:
-        stars = written(_small(_large(stars)), f"{name}-stars")
+        stars = written(_large(stars, name), f"{name}-large")
+        stars = written(_small(stars, name), f"{name}-stars")
         now = _mark(stars)
         if now == seen:
             break
@@ -37,13 +41,13 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, name: str) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), f"{name}-least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+def _small(edges: DataFrame, name: str) -> DataFrame:
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")), f"{name}-least")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()

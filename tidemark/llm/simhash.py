@@ -13,8 +13,10 @@ at most two bits if and only if some value is within one bit of both. That takes
 a member and no pairs.
 
 Null, empty and blank texts have fingerprint zero and are linked like any other. Rows
-without a ``doc_id`` are not compared: their component is null. Rows that share a
-``doc_id`` count as one document in ``one_of_each``. Extra columns are not looked at.
+without a ``doc_id`` are not compared: their component is null. ``one_of_each`` compares them like
+all others: of each group it keeps one row, the one with the smallest (id, fingerprint,
+digest of the whole row), rows without id last; two texts that share an id are two rows.
+Extra columns only enter the digest.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import in_arrow, runs
 from tidemark.llm.components import components
@@ -56,16 +59,19 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): bit set where more than half of the shingles' hashes have it; fp is signed."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the columns to keep: bit set where more than half of the shingles' hashes have it; fp is signed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in runs(batch, "text"):
                 fps = np.array([_majority(fingerprint_of(t.encode().lower().split(), shingle)) for t in texts], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+                columns = [piece.column("doc_id"), pa.array(fps.view(np.int64)), *[piece.column(c) for c in keep]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *keep])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *keep)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *[rows.schema[c] for c in keep]])
+    return in_arrow(rows, run, schema)
 
 
 def signatures(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -94,7 +100,8 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET
     if max_distance not in (1, 2):
         raise ValueError("max_distance is 1 or 2: beyond that, large buckets have no exact way without pairs")
     index = signatures(fps, max_distance)
-    sizes = index.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    # Stored, so that the partition of a value which millions share can be split in the join.
+    sizes = written(index.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "simhash-sizes")
     shared = written(index.join(sizes, "key"), "simhash-shared")
     small = shared.where(F.col("size") <= bucket).select("key", "fp")
     left, right = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
@@ -103,7 +110,7 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET
     if max_distance == 2:
         crowd = crowd.select("fp").distinct().select("fp", F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("bit"))
         crowd = crowd.select("fp", F.expr("case when bit < 0 then fp else fp ^ shiftleft(1L, bit) end").alias("key"))
-    middle = crowd.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
+    middle = written(crowd.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1"), "simhash-middles")
     stars = crowd.join(middle, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
     return pairs.select("a", "b").unionByName(stars).distinct()
 
@@ -123,7 +130,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents that stay: of each group the one with the smallest id, with all its columns."""
-    kept = near_duplicates(docs, shingle, max_distance).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """The rows that stay, with all their columns: of each group one, and no text without a near copy that stays."""
+    # 128 bits tell rows apart; rows that are equal in every column are told by their number.
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    digest = {"__high": F.xxhash64(*whole), "__low": F.xxhash64(F.lit("low"), *whole)}
+    marked = docs.select(F.col("doc_id").cast("long"), "text", *[c.alias(n) for n, c in digest.items()])
+    rows = written(fingerprints(marked, shingle, tuple(digest)).groupBy("doc_id", "fp", *digest).agg(F.count("*").alias("n")), "simhash-rows")
+    roots = components(links(written(rows.select("fp").distinct(), "simhash-distinct"), max_distance), "simhash")
+    rooted = rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", *digest, "n")
+    first = rooted.groupBy("root").agg(F.min(order).alias("first")).select("first.__high", "first.__low", "first.n")
+    first = written(first, "simhash-first")
+    high, low = (_fresh(n, docs.columns) for n in digest)
+    told = docs.withColumns({high: digest["__high"], low: digest["__low"]})
+    same = lambda kept: (told[high] == kept["__high"]) & (told[low] == kept["__low"])
+    single, several = first.where("n = 1"), first.where("n > 1")
+    lone = told.join(single, same(single), "left_semi")
+    again = told.join(several, same(several), "left_semi").dropDuplicates([high, low])
+    return lone.unionByName(again).drop(high, low)
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name

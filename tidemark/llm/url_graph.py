@@ -38,7 +38,7 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DAMPING, WRITE_EVERY, EXCESS = 0.85, 4, 0.5
+DAMPING, EXCESS = 0.85, 0.5
 #: What may be under way at the end, as a part of the smallest threshold, and the least that counts.
 TOLERANCE, LEAST = 1e-3, 1e-12
 #: Most rounds: after these ``DAMPING`` leaves less than ``LEAST``.
@@ -90,7 +90,8 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     both = links.select(F.lit("trust").alias("kind"), F.col("source").alias("host"), F.col("target").alias("to")).unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("target").alias("host"), F.col("source").alias("to"))
     )
-    out = both.groupBy("kind", "host").agg(F.count("*").alias("out"))
+    # Both sides of these joins are stored tables, so that the partition of a host which everybody links to can be split.
+    out = written(both.groupBy("kind", "host").agg(F.count("*").alias("out")), "url-out")
     both = written(both.join(out, ["kind", "host"]), "url-edges")
     mass = (1 - damping) * F.col("mass")
     ranks = written(seeds.select("kind", "host", mass.alias("score"), mass.alias("fresh")), "url-seeds")
@@ -98,11 +99,10 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         moved = ranks.where("fresh > 0").join(both, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.lit(damping) * F.col("fresh") / F.col("out")).alias("score"))
         known = ranks.select("kind", "host", "score", F.lit(0.0).alias("fresh"))
         ranks = known.unionByName(moved.withColumn("fresh", F.col("score"))).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("fresh").alias("fresh"))
-        if turn % WRITE_EVERY == 0 or turn == rounds:
-            ranks = written(ranks, "url-ranks")
-            left = (ranks.agg(F.sum("fresh")).first()[0] or 0.0) * damping / (1 - damping)
-            if left <= close:
-                return ranks.select("kind", "host", "score")
+        ranks = written(ranks, "url-ranks")
+        left = (ranks.agg(F.sum("fresh")).first()[0] or 0.0) * damping / (1 - damping)
+        if left <= close:
+            return ranks.select("kind", "host", "score")
     raise ValueError(f"{left} of the mass is under way after {rounds} rounds, more than {close}")
 
 
