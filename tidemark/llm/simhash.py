@@ -102,7 +102,8 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET
     index = signatures(fps, max_distance)
     # Stored, so that the partition of a value which millions share can be split in the join.
     sizes = written(index.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "simhash-sizes")
-    shared = written(index.join(sizes, "key"), "simhash-shared")
+    # They grow with the input, so they are never broadcast.
+    shared = written(index.join(sizes.hint("merge"), "key"), "simhash-shared")
     small = shared.where(F.col("size") <= bucket).select("key", "fp")
     left, right = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
     pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance))
