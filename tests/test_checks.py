@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, example, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import USERS
@@ -26,6 +27,37 @@ def test_checks_do_not_depend_on_cuts(spark, small):
     assert same(serve.state_at(history.with_validity(dim, USERS, cuts), USERS, catalog.MIDDLE), serve.state_at(dim, USERS, catalog.MIDDLE))
 
 
+def plain_sweep(data):
+    """(key, from, to, reached, problem) by looking at every earlier interval."""
+    out = []
+    data = sorted(data, key=lambda r: (r[0], r[1], -1 if r[2] is None else r[2]))
+    for i, (k, a, b) in enumerate(data):
+        before = [e for key, s, e in data[:i] if key == k and (e is None or e > s)]
+        reached = None if None in before else max(before, default=None)
+        if b is not None and b < a:
+            out.append((k, a, b, reached, "inverted"))
+        elif (b is None or b > a) and any(e is None or e > a for e in before):
+            out.append((k, a, b, reached, "overlap"))
+        elif (b is None or b > a) and before and max(before) < a:
+            out.append((k, a, b, reached, "gap"))
+    return out
+
+
+intervals = st.lists(st.tuples(st.sampled_from("AAAB"), st.integers(0, 30), st.one_of(st.none(), st.integers(0, 35))), min_size=1, max_size=30)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@example([("A", 1, 20), ("A", 2, 3), ("A", 5, 6)], 4)
+@example([("A", 1, 2), ("A", 2, 4), ("A", 6, 7), ("A", 8, None), ("A", 30, 31)], 3)
+@given(intervals, st.integers(1, 12))
+def test_interval_sweep(spark, data, segments):
+    time = lambda x: None if x is None else at(x)
+    df = spark.createDataFrame([(k, at(a), time(b)) for k, a, b in data], "user_id string, effective_from timestamp_ntz, effective_to timestamp_ntz")
+    want = sorted(((k, at(a), time(b), time(r), p) for k, a, b, r, p in plain_sweep(data)), key=repr)
+    for cuts in (None, find_cuts(df, "user_id", ["effective_from", "effective_to"], segments)):
+        assert sorted(map(tuple, checks.interval_overlaps(df, USERS, cuts).collect()), key=repr) == want
+
+
 def test_gate(spark):
     report_ = spark.createDataFrame([("a", True), ("b", False)], "measure string, passed boolean")
     with pytest.raises(checks.QualityGateClosed, match="b"):

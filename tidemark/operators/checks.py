@@ -139,19 +139,30 @@ def business_rules(dim: DataFrame, spec: HistorySpec, labels: Mapping[str, str]
 
 
 def interval_overlaps(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
-    """Neighbouring validity intervals that overlap or leave a hole, with the kind."""
-    order = ["effective_from", *spec.order([c for c in dim.columns if not c.startswith("effective_")])]
-    seen = ordered(dim, spec.key, order, lead={"next_from": F.col("effective_from")}, cuts=cuts)
-    end, after = F.col("effective_to"), F.col("next_from")
+    """Validity intervals that overlap an earlier one, follow a hole, or end before they begin.
+
+    A sweep along each key by (effective_from, effective_to) that carries the greatest end
+    so far, ``reached``; an open end is null and reaches everything.  An interval that
+    begins before it overlaps, however far back the one that it overlaps lies; one that
+    begins after it follows a hole.  Intervals without a point in time cover nothing.
+    ``cuts`` are by this order.
+    """
+    start, end = F.col("effective_from"), F.col("effective_to")
+    solid = end.isNull() | (end > start)
+    # Open ends are the greatest.
+    far = F.when(solid, F.struct(end.isNull().alias("open"), end.alias("end")))
+    rows = dim.filter(start.isNotNull()).select(spec.key, "effective_from", "effective_to")
+    seen = ordered(rows, spec.key, ["effective_from", "effective_to"], reach={"_far": far}, cuts=cuts)
+    reached = F.col("_far.end")
     kind = (
-        F.when(after.isNull(), F.when(end < F.col("effective_from"), "inverted"))
-        .when(end.isNull() | (end > after), "overlap")
-        .when(end < after, "gap")
+        F.when(end < start, "inverted")
+        .when(solid & (F.col("_far.open") | (reached > start)), "overlap")
+        .when(solid & ~F.col("_far.open") & (reached < start), "gap")
     )
     return (
         seen.withColumn("problem", kind)
         .filter(F.col("problem").isNotNull())
-        .select(spec.key, "effective_from", "effective_to", "next_from", "problem")
+        .select(spec.key, "effective_from", "effective_to", reached.alias("reached"), "problem")
     )
 
 

@@ -115,10 +115,10 @@ def number_versions(
         peak={"_latest": F.col(spec.ts)},
         cuts=cuts,
     )
-    return _dimension_rows(numbered, rows.columns, spec, now)
+    return dimension_rows(numbered, rows.columns, spec, now)
 
 
-def _dimension_rows(numbered: DataFrame, payload: Sequence[str], spec: HistorySpec, now) -> DataFrame:
+def dimension_rows(numbered: DataFrame, payload: Sequence[str], spec: HistorySpec, now) -> DataFrame:
     return numbered.select(
         hash_id(numbered, [spec.key, spec.ts]).alias(spec.surrogate),
         *payload,
@@ -194,7 +194,7 @@ def _build_cut(heavy: DataFrame, spec: HistorySpec, cuts: Cuts, track_deletes: b
     found = found.filter(F.when(F.col("_at") == 1, F.col("_opens")).otherwise(F.col(NEEDED)))
     number = (F.col("_skip") + F.row_number().over(by)).cast("int")
     numbered = found.withColumns({spec.deleted: default_false(spec.deleted), spec.sequence: number})
-    return _dimension_rows(numbered, heavy.columns, spec, now)
+    return dimension_rows(numbered, heavy.columns, spec, now)
 
 
 def preliminary_currency(versions: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:

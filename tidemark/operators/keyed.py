@@ -141,6 +141,7 @@ def ordered(
     fill: Mapping[str, Column] | None = None,
     number: str | None = None,
     peak: Mapping[str, Column] | None = None,
+    reach: Mapping[str, Column] | None = None,
     cuts: Cuts | None = None,
     summary_of: DataFrame | None = None,
 ) -> DataFrame:
@@ -148,13 +149,13 @@ def ordered(
 
     lag     value on the row before            lead   value on the row after
     fill    last non-null value up to the row  number position, from 1
-    peak    maximum over all rows of the key
+    peak    maximum over all rows of the key        reach  maximum over the rows before
 
     ``order`` starts with the time column and should be a total order.  With cuts,
     segments are summarised from ``summary_of`` if given: rows that lead to the
     same neighbours as ``df`` at less cost (``number`` then counts those rows).
     """
-    lag, lead, fill, peak = lag or {}, lead or {}, fill or {}, peak or {}
+    lag, lead, fill, peak, reach = lag or {}, lead or {}, fill or {}, peak or {}, reach or {}
     sort = [F.col(c).asc_nulls_first() for c in order]
     if cuts is None:
         w = Window.partitionBy(key).orderBy(*sort)
@@ -166,11 +167,12 @@ def ordered(
         if number:
             added[number] = F.row_number().over(w)
         added |= {a: F.max(c).over(whole) for a, c in peak.items()}
+        added |= {a: F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)) for a, c in reach.items()}
         return df.withColumns(added)
 
     placed = cuts.place(df, key, order)
     source = placed if summary_of is None else cuts.place(summary_of, key, order)
-    edges = cell_edges(source, cuts, key, order, lag, lead, fill, peak)
+    edges = cell_edges(source, cuts, key, order, lag, lead, fill, peak, reach)
     w = Window.partitionBy(key, CELL).orderBy(*sort)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = {"_at": F.row_number().over(w), "_more": F.lead(F.lit(True)).over(w)}
@@ -180,18 +182,22 @@ def ordered(
     # Keys that are not cut have one segment, so their peak is the segment's.
     inner |= {f"_peak_{a}": F.max(c).over(Window.partitionBy(key, CELL)) for a, c in peak.items()}
 
+    inner |= {f"_reach_{a}": F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)) for a, c in reach.items()}
+
     joined = placed.withColumns(inner).join(F.broadcast(edges), [key, CELL], "left")
     first, last = F.col("_at") == 1, F.col("_more").isNull()
     outer = {a: F.when(first, F.col(f"_before.{a}")).otherwise(F.col(f"_lag_{a}")) for a in lag}
     outer |= {a: F.when(last, F.col(f"_after.{a}")).otherwise(F.col(f"_lead_{a}")) for a in lead}
     outer |= {a: F.coalesce(F.col(f"_fill_{a}"), F.col(f"_carry_{a}")) for a in fill}
     outer |= {a: F.coalesce(F.col(f"_top_{a}"), F.col(f"_peak_{a}")) for a in peak}
+    # A maximum of two, either of which may be missing; greatest() leaves missing ones out.
+    outer |= {a: F.array_max(F.array(f"_reach_{a}", f"_high_{a}")) for a in reach}
     if number:
         outer[number] = (F.col("_at") + F.coalesce(F.col("_skip"), F.lit(0))).cast("int")
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(a) for a, c in outer.items()])
 
 
-def cell_edges(placed, cuts: Cuts, key, order, lag, lead, fill, peak) -> DataFrame:
+def cell_edges(placed, cuts: Cuts, key, order, lag, lead, fill, peak, reach) -> DataFrame:
     """One row per (cut key, segment) with what rows of that segment need from others."""
     at = F.struct(*order)
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -199,6 +205,7 @@ def cell_edges(placed, cuts: Cuts, key, order, lag, lead, fill, peak) -> DataFra
     aggs.append(F.min_by(_row(lead), at).alias("_head"))
     aggs += [F.max_by(c, F.when(c.isNotNull(), at)).alias(f"_carry_{a}") for a, c in fill.items()]
     aggs += [F.max(c).alias(f"_top_{a}") for a, c in peak.items()]
+    aggs += [F.max(c).alias(f"_high_{a}") for a, c in reach.items()]
     found = placed.filter(F.col(CELL) >= 0).groupBy(key, CELL).agg(*aggs)
     # Segments in which there is nothing to summarise still hand on what came before.
     cells = cuts.at.select(F.col("_key").alias(key), F.explode(F.sequence(F.lit(0), F.size("_rows"))).alias(CELL))
@@ -215,6 +222,7 @@ def cell_edges(placed, cuts: Cuts, key, order, lag, lead, fill, peak) -> DataFra
         F.sum("_n").over(past).alias("_skip"),
         *[F.last(f"_carry_{a}", ignorenulls=True).over(past).alias(f"_carry_{a}") for a in fill],
         *[F.max(f"_top_{a}").over(Window.partitionBy(key)).alias(f"_top_{a}") for a in peak],
+        *[F.max(f"_high_{a}").over(past).alias(f"_high_{a}") for a in reach],
     )
 
 

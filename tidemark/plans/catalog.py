@@ -566,25 +566,38 @@ def q_current_latest(spark, d):
 
 
 _SHIFTED = """shifted as (select user_id, version_sequence, effective_from,
-  case when version_sequence % 30 = 0 then effective_to + interval 1 day
-       when version_sequence % 31 = 0 then effective_to - interval 1 minute else effective_to end as effective_to from valid_dim)"""
-
-
-@query(sql.with_(sql.DIM, VALIDITY, _SHIFTED, select="""select user_id, effective_from, effective_to, next_from, problem from (
-  select *, case when next_from is null then case when effective_to < effective_from then 'inverted' end
-    when effective_to is null or effective_to > next_from then 'overlap' when effective_to < next_from then 'gap' end as problem
-  from (select *, lead(effective_from) over (partition by user_id order by effective_from, version_sequence) as next_from from shifted))
+  case when version_sequence % 10 = 3 then effective_to + interval 9 day
+       when version_sequence % 30 = 0 then effective_to + interval 1 day
+       when version_sequence % 31 = 1 then effective_to - interval 1 minute
+       when version_sequence % 47 = 0 then effective_from - interval 1 hour
+       when version_sequence % 97 = 0 then null else effective_to end as effective_to from valid_dim)"""
+# By pairs: every earlier interval of the key is looked at.
+_PAIRS = """placed as (select *, row_number() over (partition by user_id order by effective_from, effective_to nulls first, version_sequence) as n,
+  effective_to is null or effective_to > effective_from as solid from shifted)"""
+
+
+@query(sql.with_(sql.DIM, VALIDITY, _SHIFTED, _PAIRS, select="""select * from (
+  select b.user_id, b.effective_from, b.effective_to,
+    case when bool_or(a.effective_to is null and a.n is not null) then null else max(a.effective_to) end as reached,
+    case when b.effective_to < b.effective_from then 'inverted'
+      when b.solid and bool_or(a.n is not null and (a.effective_to is null or a.effective_to > b.effective_from)) then 'overlap'
+      when b.solid and count(a.n) > 0 and max(a.effective_to) < b.effective_from then 'gap' end as problem
+  from placed b left join placed a on a.user_id = b.user_id and a.n < b.n and a.solid
+  group by b.user_id, b.n, b.effective_from, b.effective_to, b.solid)
 where problem is not null"""))
 def q_overlaps(spark, d):
-    """On intervals some of which are shifted."""
+    """On intervals some of which are shifted: nested ones, holes, open ends in the middle."""
     f = Feed(spark, d)
-    valid, seq = history.with_validity(f.dim, USERS, f.cuts), F.col("version_sequence")
-    end = (
-        F.when(seq % 30 == 0, F.col("effective_to") + F.expr("interval 1 day"))
-        .when(seq % 31 == 0, F.col("effective_to") - F.expr("interval 1 minute"))
-        .otherwise(F.col("effective_to"))
+    valid, seq, end = history.with_validity(f.dim, USERS, f.cuts), F.col("version_sequence"), F.col("effective_to")
+    shifted = (
+        F.when(seq % 10 == 3, end + F.expr("interval 9 day"))
+        .when(seq % 30 == 0, end + F.expr("interval 1 day"))
+        .when(seq % 31 == 1, end - F.expr("interval 1 minute"))
+        .when(seq % 47 == 0, F.col("effective_from") - F.expr("interval 1 hour"))
+        .when(seq % 97 == 0, F.lit(None))
+        .otherwise(end)
     )
-    return checks.interval_overlaps(valid.withColumn("effective_to", end), USERS, f.cuts)
+    return checks.interval_overlaps(valid.withColumn("effective_to", shifted), USERS)
 
 
 _RAW_COLUMNS = ["id", "name", "division", "audit_phase__c", "isactive", "isdeleted", "lastmodifieddate", "_extracted_at"]

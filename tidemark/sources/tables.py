@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass
+from functools import reduce
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions.ids import bucket_of
 from tidemark.functions.times import micros
 from tidemark.operators.history import scd2_build
+from tidemark.operators import state
 from tidemark.operators.keyed import Cuts, match
 from tidemark.operators.merge import (
     closing_ids,
@@ -288,6 +290,11 @@ def merge_into(
     theirs = match(near, keys, spec.key, "left_semi", cuts)
     changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded, complete), "changes")
 
+    return _merge_changes(path, table, changes, spec, run_id)
+
+
+def _merge_changes(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec, run_id: str) -> dict[str, int]:
+    """Apply written changes to the directories they name; see :func:`_changes` for their columns."""
     fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
     # One row per directory to rewrite; never more than the table has directories.
     parts = changes.groupBy(BUCKET, PERIOD).agg(
@@ -302,10 +309,55 @@ def merge_into(
         )
         _replace(merged, path, run_id)
     else:
-        runs.record(spark, _log(path), MERGE, run_id, "applied")
+        runs.record(table.sparkSession, _log(path), MERGE, run_id, "applied")
     return counts
 
 
+def merge_derived(
+    spark: SparkSession,
+    path: str,
+    derived: DataFrame,
+    columns: list[str],
+    spec: HistorySpec,
+    run_id: str,
+    layout: Layout | None = None,
+    late: DataFrame | None = None,
+    now: Column | None = None,
+) -> DataFrame:
+    """Merge written results of :func:`~tidemark.operators.state.advance`; returns the keys' new states.
+
+    ``columns`` are those of the staged rows.  Keys that follow their state add versions and
+    close those their state names, so only the directories these lie in are read.  ``late``
+    are the keys that don't, derived from all their rows: their stored versions are read
+    and brought in line with these.
+    """
+    done, schema = recover(spark, path, run_id), stored_schema(spark, path)
+    follows = derived if late is None else derived.filter(~F.col("_late"))
+    sides = [follows] if late is None else [follows, late]
+    versions = [state.continued(side, columns, spec, now) for side in sides]
+    if schema is None:
+        layout = layout or Layout()
+        _keep_layout(spark, path, spec, layout)
+        _replace(layout.place(reduce(DataFrame.unionByName, versions), spec), path, run_id)
+    elif not done:
+        layout = layout_of(spark, path, layout)
+        table = _read_parts(spark, path, schema)
+        changes = layout.place(versions[0], spec).withColumn("_was", F.lit(None).cast("boolean"))
+        if state.has_past(follows):
+            ended = layout.place(state.closing(follows, spec), spec).withColumns({
+                spec.current: F.lit(False), spec.stamp: F.current_timestamp() if now is None else now, "_was": F.lit(True),
+            })
+            changes = changes.unionByName(ended, allowMissingColumns=True)
+        if late is not None:
+            keys = late.select(spec.key).distinct()
+            used = keys.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
+            theirs = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])).join(keys, spec.key, "left_semi")
+            redone = _changes(theirs, layout.place(versions[1], spec), keys, spec, now, complete=True)
+            changes = changes.unionByName(redone)
+        _merge_changes(path, table, written(changes, "changes"), spec, run_id)
+    return reduce(DataFrame.unionByName, [state.next_state(side, stored, spec) for side, stored in zip(sides, versions)])
+
+
 def _changes(
     stored: DataFrame, new: DataFrame, closers: DataFrame, spec: HistorySpec, now, seeded: bool = False, complete: bool = False
 ) -> DataFrame:

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.ids import bucket_of
+from tidemark.operators import state
 from tidemark.operators.keyed import find_cuts
-from tidemark.sources.tables import BUCKET, Layout, layout_of, merge_into
+from tidemark.session import written
+from tidemark.sources.tables import BUCKET, Layout, layout_of, merge_derived
 from tidemark.spec import HistorySpec
 
 BATCH = "_batch"
+#: Every so many batches all states are stored again, so that reading them stays cheap.
+FOLD = 16
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -26,20 +31,48 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files
 
 
 def keep_batch(rows: DataFrame, store: str, batch_id: int, spec: HistorySpec, buckets: int) -> DataFrame:
-    """Store a batch's staged rows and return all rows so far of its hash buckets.
+    """Store a batch's staged rows by hash bucket and return them; reads no other batch.
 
     A batch has a directory of its own, which a replay replaces.
     """
-    spark = rows.sparkSession
+    path = f"{store}/{BATCH}={batch_id}"
     placed = rows.withColumn(BUCKET, bucket_of(spec.key, buckets))
-    placed.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        BUCKET
-    ).parquet(f"{store}/{BATCH}={batch_id}")
-    whole = T.StructType([*rows.schema, T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+    placed.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+    whole = T.StructType([*rows.schema, T.StructField(BUCKET, T.IntegerType())])
+    return rows.sparkSession.read.schema(whole).parquet(path).drop(BUCKET)
+
+
+def kept_rows(spark: SparkSession, store: str, batch_id: int, keys: DataFrame | None, schema: T.StructType, spec: HistorySpec, buckets: int) -> DataFrame:
+    """All rows that ``keys`` had up to a batch, from their hash buckets; without keys all rows."""
+    whole = T.StructType([*schema, T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
     kept = spark.read.schema(whole).parquet(store).filter(F.col(BATCH) <= batch_id)
-    # At most ``buckets`` numbers.
-    used = [r[0] for r in kept.filter(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()]
-    return kept.filter(F.col(BUCKET).isin(*used)) if used else kept.limit(0)
+    if keys is not None:
+        # At most ``buckets`` numbers.
+        used = [r[0] for r in keys.select(bucket_of(spec.key, buckets)).distinct().collect()]
+        kept = kept.filter(F.col(BUCKET).isin(*used)).join(keys, spec.key, "left_semi")
+    return kept.select(*schema.names)
+
+
+def keep_states(changed: DataFrame, store: str, batch_id: int, spec: HistorySpec) -> None:
+    """Store the states that a batch changed; every ``FOLD``-th batch stores all of them."""
+    if batch_id % FOLD == FOLD - 1:
+        before = read_states(changed.sparkSession, store, batch_id, spec)
+        if before is not None:
+            changed = changed.unionByName(before.join(changed.select(spec.key), spec.key, "left_anti"))
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{store}/{BATCH}={batch_id}")
+
+
+def read_states(spark: SparkSession, store: str, batch_id: int, spec: HistorySpec) -> DataFrame | None:
+    """Each key's state before a batch: the last one stored, from the batches since all were; None if nothing is known."""
+    try:
+        rows = spark.read.parquet(store)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    rows = rows.filter((F.col(BATCH) < batch_id) & (F.col(BATCH) >= batch_id // FOLD * FOLD - 1))
+    last = rows.groupBy(spec.key).agg(F.max_by(F.struct(*state.STATE), BATCH).alias("_state"))
+    return last.select(spec.key, "_state.*")
 
 
 def stream_scd2(
@@ -54,23 +87,36 @@ def stream_scd2(
 ) -> StreamingQuery:
     """Process what is available and stop; start again to go on from the checkpoint.
 
-    ``prepare`` turns a batch into staged rows.  They are kept next to the history, and
-    the keys of a batch are derived from all rows they ever had, so rows may come late,
-    in any order and with values that are not valid: the history is that of a full build.
-    A batch reads its keys' hash buckets, no others.  The batch id is the merge's run id:
-    a batch replayed after a failure is not merged twice.
+    ``prepare`` turns a batch into staged rows, which are kept next to the history, as is
+    a state for each key (see ``operators.state``).  Keys whose rows all come later than
+    their state go on from it: their batch is all that is read.  Only keys with a row that
+    is late are derived from all rows they ever had.  Either way the history is that of a
+    full build, with rows in any order and values that are not valid.  The batch id is the
+    merge's run id: a batch replayed after a failure is not merged twice, and states are
+    read from the batches before it only.
     """
+    store, states = path.rstrip("/") + "_staged", path.rstrip("/") + "_states"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         buckets = layout_of(spark, path, layout).buckets
-        near = keep_batch(prepare(batch), path.rstrip("/") + "_staged", batch_id, spec, buckets)
-        keys = near.filter(F.col(BATCH) == batch_id).select(spec.key).distinct()
-        if keys.isEmpty():
-            return
-        rows = near.drop(BATCH, BUCKET)
+        rows = keep_batch(prepare(batch), store, batch_id, spec, buckets)
+        known = read_states(spark, states, batch_id, spec)
         cuts = find_cuts(rows, spec.key, spec.order(rows.columns), segments)
-        merge_into(spark, path, rows, spec, run_id=f"{name}-{batch_id}", layout=layout, cuts=cuts, keys=keys, complete=True)
+        derived = written(state.advance(rows, spec, known, cuts), "derived")
+        total, behind = derived.agg(F.count(F.lit(1)), F.count_if("_late")).first()
+        if not total and known is None:
+            return
+        late = None
+        # Without states every key is derived anew, once; the next batch can go on.
+        if behind or (known is None and batch_id > 0):
+            keys = None if known is None else derived.filter("_late").select(spec.key).distinct()
+            past = kept_rows(spark, store, batch_id, keys, rows.schema, spec, buckets)
+            cuts = find_cuts(past, spec.key, spec.order(past.columns), segments)
+            late = written(state.advance(past, spec, None, cuts), "late")
+            derived = derived.withColumn("_late", F.lit(True)) if keys is None else derived
+        changed = merge_derived(spark, path, derived, rows.columns, spec, f"{name}-{batch_id}", layout, late)
+        keep_states(changed, states, batch_id, spec)
 
     return (
         stream.writeStream.foreachBatch(merge)
