@@ -136,3 +136,20 @@ def test_statistics_of_an_empty_history(spark):
     got = serve.performance_metrics(dim, USERS).first()
     assert got["total_records"] == 0 and got["valid_division_ratio"] is None
     assert '"total_records":0' in serve.performance_json(dim, USERS).first()["metrics"]
+
+
+def test_a_key_that_holds_everything_at_one_time(spark):
+    """300 000 rows of one key and one time: no segment holds much more than its share, copies or not."""
+    wide = spark.range(300_000).selectExpr(
+        "'K' as user_id", "concat('name ', id) as name", "element_at(array('North', 'South', 'East'), cast(pmod(hash(id), 3) + 1 as int)) as division",
+        "'Phase1' as audit_phase__c", "true as is_active", "timestamp_ntz'2024-01-05 00:00:00' as update_date", "false as is_deleted",
+        "timestamp_ntz'2024-01-05 00:00:00' as _extracted_at", "'r' as _extraction_run_id",
+    )
+    order = USERS.order(wide.columns)
+    cuts = find_cuts(wide, "user_id", order, 30)
+    sizes = [r["count"] for r in cuts.place(wide, "user_id", order).groupBy("_cell").count().collect()]
+    assert len(sizes) > 25 and max(sizes) < 25_000
+    assert same(build(wide, cuts), build(wide))
+    copies = wide.withColumns({"name": F.lit("one"), "division": F.lit("North")})
+    cuts = find_cuts(copies, "user_id", order, 30)
+    assert cuts.once(copies, "user_id", order).count() == 1 and same(build(copies, cuts), build(copies))

@@ -408,6 +408,24 @@ def order_history(spark, d):
     return _order_dim(spark, d)[0]
 
 
+@query("""with rows as (select o_orderkey, o_orderstatus, cast(date_trunc('month', o_orderdate) as timestamp) as o_orderdate, o_orderpriority,
+  false as is_deleted from orders),
+seen as (select *, lag(o_orderpriority) over w as pp, row_number() over w as rn from rows
+  window w as (partition by o_orderstatus order by o_orderdate, o_orderpriority nulls first, o_orderkey))
+select o_orderkey, o_orderstatus, o_orderdate, o_orderpriority, is_deleted,
+  md5(concat_ws('-', o_orderstatus, cast(epoch_us(o_orderdate) as varchar))) as user_key,
+  o_orderdate = max(o_orderdate) over (partition by o_orderstatus) as is_current,
+  md5(concat_ws('-', o_orderstatus, cast(epoch_us(o_orderdate) as varchar), coalesce(o_orderpriority, '_null_'), 'false')) as _scd_id,
+  cast(row_number() over w as int) as version_sequence
+from seen where rn = 1 or o_orderpriority <> coalesce(pp, '')
+window w as (partition by o_orderstatus order by o_orderdate, o_orderpriority nulls first, o_orderkey)""")
+def heavy_key_history(spark, d):
+    """A history of a few keys, each of which fills whole segments and has most rows at equal times."""
+    rows = feeds.state_changes(spark, d)
+    cuts = find_cuts(rows, feeds.STATES.key, feeds.STATES.order(rows.columns), segments=32)
+    return history.scd2_build(rows, feeds.STATES, cuts).drop("_dbt_updated_at")
+
+
 # --- Serving -----------------------------------------------------------------------------
 
 

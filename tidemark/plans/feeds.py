@@ -68,6 +68,16 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumn("is_deleted", F.lit(False))
 
 
+# The same orders as the history of a few states: each key holds a large share of all rows,
+# and most of a key's rows share their time.
+STATES = HistorySpec(key="o_orderstatus", ts="o_orderdate", tracked=("o_orderpriority",), deleted="is_deleted")
+
+
+def state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = F.expr("cast(date_trunc('month', o_orderdate) as timestamp_ntz)")
+    return order_changes(spark, sf_dir).drop("o_custkey").withColumn("o_orderdate", month)
+
+
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run metrics: one value per event, named by the event's type."""
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("metric"), "ts", "value")
