@@ -1,3 +1,5 @@
+from datetime import timedelta
+
 import pytest
 from hypothesis import HealthCheck, example, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -133,6 +135,28 @@ def test_missing_periods_and_consecutive_breaches(spark):
     assert by("absent") == [True, True, True, True]
 
 
+def test_alarms_of_each_series_in_steps(spark):
+    """Any cut into evaluations gives the states of one; a series without data is watched too."""
+    rows = [("e", d, at(0) + timedelta(minutes=m), v) for d, m, v in [("x", 1, 9.0), ("x", 11, 9.0), ("x", 21, 9.0), ("y", 1, 9.0), ("y", 15, 1.0), ("y", 22, 9.0), (None, 31, 9.0)]]
+    m = spark.createDataFrame(rows, "metric string, d string, ts timestamp_ntz, value double")
+    rules = [AlarmRule("high", "e", "Sum", 600, ">", 5, 2), AlarmRule("gone", "e", "Sum", 600, "<", 0, 2, "breaching")]
+    series = spark.createDataFrame([("x",), ("y",), ("z",), (None,)], "d string")
+    end = at(0) + timedelta(minutes=60)
+    key = lambda r: (r.alarm, r.d or "", r.window_start)
+    whole = sorted(metrics.alarm_states(m, rules, at(0), end, dims=["d"], series=series).collect(), key=key)
+    assert len(whole) == 2 * 4 * 6
+    alarm = lambda a, d: [r.in_alarm for r in whole if r.alarm == a and r.d == d]
+    assert alarm("high", "x") == [False, True, True, False, False, False] and not any(alarm("high", "y"))
+    assert alarm("gone", "z") == [False] + [True] * 5 and alarm("gone", None) == [False, True, True, False, False, True]
+    for cut in (10, 20, 40):
+        middle = at(0) + timedelta(minutes=cut)
+        one = metrics.alarm_states(m, rules, at(0), middle, dims=["d"], series=series)
+        two = metrics.alarm_states(m, rules, middle, end, dims=["d"], series=series, carried=metrics.streaks(one, ["d"]))
+        assert sorted(one.unionByName(two).collect(), key=key) == whole
+    # Without a list of series: those that have data.
+    assert {r.d for r in metrics.alarm_states(m, rules, at(0), end, dims=["d"]).select("d").distinct().collect()} == {"x", "y", None}
+
+
 def test_known_alarms():
     assert len(ALARMS) == 8 and len(HEALTH_MEMBERS) == 6
     assert {a.alarm for a in ALARMS} - set(HEALTH_MEMBERS) == {"pipeline-duration", "record-volume"}

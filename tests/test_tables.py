@@ -10,7 +10,7 @@ from tidemark.operators import checks, history, metrics, report, staging
 from tidemark.plans import catalog, feeds, lifecycle
 from tidemark.sources import landing, runs, tables
 from tidemark.streaming.history import stream_scd2, stream_table
-from tidemark.streaming.windows import read_windows, stream_windows
+from tidemark.streaming.windows import merge_partials, read_windows, stream_windows, window_partials
 from users import BEGIN, at, build, rows, same, shape
 
 
@@ -204,13 +204,39 @@ def test_stream_windows_over_several_batches(spark, small, tmp_path):
     events = _event_files(spark, small, source, 4)
     stream = stream_table(spark, source, events.schema, max_files=1)
     values = stream.select(F.col("event_type").alias("metric"), "ts", "value")
-    stream_windows(values, 21_600, "Sum", out, cp).awaitTermination()
+    stream_windows(values, 21_600, out, cp).awaitTermination()
     want = metrics.metric_windows(events.select(F.col("event_type").alias("metric"), "ts", "value"), 21_600, "Sum")
     got = read_windows(spark, out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     rounded = lambda d: d.withColumn("value", F.round("value", 6))
     assert same(rounded(got), rounded(want))
 
 
+def test_window_partials_take_a_batch_once(spark, tmp_path):
+    """A batch that is replayed, whole or after half of its days, changes nothing; late rows reach only their day."""
+    path = str(tmp_path / "w")
+    value = lambda *r: spark.createDataFrame([(m, d, at(t), v) for m, d, t, v in r], "metric string, d string, ts timestamp_ntz, value double")
+    batches = [
+        value(("a", "x", 0, 1.0), ("a", "x", 0, 5.0), ("a", None, 0, 2.0), ("b", "x", 3, None)),
+        value(("a", "x", 1, 7.0), ("a", "x", 2, 8.0)),
+        value(("a", "x", 0, -3.0), ("a", None, 2, 4.0)),
+    ]
+    merge = lambda i, rows=None: merge_partials(path, window_partials(batches[i] if rows is None else rows, 86_400, ["d"]), i, ["d"])
+    merge(0)
+    merge(0)
+    merge(1, batches[1].filter("value = 7"))  # lost after its first day
+    merge(1)
+    first = files(path)
+    merge(2)
+    merge(2)
+    touched = {d for d, names in files(path).items() if first.get(d) != names}
+    assert len(files(path)) == 3 and len(touched) == 2
+    got = lambda s: sorted((r.metric, r.d, (r.window_start - BEGIN).days, r.value) for r in read_windows(spark, path, s, ["d"]).filter("d = 'x'").collect())
+    assert got("Sum") == [("a", "x", 0, 3.0), ("a", "x", 1, 7.0), ("a", "x", 2, 8.0)]
+    assert got("Average")[0][3] == 1.0 and got("Minimum")[0][3] == -3.0 and got("Maximum")[0][3] == 5.0 and got("SampleCount")[0][3] == 3.0
+    none = read_windows(spark, path, "Sum", ["d"]).filter("d is null").orderBy("window_start").collect()
+    assert [r.value for r in none] == [2.0, 4.0]
+
+
 def test_lifecycle_gate_and_bookmark(spark, small, tmp_path):
     source = catalog.Feed(spark, small).raw.drop("_extracted_at", "_extraction_run_id", "_extracted_date")
     with pytest.raises(checks.QualityGateClosed):

@@ -125,33 +125,71 @@ def consecutive_breach(evals: DataFrame, n: int) -> DataFrame:
     return evals.withColumn("in_alarm", breaches == n)
 
 
-def alarm_states(metrics: DataFrame, rules: Sequence[AlarmRule], start, end, ts: str = "ts") -> DataFrame:
-    """State of every alarm in every period of ``[start, end)``.
+def alarm_states(
+    metrics: DataFrame,
+    rules: Sequence[AlarmRule],
+    start,
+    end,
+    ts: str = "ts",
+    dims: Sequence[str] = (),
+    series: DataFrame | None = None,
+    carried: DataFrame | None = None,
+) -> DataFrame:
+    """State of every alarm in every period of ``[start, end)``, for each value of ``dims`` apart.
 
     One pass for all rules: a row counts in one window of each period there is, and sums
     and counts meet in one map-side aggregate.  The rest is as long as the rules' periods.
+
+    ``series`` are the dimension values that are watched, with or without data; by default
+    those that a metric has.  ``carried`` are the :func:`streaks` of the evaluation up to
+    ``start``: going on from them gives the states that one evaluation of both would give.
+    With dimensions the states have a column ``streak``, the breaching periods up to each.
     """
     table = rule_table(metrics.sparkSession, rules)
     names, periods = sorted({r.metric for r in rules}), sorted({r.period for r in rules})
-    us = micros(metrics, ts)
-    wide = metrics.filter(F.col("metric").isin(names)).withColumn("_us", us)
+    first, last = moment(metrics, ts, start), moment(metrics, ts, end)
+    wide = metrics.filter(F.col("metric").isin(names) & (F.col(ts) < last)).withColumn("_us", micros(metrics, ts))
     wide = wide.withColumn("period", F.explode(F.array(*[F.lit(p) for p in periods])))
     step = F.col("period").cast("bigint") * 1_000_000
     wide = wide.withColumn("_start", F.col("_us") - F.pmod(F.col("_us"), step))
-    seen = wide.groupBy("metric", "period", "_start").agg(*[f("value").alias(f"_{name}") for name, f in STATISTICS.items()])
-    bounds = table.select("*", moment(metrics, ts, start).alias("_first"), moment(metrics, ts, end).alias("_last"))
-    first, last = micros(bounds, "_first"), micros(bounds, "_last")
-    line = F.explode(F.sequence(first, last - step, step)).alias("_start")
-    full = bounds.select(*table.columns, line).join(seen, ["metric", "period", "_start"], "left")
+    seen = wide.groupBy("metric", "period", *dims, "_start").agg(*[f("value").alias(f"_{name}") for name, f in STATISTICS.items()])
+    watched = table
+    if dims and series is not None:
+        # As many rows a series as there are rules.
+        each = F.array(*[F.struct(*[F.lit(v).cast(table.schema[c].dataType).alias(c) for c, v in asdict(r).items()]) for r in rules])
+        watched = series.select(*dims).distinct().withColumn("_rule", F.explode(each)).select("_rule.*", *dims)
+    elif dims:
+        watched = metrics.filter(F.col("metric").isin(names)).select("metric", *dims).distinct().join(F.broadcast(table), "metric")
+    bounds = watched.withColumns({"_first": first, "_last": last})
+    bounds = bounds.withColumns({"_first": micros(bounds, "_first"), "_last": micros(bounds, "_last")})
+    line = F.explode(F.sequence(F.col("_first"), F.col("_last") - step, step)).alias("_start")
+    full = bounds.select(*table.columns, *dims, line)
+    full = _match(full, seen, ["metric", "period", *dims, "_start"])
     value = F.coalesce(*[F.when(F.col("statistic") == name, F.col(f"_{name}")) for name in STATISTICS])
     states = _judged(full.withColumns({"value": value, "window_start": from_micros(metrics, ts, F.col("_start"))}), "missing")
     # The periods since the last one that did not breach.
-    order = Window.partitionBy("alarm").orderBy("_start")
-    place = F.row_number().over(order)
-    states = states.withColumn("_place", place)
+    order = Window.partitionBy("alarm", *dims).orderBy("_start")
+    states = states.withColumn("_place", F.row_number().over(order))
     quiet = F.max(F.when(~F.col("breach"), F.col("_place"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    held = F.col("_place") - F.coalesce(quiet, F.lit(0)) >= F.col("periods")
-    return states.withColumn("in_alarm", held).select(*STATE_COLUMNS, "in_alarm")
+    before = F.lit(0)
+    if carried is not None:
+        states = _match(states, carried.withColumnRenamed("streak", "_carried"), ["alarm", *dims])
+        before = F.coalesce(F.col("_carried"), F.lit(0))
+    states = states.withColumn("streak", F.col("_place") - F.coalesce(quiet, -before))
+    kept = [c for c in STATE_COLUMNS if c != "window_start"]
+    out = states.withColumn("in_alarm", F.col("streak") >= F.col("periods"))
+    return out.select(*kept[:2], *dims, "window_start", *kept[2:], "in_alarm", *(["streak"] if dims else []))
+
+
+def streaks(states: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """(alarm, dims, streak) at the end of an evaluation, for the next one to go on from."""
+    return states.groupBy("alarm", *dims).agg(F.max_by("streak", "window_start").alias("streak"))
+
+
+def _match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which missing dimension values are equal."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    return left.join(named, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on], "left").drop(*[f"_r_{c}" for c in on])
 
 
 def volume_alarm(metrics: DataFrame, start, end, minimum: int = 100, metric: str = "RecordsProcessed") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -1156,7 +1157,7 @@ def stream_metric_windows(spark, d):
     events = stream_table(spark, f"{d}/events.parquet", schema)
     path = scratch(spark, "windows")
     values = events.select(F.col("event_type").alias("metric"), "ts", "value")
-    stream_windows(values, 21_600, "Sum", path, scratch(spark, "checkpoint")).awaitTermination()
+    stream_windows(values, 21_600, path, scratch(spark, "checkpoint")).awaitTermination()
     return read_windows(spark, path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -1166,10 +1167,52 @@ def stream_metric_windows_late(spark, d):
     path, checkpoint = scratch(spark, "windows"), scratch(spark, "checkpoint")
     for events in _out_of_order(feeds.table(spark, d, "events"), "event_type", "late-events"):
         values = events.select(F.col("event_type").alias("metric"), "ts", "value")
-        stream_windows(values, 21_600, "Sum", path, checkpoint).awaitTermination()
+        stream_windows(values, 21_600, path, checkpoint).awaitTermination()
     return read_windows(spark, path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@query(f"""select event_type as metric, cast(user_id % 4 as int) as shard, {_tumbling(3600)} as window_start, avg(value) as value, min(value) as low,
+  max(value) as high, cast(count(value) as double) as n from events group by all""")
+def stream_metric_statistics(spark, d):
+    """All statistics of hourly windows by a dimension, from the same partials of three batches out of order."""
+    path, checkpoint = scratch(spark, "windows"), scratch(spark, "checkpoint")
+    shard = F.pmod("user_id", F.lit(4)).cast("int").alias("shard")
+    for events in _out_of_order(feeds.table(spark, d, "events"), "event_type", "stat-events"):
+        values = events.select(F.col("event_type").alias("metric"), shard, "ts", "value")
+        stream_windows(values, 3_600, path, checkpoint, dims=["shard"]).awaitTermination()
+    sides = {"value": "Average", "low": "Minimum", "high": "Maximum", "n": "SampleCount"}
+    read = [read_windows(spark, path, s, ["shard"]).withColumnRenamed("value", c) for c, s in sides.items()]
+    out = reduce(lambda a, b: a.join(b, ["metric", "shard", "window_start"]), read)
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+_SHARD_RULES = (
+    AlarmRule("shard-errors", "error", "Sum", 3600, ">", 4, 3),
+    AlarmRule("shard-quiet", "signup", "Sum", 7200, "<", 8, 2, "breaching"),
+)
+
+
+def _shard_sql(r: AlarmRule) -> str:
+    agg, missing = {"Sum": "sum", "Average": "avg"}[r.statistic], "true" if r.missing == "breaching" else "false"
+    return f"""select '{r.alarm}' as alarm, '{r.metric}' as metric, shard, window_start, value, '{r.operator}' as operator,
+    {float(r.threshold)}::double as threshold, '{r.severity}' as severity, breach,
+    count(*) filter (where breach) over (partition by shard order by window_start rows between {r.periods - 1} preceding and current row) = {r.periods} as in_alarm
+  from (select h.shard, s.window_start, w.value, case when w.value is null then {missing} else w.value {r.operator} {r.threshold} end as breach
+    from {_spine(r.period)} s cross join (select distinct cast(user_id % 4 as int) as shard from events) h
+    left join (select {_tumbling(r.period)} as window_start, cast(user_id % 4 as int) as shard, {agg}(value) as value
+      from events where event_type = '{r.metric}' group by all) w on s.window_start = w.window_start and w.shard = h.shard)"""
+
+
+@query("\n union all ".join(_shard_sql(r) for r in _SHARD_RULES))
+def alarms_by_dimension(spark, d):
+    """Alarms of each shard apart, evaluated in two steps, the second going on from the streaks of the first."""
+    rows = feeds.table(spark, d, "events").select(F.col("event_type").alias("metric"), F.pmod("user_id", F.lit(4)).cast("int").alias("shard"), "ts", "value")
+    shards = rows.select("shard").distinct()
+    early = written(metrics.alarm_states(rows, _SHARD_RULES, START, SPLIT, dims=["shard"], series=shards), "alarms")
+    late = metrics.alarm_states(rows, _SHARD_RULES, SPLIT, END, dims=["shard"], series=shards, carried=metrics.streaks(early, ["shard"]))
+    return early.unionByName(late).drop("streak")
+
+
 @query(sql.with_(
     sql.HISTORY, "stamped as (select * replace (" + sql.NOW + " as _extracted_at, case when _extracted_at < timestamp '"
     + SPLIT + "' then 'first' else 'second' end as _extraction_run_id) from src)",
