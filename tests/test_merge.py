@@ -1,4 +1,5 @@
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +184,34 @@ def test_schema_changes(spark):
     assert got == {("id", "retyped"), ("gone", "removed"), ("more", "added")}
     assert staging.schema_changes(old, old).isEmpty()
     assert SCHEMA
+
+
+def test_schemas_are_merged_by_type(spark):
+    old = spark.createDataFrame(
+        [(1, 5, 2.5, ("a", 1), [1, 2], {"k": 1}, "t", 1)], "id int, n int, x float, s struct<p string, q int>, l array<int>, m map<string,int>, t string, gone int"
+    )
+    new = spark.createDataFrame(
+        [(2, 1 << 40, 0.1, (7, "2"), [3, 4], {"k": 1}, 9), (3, 1, 0.2, (8, "x"), [1], None, 9), (4, None, None, None, None, None, None), (5, 1, 1.0, (1, None), [1 << 40], None, 1)],
+        "id int, n bigint, x double, s struct<r int, q string>, l array<bigint>, m map<string,int>, t int",
+    )
+    rows, bad = staging.sync_schemas(old, new)
+    assert rows.schema.simpleString() == "struct<id:int,n:bigint,x:double,s:struct<p:string,q:int,r:int>,l:array<bigint>,m:map<string,int>,t:string>"
+    got = {r.id: r for r in rows.collect()}
+    assert set(got) == {1, 2, 4, 5} and tuple(got[1].s) == ("a", 1, None) and tuple(got[2].s) == (None, 2, 7) and got[4].s is None
+    assert got[2].n == 1 << 40 and got[2].t == "9" and got[5].l == [1 << 40] and got[5].s.q is None
+    rejected = bad.collect()
+    assert [(r.reject_reason, '"x"' in r.row) for r in rejected] == [("does not fit: s", True)]
+    # Narrower text where numbers are stored: what is no number does not fit.
+    rows, bad = staging.sync_schemas(spark.createDataFrame([(1,)], "n int"), spark.createDataFrame([("7",), ("seven",), (None,)], "n string"))
+    assert rows.schema["n"].dataType.simpleString() == "int" and sorted(r.n for r in rows.collect() if r.n is not None) == [1, 7] and bad.count() == 1
+    # Types that hold nothing of each other: the old one stays.
+    rows, bad = staging.sync_schemas(spark.createDataFrame([([1],)], "n array<int>"), spark.createDataFrame([(5,), (None,)], "n int"))
+    assert rows.count() == 2 and bad.count() == 1
+
+
+def test_equal_decimals_of_another_scale_are_equal(spark):
+    target = merge.dim_full(spark.createDataFrame([("A", at(1), Decimal("1.50"))], "id string, lastmodifieddate timestamp_ntz, v decimal(10,2)"))
+    source = spark.createDataFrame([("A", at(2), Decimal("1.5000")), ("A", at(3), Decimal("1.5001"))], "id string, lastmodifieddate timestamp_ntz, v decimal(12,4)")
+    got = merge.changed_active_rows(target, source, "id", ["v"]).collect()
+    assert [r["changed_at"] for r in got] == [at(3)]
+    assert merge.changed_active_rows(target, source.filter("v = 1.5"), "id", ["v"]).isEmpty()

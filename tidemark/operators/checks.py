@@ -296,21 +296,13 @@ def batch_guard(df: DataFrame, limit: int = 50_000) -> DataFrame:
 
 
 def volume_anomaly(
-    runs: DataFrame,
-    order: str,
-    count: str,
-    low: int = 4_000,
-    high: int = 6_000,
-    percent: float = 20.0,
-    series: str | None = None,
+    runs: DataFrame, series: str, order: str, count: str, low: int = 4_000, high: int = 6_000, percent: float = 20.0
 ) -> DataFrame:
-    """Runs outside the expected range, or too far from the run before.
+    """Runs outside the expected range, or too far from the run of their ``series`` before.
 
-    ``runs`` is one row per run, so a series is short; give ``series`` to keep
-    several apart.
+    ``runs`` is one row per run; each series, say a job, is followed apart.
     """
-    keyed = runs if series else runs.withColumn("_series", F.lit(0))
-    seen = ordered(keyed, series or "_series", [order], lag={"previous_count": F.col(count)})
+    seen = ordered(runs, series, [order], lag={"previous_count": F.col(count)})
     before = F.col("previous_count")
     shift = F.try_divide(F.abs(F.col(count) - before) * 100.0, before)
     return seen.select(
@@ -322,6 +314,25 @@ def volume_anomaly(
     )
 
 
+def volume_baseline(
+    runs: DataFrame, series: str, at: str, count: str, spread: float = 1.5, least: float = 1.0
+) -> DataFrame:
+    """Runs far from what is usual for their series on that day of the week.
+
+    Usual is the median, far more than ``spread`` times the distance of the quartiles, or
+    ``least`` rows if that is more.  Quartiles come from histograms of counts that are
+    merged map-side; nothing is ordered.
+    """
+    day = F.dayofweek(at).alias("weekday")
+    quartiles = [F.percentile(count, q).alias(name) for q, name in ((0.25, "_low"), (0.5, "usual"), (0.75, "_high"))]
+    base = runs.filter(F.col(count).isNotNull()).groupBy(F.col(series).alias("_series"), day).agg(*quartiles)
+    base = base.select("_series", "weekday", "usual", (F.col("_high") - F.col("_low")).alias("spread"))
+    same = F.col(series).eqNullSafe(F.col("_series")) & F.col("_day").eqNullSafe(F.col("weekday"))
+    seen = runs.withColumn("_day", F.dayofweek(at)).join(base, same, "left")
+    far = F.abs(F.col(count) - F.col("usual")) > F.greatest(spread * F.col("spread"), F.lit(float(least)))
+    return seen.select(*runs.columns, "usual", "spread", F.coalesce(far, F.lit(False)).alias("unusual"))
+
+
 # Scores, quarantine and the gate.
 
 

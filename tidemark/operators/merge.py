@@ -276,17 +276,25 @@ def first_difference(source: DataFrame, key: str, ts: str, tracked: Sequence[str
     """Per key and tracked column: the earliest value with its time, and the earliest
     time of any other value.
 
-    Enough to tell, for any given value, when the source first differs from it.
+    Enough to tell, for any given value, when the source first differs from it.  Values
+    keep their types, so that equal decimals of another scale are equal.  Of each value a
+    map task sends its earliest time, and of these the two earliest: no task has to order
+    the rows of a key.
     """
-    parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in tracked)
-    long = source.select(key, F.col(ts).alias("_ts"), F.expr(f"stack({len(tracked)}, {parts}) as (_column, _value)"))
-    values = long.filter(F.col("_value").isNotNull()).groupBy(key, "_column", "_value").agg(F.min("_ts").alias("_ts"))
-    w = Window.partitionBy(key, "_column").orderBy("_ts", "_value")
-    two = values.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
+    kind = {c: source.schema[c].dataType for c in tracked}
+    held = lambda c: F.struct(
+        F.lit(c).alias("_column"), *[(F.col(x) if x == c else F.lit(None).cast(kind[x])).alias(f"_v_{x}") for x in tracked]
+    )
+    long = source.select(key, F.col(ts).alias("_ts"), F.explode(F.array(*map(held, tracked))).alias("_r")).select(key, "_ts", "_r.*")
+    there = reduce(lambda a, b: a | b, [F.col(f"_v_{c}").isNotNull() for c in tracked])
+    values = [f"_v_{c}" for c in tracked]
+    firsts = long.filter(there).groupBy(key, "_column", *values).agg(F.min("_ts").alias("_ts"))
+    w = Window.partitionBy(key, "_column").orderBy("_ts", *values)
+    two = firsts.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
     aggs = []
     for c in tracked:
         mine = F.col("_column") == c
-        aggs.append(F.min(F.when(mine & (F.col("_rn") == 1), F.col("_value"))).alias(f"_value_{c}"))
+        aggs.append(F.min(F.when(mine & (F.col("_rn") == 1), F.col(f"_v_{c}"))).alias(f"_value_{c}"))
         aggs.append(F.min(F.when(mine & (F.col("_rn") == 1), F.col("_ts"))).alias(f"_first_{c}"))
         aggs.append(F.min(F.when(mine & (F.col("_rn") == 2), F.col("_ts"))).alias(f"_other_{c}"))
     return two.groupBy(key).agg(*aggs)
@@ -313,7 +321,7 @@ def changed_active_rows(
 def _closing(rows, source, key: str, tracked: Sequence[str], ts: str, cuts: Cuts | None) -> DataFrame:
     per_key = first_difference(source, key, ts, tracked)
     times = [
-        F.when(F.col(c).cast("string") != F.col(f"_value_{c}"), F.col(f"_first_{c}")).when(
+        F.when(F.col(c) != F.col(f"_value_{c}"), F.col(f"_first_{c}")).when(
             F.col(c).isNotNull(), F.col(f"_other_{c}")
         )
         for c in tracked

@@ -276,6 +276,32 @@ def schema_sync(spark, d):
     return staging.sync_columns(old, new)
 
 
+@query("""with old as (select * from orders where o_orderkey % 2 = 0), new as (select * from orders where o_orderkey % 2 = 1)
+select o_orderkey, cast(o_custkey as bigint) as number, cast(cast(cast(o_totalprice as decimal(10,2)) as decimal(12,4)) as varchar) as amount,
+  cast(o_custkey % 1000 as int) as zip, o_orderstatus as status, cast(null as varchar) as priority, cast(null as varchar) as reject_reason from old
+union all
+select o_orderkey, case when o_orderkey % 7 = 1 then null else 5000000000 + o_custkey end, case when o_orderkey % 7 = 1 then null
+    else cast(cast(o_totalprice as decimal(12,4)) as varchar) end,
+  case when o_orderkey % 7 = 1 then null else cast(o_custkey % 1000 as int) end, null, case when o_orderkey % 7 = 1 then null else o_orderpriority end,
+  case when o_orderkey % 7 = 1 then 'does not fit: place' end from new""")
+def schema_retyped(spark, d):
+    """A later extract has wider numbers, a struct with other fields, and text where a number was: what is no number is rejected."""
+    orders = feeds.table(spark, d, "orders").withColumn("zip", (F.col("o_custkey") % 1000).cast("int"))
+    text = F.when(F.col("o_orderkey") % 7 == 1, F.concat(F.lit("Z-"), "zip")).otherwise(F.col("zip").cast("string"))
+    old = orders.filter("o_orderkey % 2 = 0").select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("number"), F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
+        F.struct("zip", F.col("o_orderstatus").alias("status")).alias("place"),
+    )
+    new = orders.filter("o_orderkey % 2 = 1").select(
+        "o_orderkey", (F.col("o_custkey") + 5_000_000_000).alias("number"), F.col("o_totalprice").cast("decimal(12,4)").alias("amount"),
+        F.struct(text.alias("zip"), F.col("o_orderpriority").alias("priority")).alias("place"),
+    )
+    rows, rejected = staging.sync_schemas(old, new)
+    flat = rows.select("o_orderkey", "number", F.col("amount").cast("string").alias("amount"), "place.zip", "place.status", "place.priority")
+    key = F.get_json_object("row", "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    return flat.unionByName(rejected.select(key, "reject_reason"), allowMissingColumns=True)
+
+
 @query(sql.with_(sql.RAW, select="""select _extracted_date, count(*) as n, count(id) as n_ids
 from raw group by _extracted_date"""))
 def append_raw(spark, d):
@@ -727,7 +753,20 @@ def partition_count(spark, d):
   coalesce(abs(record_count - previous_count) * 100.0 / previous_count > 5, false) as deviates from s"""))
 def volume_anomaly(spark, d):
     daily = Feed(spark, d).raw.groupBy("_extraction_run_id").agg(F.count(F.lit(1)).alias("record_count"))
-    return checks.volume_anomaly(daily, "_extraction_run_id", "record_count", 320, 345, 5.0)
+    daily = daily.withColumn("job", F.lit(lifecycle.JOB))
+    return checks.volume_anomaly(daily, "job", "_extraction_run_id", "record_count", 320, 345, 5.0).drop("job")
+
+
+@query("""with daily as (select event_type as job, cast(ts as date) as day, count(*) as n from events group by all),
+base as (select job, dayofweek(day) as w, quantile_cont(n, 0.5) as usual, quantile_cont(n, 0.75) - quantile_cont(n, 0.25) as spread
+  from daily group by all)
+select d.job, d.day, d.n, b.usual, b.spread, abs(d.n - b.usual) > greatest(0.5 * b.spread, 1.0) as unusual
+from daily d join base b on d.job = b.job and dayofweek(d.day) = b.w""")
+def volume_baseline(spark, d):
+    """Each job's daily volume against its own weekdays."""
+    events = feeds.table(spark, d, "events")
+    daily = events.groupBy(F.col("event_type").alias("job"), F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return checks.volume_baseline(daily, "job", "day", "n", spread=0.5)
 
 
 @query(sql.with_(sql.RAW, select=f"select *, {_REASON} as reject_reason from raw where {_REASON} is not null"))
