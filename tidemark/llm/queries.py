@@ -48,7 +48,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(plain, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"), F.col("allowed").alias("turns_allowed"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.col("allowed").alias("turns_allowed"), F.col("accepted").alias("accepted"),
     )
 
 
