@@ -71,6 +71,19 @@ def test_error_bound_holds():
 def test_a_tile_returns_a_row_for_each_vector_at_most():
     u = embed_dedup.unit(np.ones((500, 16)) + np.random.default_rng(3).normal(size=(500, 16)) * 0.01)
     q, scale, error = embed_dedup.quantised(u)
-    side = {"node": np.arange(500), "copies": np.ones(500, int), "q": q, "scale": scale, "error": error, "unit": u}
-    links, more, labels = embed_dedup.tile(side, side, True, 0.9)
-    assert (links + more == 499).all() and (labels == 0).all()
+    side = {"node": np.arange(500), "copies": np.ones(500, int), "q": q, "scale": scale, "error": error}
+    links, more, labels, unsure, also = embed_dedup.tile(side, side, True, 0.9)
+    assert (links + more == 499).all() and (labels == 0).all() and not unsure.any() and not also.any()
+
+
+def test_sure_and_recomputed_links_are_all_links():
+    """On similarities spread around the threshold: neither part claims a false link, together they miss none."""
+    rng = np.random.default_rng(9)
+    u = embed_dedup.unit(np.ones((300, 24)) + rng.normal(size=(300, 24)) * rng.uniform(0.1, 0.6, (300, 1)))
+    side = embed_dedup._side(np.arange(300), np.ones(300, int), u)
+    sure, rest = (embed_dedup.tile(side, side, True, 0.9, exact) for exact in (False, True))
+    true = (np.einsum("ik,jk->ij", u, u) >= 0.9) & ~np.eye(300, dtype=bool)
+    assert (sure[0] + sure[1] + rest[0] + rest[1] == true.sum(axis=1)).all()
+    assert (sure[0] + sure[1] <= true.sum(axis=1)).all()
+    unsure = sure[3] | sure[4]
+    assert unsure.any() and ((rest[0] + rest[1] > 0) <= unsure).all()

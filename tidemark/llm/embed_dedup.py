@@ -2,8 +2,10 @@
 
 A unit vector u is stored as s * q with q in int8 and the length e of what that loses,
 u - s q, rounded up. For two vectors |u.v - sq.tr| <= e_v + e_u |t r|, so a pair whose int8
-product plus this bound stays below the threshold can't reach it. All other pairs are
-recomputed in double precision.
+product plus this bound stays below the threshold can't reach it, and one whose product
+less the bound reaches it is linked. Only int8 rows travel to the tiles. The double
+precision rows are fetched just for vectors that have pairs in between in a tile, and only
+these pairs are recomputed, with their plain product.
 
 Equal vectors are one class with a count before anything is compared. Classes are dealt
 by hash into strips of bounded size; each strip is packed into one row, and a task gets
@@ -33,7 +35,7 @@ from tidemark.session import written
 
 THRESHOLD = 0.9
 #: The largest strip of vectors, and into how many strips at least a large table is cut.
-STRIP, STRIPS = 16_384, 12
+STRIP, STRIPS = 16_384, 8
 #: For the rounding of single-precision sums and of the bounds themselves.
 SLACK = 1e-5
 ROWS = 512
@@ -75,60 +77,85 @@ def joined(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = up
 
 
-def tile(left: dict, right: dict, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Links of each row of both sides, weighted by the other's copies, and a forest's labels."""
+def tile(left: dict, right: dict, same: bool, threshold: float, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links of each row of both sides, weighted by the other's copies, a forest's labels, and which rows have unsure pairs.
+
+    From int8 rows alone: the links that their bounds are sure of. With ``exact``: the
+    links among all other pairs, by the product of their double precision rows.
+    """
     n, m = len(left["node"]), len(right["node"])
     of_left, of_right = np.zeros(n, np.int64), np.zeros(m, np.int64)
+    unsure_left, unsure_right = np.zeros(n, bool), np.zeros(m, bool)
     labels = np.arange(n if same else n + m)
-    longest = float((np.sqrt((right["q"].astype(np.float64) ** 2).sum(axis=1)) * right["scale"]).max()) if m else 0.0
+    length = np.sqrt((right["q"].astype(np.float64) ** 2).sum(axis=1)) * right["scale"]
+    longest = float(length.max()) if m else 0.0
     for at in range(0, n, ROWS):
         rows = slice(at, min(at + ROWS, n))
         near = products(left["q"][rows], right["q"])
         near *= left["scale"][rows, None].astype(near.dtype)
         near *= right["scale"][None].astype(near.dtype)
-        near += right["error"][None].astype(near.dtype)
-        a, b = np.nonzero(near >= (threshold - SLACK - left["error"][rows] * longest)[:, None].astype(near.dtype))
+        # Few pairs come near the threshold; these are looked at more closely.
+        a, b = np.nonzero(near + right["error"][None].astype(near.dtype) >= (threshold - SLACK - left["error"][rows] * longest)[:, None].astype(near.dtype))
+        value = near[a, b].astype(np.float64)
         a = a + at
         if same:
-            a, b = a[a < b], b[a < b]
-        if len(a) * 20 > near.size:
-            exact = (left["unit"][rows] @ right["unit"].T)[a - at, b] >= threshold
-        else:
-            exact = np.concatenate([np.zeros(0, bool)] + [
+            value, a, b = value[a < b], a[a < b], b[a < b]
+        bound = right["error"][b] + left["error"][a] * length[b] + SLACK
+        sure, far = value - bound >= threshold, value + bound < threshold
+        if exact:
+            a, b = a[~sure & ~far], b[~sure & ~far]
+            linked = np.concatenate([np.zeros(0, bool)] + [
                 np.einsum("ij,ij->i", left["unit"][a[k : k + 65_536]], right["unit"][b[k : k + 65_536]]) >= threshold for k in range(0, len(a), 65_536)
             ])
-        a, b = a[exact], b[exact]
+        else:
+            unsure_left[a[~sure & ~far]] = True
+            unsure_right[b[~sure & ~far]] = True
+            linked = sure
+        a, b = a[linked], b[linked]
         of_left += np.bincount(a, weights=right["copies"][b], minlength=n).astype(np.int64)
         of_right += np.bincount(b, weights=left["copies"][a], minlength=m).astype(np.int64)
         joined(labels, a, b if same else b + n)
-    return of_left, of_right, labels
+    return of_left, of_right, labels, unsure_left, unsure_right
 
 
-def _packed(group: pa.Table) -> pa.Table:
-    vectors = np.array(group.column("embedding").to_pylist(), dtype=np.float64)
+_KINDS = {"node": np.int64, "copies": np.int64, "q": np.int8, "scale": np.float64, "error": np.float64}
+FOUND = "width int, low int, high int, node long, links long, root long, unsure boolean"
+
+
+def _side(node: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> dict:
     units = unit(vectors)
     q, scale, error = quantised(units)
-    made = {"node": group.column("node").to_numpy(), "copies": group.column("copies").to_numpy(), "q": q, "scale": scale, "error": error, "unit": units}
-    fields = {k: pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for k, v in made.items()}
-    return pa.table({"strip": group.column("strip")[:1], "width": pa.array([vectors.shape[1]], pa.int32()), **fields})
+    return {"node": node, "copies": copies, "q": q, "scale": scale, "error": error, "unit": units}
 
 
-_KINDS = {"node": np.int64, "copies": np.int64, "q": np.int8, "scale": np.float64, "error": np.float64, "unit": np.float64}
+def _packed(group: pa.Table) -> pa.Table:
+    vectors = np.array(group.column("embedding").to_pylist(), dtype=np.float64)
+    made = _side(group.column("node").to_numpy(), group.column("copies").to_numpy(), vectors)
+    fields = {k: pa.array([np.ascontiguousarray(made[k]).tobytes()], pa.binary()) for k in _KINDS}
+    return pa.table({"strip": group.column("strip")[:1], "width": pa.array([vectors.shape[1]], pa.int32()), **fields})
 
 
 def _opened(row: dict) -> dict:
     out = {k: np.frombuffer(row[k], kind) for k, kind in _KINDS.items()}
-    return out | {k: out[k].reshape(-1, row["width"]) for k in ("q", "unit")}
+    return out | {"q": out["q"].reshape(-1, row["width"])}
 
 
-def _result(node, links, root) -> pa.Table:
-    return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "root": pa.array(root, pa.int64())})
+def _found(key: tuple, left: dict, right: dict, same: bool, threshold: float, exact: bool) -> pa.Table:
+    """What a tile found: rows that have links or unsure pairs."""
+    of_left, of_right, labels, unsure_left, unsure_right = tile(left, right, same, threshold, exact)
+    node = left["node"] if same else np.concatenate([left["node"], right["node"]])
+    links = of_left + of_right if same else np.concatenate([of_left, of_right])
+    unsure = unsure_left | unsure_right if same else np.concatenate([unsure_left, unsure_right])
+    rows = (links > 0) | unsure
+    fixed = [pa.array(np.full(int(rows.sum()), k), pa.int32()) for k in key]
+    made = [*fixed, pa.array(node[rows], pa.int64()), pa.array(links[rows], pa.int64()), pa.array(node[labels][rows], pa.int64()), pa.array(unsure[rows])]
+    return pa.table(made, names=["width", "low", "high", "node", "links", "root", "unsure"])
 
 
 def tiles(classes: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root): what each tile found; root is a smaller node that is linked, if any."""
     spark = classes.sparkSession
-    schema = "strip int, width int, node binary, copies binary, q binary, scale binary, error binary, unit binary"
+    schema = "strip int, width int, node binary, copies binary, q binary, scale binary, error binary"
     packed = written(by_group(classes, ["width", "strip"], lambda t: _packed(t), schema), "embed-strips")
     # Strip b of a width meets every strip a <= b: its row goes to that many tiles.
     top = packed.groupBy("width").agg(F.max("strip").alias("top"))
@@ -137,18 +164,26 @@ def tiles(classes: DataFrame, threshold: float) -> DataFrame:
     ).withColumn("low", F.least("strip", "other")).withColumn("high", F.greatest("strip", "other"))
 
     def run(group: pa.Table) -> pa.Table:
-        sides = [_opened(r) for r in sorted(group.to_pylist(), key=lambda r: r["strip"])]
-        left, right = sides[0], sides[-1]
-        of_left, of_right, labels = tile(left, right, len(sides) == 1, threshold)
-        node = left["node"] if len(sides) == 1 else np.concatenate([left["node"], right["node"]])
-        links = of_left + of_right if len(sides) == 1 else np.concatenate([of_left, of_right])
-        found = links > 0
-        return _result(node[found], links[found], node[labels][found])
+        rows = sorted(group.to_pylist(), key=lambda r: r["strip"])
+        sides, key = [_opened(r) for r in rows], (rows[0]["width"], rows[0]["low"], rows[0]["high"])
+        return _found(key, sides[0], sides[-1], len(sides) == 1, threshold, False)
 
     count = max(1, packed.count())
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, count * count)
     dealt = dealt.drop("top", "other").repartition(parts, "width", "low", "high")
-    return by_group(dealt, ["width", "low", "high"], lambda t: run(t.drop(["low", "high"])), "node long, links long, root long")
+    sure = written(by_group(dealt, ["width", "low", "high"], lambda t: run(t), FOUND), "embed-sure")
+
+    def again(group: pa.Table) -> pa.Table:
+        key = tuple(group.column(c)[0].as_py() for c in ("width", "low", "high"))
+        strip, node, copies = (group.column(c).to_numpy() for c in ("strip", "node", "copies"))
+        vectors = np.array(group.column("embedding").to_pylist(), dtype=np.float64)
+        sides = [_side(node[strip == s], copies[strip == s], vectors[strip == s]) for s in dict.fromkeys(key[1:])]
+        return _found(key, sides[0], sides[-1], len(sides) == 1, threshold, True)
+
+    # Double precision rows go only to the tiles in which they have unsure pairs.
+    fetched = sure.where("unsure").select("low", "high", "node").join(classes, "node").repartition(parts, "width", "low", "high")
+    rest = by_group(fetched, ["width", "low", "high"], lambda t: again(t), FOUND)
+    return sure.where("links > 0").unionByName(rest.where("links > 0")).select("node", "links", "root")
 
 
 def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
