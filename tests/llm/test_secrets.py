@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import random
 import re
 
 import numpy as np
@@ -105,6 +106,62 @@ def test_gradient_is_that_of_the_likelihood(monkeypatch):
         assert list(best) == tags
 
 
+HAND = [
+    ("the password is aB3xK9pQ2mZ7rT5w so keep it", "aB3xK9pQ2mZ7rT5w"), ("key DEADBEEF0123456789ABCDEF01 end", "DEADBEEF0123456789ABCDEF01"),
+    ("use ghp_16C7e42F292c6912E7710c838347Ae178B4a now", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"), ("password: abc,def1234567890XYZ done", "def1234567890XYZ"),
+    ("aws key wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY here", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
+]
+
+
+def test_held_out_secrets(spark):
+    """Secrets whose names, prefixes and places the training never showed, planted in plain documents; and how many clean documents get a span."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    crf = secrets.fit(docs)
+    tagger = secrets.Tagger(crf)
+    for (text, value), ((_, spans),) in zip(HAND, (secrets.spans_of([t], [True], tagger) for t, _ in HAND)):
+        assert value in [text[a:b] for a, b, kind in spans if kind == "crf"], text
+    plain = [r.text for r in docs.orderBy("doc_id").collect() if r.text and not secrets.base_spans(r.text)]
+    marked = sum(bool(r) for r in tagger.tag(plain))
+    assert marked <= 0.002 * len(plain)
+    rnd = random.Random(4)
+    kinds = {
+        "mixed": lambda: "".join(rnd.choice(secrets.ALPHABETS[0]) for _ in range(24)), "upper hex": lambda: "".join(rnd.choice("0123456789ABCDEF") for _ in range(32)),
+        "prefixed": lambda: "glpat-" + "".join(rnd.choice(secrets.ALPHABETS[2]) for _ in range(22)), "slashes": lambda: "".join(rnd.choice(secrets.ALPHABETS[5]) for _ in range(40)),
+    }
+    names = ["wifi code ", "vault entry: ", "session cookie=", "it was ", "recovery phrase is ", "("]
+    assert not {n.strip(" :=(") for n in names} & set(secrets.NAMES[:-1])
+    for kind, make in kinds.items():
+        texts, where = [], []
+        for words in (t.split() for t in rnd.sample(plain, 150)):
+            at, name, value = rnd.randint(0, len(words)), rnd.choice(names), make()
+            head = " ".join(words[:at]) + " " + name
+            texts.append(head + value + " " + " ".join(words[at:]))
+            # Signs at a value's ends may stay.
+            signs = len(value) - len(value.lstrip("+/"))
+            where.append((len(head) + signs, len(head) + len(value.rstrip("+/"))))
+        found = [spans for _, spans in secrets.spans_of(texts, [True] * len(texts), tagger)]
+        hits = sum(any(a <= start and end <= b for a, b, _ in spans) for spans, (start, end) in zip(found, where))
+        assert hits >= 0.9 * len(texts), (kind, hits)
+
+
+def test_what_a_pattern_cuts_short(spark):
+    """Base spans stay; the rest of a run beside them is a span of its own, and is redacted too."""
+    text = "token = abcdef012345,GHIJ-67890xyz! and more"
+    base = secrets.base_spans(text)
+    run = (text.index("token"), text.index("!") + 1, "crf")
+    (part,) = secrets.outside(text, run, base)
+    assert text[part[0] : part[1]] == "GHIJ-67890xyz" and base == secrets.base_spans(text)
+    assert secrets.outside(text, (base[0][0], base[0][1], "crf"), base) == []
+    assert secrets.outside("a (b) c", (2, 5, "crf"), []) == [(3, 4, "crf")] and secrets.outside("a () c", (2, 4, "crf"), []) == []
+
+
+def test_withheld_kinds_are_not_shown():
+    text = "password: abcDEF123456ghi and 0123456789abcdef01 here"
+    assert {text[a:b] for a, b in secrets.values(text, ("hex",))} == {"0123456789abcdef01"}
+    assert all(copy.startswith("password: abcDEF123456ghi") and copy[a:b] for copy, (a, b) in secrets.altered(text, ("hex",)))
+    assert list(secrets.altered(text)) == list(secrets.altered(text)) and len(list(secrets.altered(text))) == 2 * secrets.COPIES
+
+
 def test_query_on_whole_table(spark, small):
     texts = dict(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
     got = queries.op1_secret_scan(spark, small).collect()

@@ -3,16 +3,18 @@
 Three patterns give the base spans. Beyond them, a CRF tags tokens as begin, inside or
 outside of a secret. A token's scores come from its own shape, from the tokens next to it
 and from the document (its size, lines and quotation marks); Viterbi gives the
-best tags. A tagged run becomes a span of kind ``crf`` unless it touches a base span: base
-spans always stay as they are.
+best tags. Base spans always stay as they are; what a tagged run has outside of them becomes
+a span of kind ``crf``, so that the rest of a secret which a pattern cuts short is found too.
 
 The CRF is fitted on at most ``sample`` documents with base spans, those with the smallest
 hash of their id among all, and as many without, chosen alike. Each task screens its texts and
 keeps the ids with the smallest hashes; only the texts of those chosen over all are read again
 and featurised. Of rows of one kind that share an id, the least text stands for all. The
-values of the base spans are the labels.
-It never sees the patterns' own literals as features, only shapes and neighbours, and so
-carries over to values that the patterns miss.
+values of the base spans are the labels. So that it does not just learn the patterns back,
+each labelled value is shown ``COPIES`` more times with its alphabet, case, length, prefix,
+name and sign of assignment drawn anew, and documents without base spans are shown around
+their oddest tokens. ``kinds`` withholds kinds of base spans from the training, with all
+documents that hold one, to measure what it finds of them.
 
 Decoding is exact but cheap: a run of tags other than outside can only be best if the sum
 of its tokens' best gains over outside, with the best transitions, is positive. One pass
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -55,7 +58,19 @@ LIKELY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-
 SAMPLE = 500
 #: A document of the sample gives windows of so many tokens around its spans, at most so many.
 WINDOW, WINDOWS = 24, 4
+#: Altered copies of a labelled value, and what they are made of.
+COPIES = 2
+NAMES = (
+    "password", "passphrase", "pwd", "pass", "credential", "credentials", "auth", "access key", "private key", "bearer", "client secret", "login",
+    "the key", "signing key", "master key", "pin", "secret", "token", "api key", "",
+)
+JOINS = (": ", " = ", "=", " is ", " \"", " -> ", " ", ":", ", ")
+SMALL, LARGE, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = (SMALL + LARGE + DIGITS, LARGE + DIGITS, SMALL + DIGITS, DIGITS + "abcdef", DIGITS + "ABCDEF", SMALL + LARGE + DIGITS + "+/", SMALL + LARGE + DIGITS + "-_")
+PREFIXES = ("", "", "", "sk_live_", "ghp_", "pk-", "xoxb-", "AKIA", "v2.")
 FEATURES, ROUNDS, RATE, DECAY = 1 << 12, 60, 0.3, 1e-5
+#: From the first letter or digit to the last.
+ALNUM = re.compile(r"[^\W_](?:.*[^\W_])?", re.DOTALL)
 TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+|[^\sA-Za-z0-9+/_.-]+")
 MARK = "[SECRET]"
 OUT, BEGIN, INSIDE = 0, 1, 2
@@ -71,10 +86,27 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def values(text: str) -> list[tuple[int, int]]:
+def values(text: str, kinds: tuple[str, ...] = KINDS) -> list[tuple[int, int]]:
     """Where the values of the base spans are: what follows the name of an assignment."""
-    named = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_CHARS]
-    return named + [(a, b) for a, b, kind in base_spans(text) if kind != "assign"]
+    named = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_CHARS and "assign" in kinds]
+    return named + [(a, b) for a, b, kind in base_spans(text) if kind != "assign" and kind in kinds]
+
+
+def altered(text: str, kinds: tuple[str, ...] = KINDS) -> Iterator[tuple[str, tuple[int, int]]]:
+    """Copies of a text with one secret named and spelt anew, and where that is; the same for the same text."""
+    rng = random.Random(zlib.crc32(text.encode()))
+    for a, b, kind in base_spans(text)[:WINDOWS]:
+        for _ in range(COPIES if kind in kinds else 0):
+            alphabet, size = rng.choice(ALPHABETS), rng.randint(12, 44)
+            value = rng.choice(PREFIXES) + "".join(rng.choice(alphabet) for _ in range(size))
+            name = rng.choice(NAMES) + rng.choice(JOINS)
+            yield text[:a] + name + value + text[b:], (a + len(name), a + len(name) + len(value))
+
+
+def odd(token: str) -> int:
+    """How much a token of a text without secrets looks like one: its length, counted twice where it holds digits or mixed case."""
+    mixed = any(c.isdigit() for c in token) or not (token.islower() or token.isupper() or token.istitle())
+    return len(token) * (1 + mixed)
 
 
 def _number(feature: str) -> int:
@@ -158,9 +190,18 @@ def tokens_of(text: str) -> list[re.Match]:
     return list(TOKEN.finditer(text))
 
 
-def windows(text: str) -> list[tuple[list[list[int]], list[int]]]:
-    """Feature numbers and tags of stretches around the spans, or of the start where there are none."""
-    found, marked = tokens_of(text), sorted(values(text))
+def examples(text: str, kinds: tuple[str, ...] = KINDS) -> list[tuple[list[list[int]], list[int]]]:
+    """What a document of the sample teaches: its own windows, and those around its altered secrets."""
+    out = windows(text, sorted(values(text, kinds)))
+    for copy, span in altered(text, kinds):
+        out += windows(copy, [span])
+    return out
+
+
+def windows(text: str, marked: list[tuple[int, int]] | None = None) -> list[tuple[list[list[int]], list[int]]]:
+    """Feature numbers and tags of stretches around the marked spans, or around the oddest tokens where there are none."""
+    marked = sorted(values(text)) if marked is None else marked
+    found = tokens_of(text)
     if not found:
         return []
     tags, before = [], None
@@ -168,7 +209,8 @@ def windows(text: str) -> list[tuple[list[list[int]], list[int]]]:
         inside = next((s for s in marked if s[0] < m.end() and m.start() < s[1]), None)
         tags.append(OUT if inside is None else INSIDE if inside == before else BEGIN)
         before = inside
-    starts = [i for i, t in enumerate(tags) if t == BEGIN][:WINDOWS] or [WINDOW // 2]
+    starts = [i for i, t in enumerate(tags) if t == BEGIN][:WINDOWS]
+    starts = starts or sorted(heapq.nlargest(WINDOWS - 1, range(len(found)), key=lambda i: (odd(found[i][0]), -i)))
     of_file, out = file_features(text), []
     for at in starts:
         low, high = max(0, at - WINDOW // 2), min(len(found), at + WINDOW // 2)
@@ -187,14 +229,14 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train(examples: list[tuple[list[list[int]], list[int]]]) -> Crf:
+def train(shown: list[tuple[list[list[int]], list[int]]]) -> Crf:
     """Penalised maximum likelihood by full gradients (forward-backward) with AdaGrad steps."""
     emit, move = np.zeros((FEATURES + 1, 3)), np.zeros((3, 3))
-    if not any(BEGIN in tags for _, tags in examples):
+    if not any(BEGIN in tags for _, tags in shown):
         return Crf(emit, move)
-    n, long, wide = len(examples), max(len(t) for _, t in examples), max(len(r) for rows, _ in examples for r in rows)
+    n, long, wide = len(shown), max(len(t) for _, t in shown), max(len(r) for rows, _ in shown for r in rows)
     ids, gold, live = np.full((n, long, wide), FEATURES), np.zeros((n, long), int), np.zeros((n, long), bool)
-    for k, (rows, tags) in enumerate(examples):
+    for k, (rows, tags) in enumerate(shown):
         for i, row in enumerate(rows):
             ids[k, i, : len(row)] = row
         gold[k, : len(tags)], live[k, : len(tags)] = tags, True
@@ -246,7 +288,7 @@ class _Least:
             self.kept.remove((-gone[0], -gone[1]))
 
 
-def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def sampled(docs: DataFrame, sample: int = SAMPLE, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """(secret, h, doc_id, text) of the documents on which the CRF is fitted."""
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +301,8 @@ def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                     continue
                 found = text[i].as_py() or ""
                 secret = hit and len(values(found)) > 0
+                if secret and len(values(found)) > len(values(found, kinds)):
+                    continue  # holds what is withheld
                 if TOKEN.search(found) and least[secret].wants(h, key):
                     least[secret].add(h, key)
         rows = [(k, h, key) for k in least for h, key in sorted(least[k].kept)]
@@ -280,12 +324,12 @@ def sampled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return in_arrow(again, chosen, "secret boolean, h long, doc_id long, text string").groupBy("secret", "h", "doc_id").agg(F.min("text").alias("text"))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf:
+def fit(docs: DataFrame, sample: int = SAMPLE, kinds: tuple[str, ...] = KINDS) -> Crf:
     """Fits the CRF on the driver; only the windows' feature numbers of the sample get there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = list(map(windows, batch.column("text").to_pylist()))
+            got = [examples(t, kinds) for t in batch.column("text").to_pylist()]
             flat = [[x for x, _ in g] for g in got], [[y for _, y in g] for g in got]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in ("secret", "h", "doc_id")),
@@ -294,7 +338,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf:
             )
 
     schema = "secret boolean, h long, doc_id long, rows array<array<array<int>>>, tags array<array<int>>"
-    made = in_arrow(sampled(docs, sample), run, schema).collect()  # bounded by sample
+    made = in_arrow(sampled(docs, sample, kinds), run, schema).collect()  # bounded by sample
     made.sort(key=lambda r: (not r.secret, r.h, r.doc_id))
     return train([(x, y) for r in made for x, y in zip(r.rows, r.tags)])
 
@@ -401,6 +445,18 @@ class Tagger:
         return found
 
 
+def outside(text: str, run: tuple[int, int, str], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The parts of a run that no base span covers, without the signs at their ends."""
+    parts, at = [], run[0]
+    for start, end, _ in [b for b in base if b[0] < run[1] and run[0] < b[1]] + [(run[1], run[1], "")]:
+        if start > at:
+            held = ALNUM.search(text, at, start)
+            if held:
+                parts.append((held.start(), held.end(), run[2]))
+        at = max(at, end)
+    return parts
+
+
 def spans_of(texts: list[str], likely: list[bool], tagger: Tagger) -> list[tuple[list, list]]:
     """For each text its base spans, and all spans with those of the CRF."""
     out = []
@@ -410,7 +466,7 @@ def spans_of(texts: list[str], likely: list[bool], tagger: Tagger) -> list[tuple
         if runs_found:
             places = tokens_of(text)
             more = [(places[a].start(), places[b].end(), "crf") for a, b in runs_found]
-            more = [s for s in more if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+            more = [s for run in more for s in outside(text, run, base)]
         out.append((base, sorted(base + more, key=lambda s: (s[0], (*KINDS, "crf").index(s[2]), s[1]))))
     return out
 
