@@ -94,8 +94,9 @@ def test_batches_in_order_read_nothing_that_was_staged(spark, tmp_path):
         next(run)
 
 
-def test_a_lost_batch_is_replayed(spark, tmp_path, monkeypatch):
-    """The driver is lost after the merge and before the states are stored."""
+@pytest.mark.parametrize("at", ["before the states", "before the table"])
+def test_a_lost_batch_is_replayed(spark, tmp_path, monkeypatch, at):
+    """The driver is lost after the merge and before the states are stored, or when half of the directories are replaced."""
     batches = [rows(spark, ("A", 1, "North", False), ("B", 1, "North", False)), rows(spark, ("A", 4, "South", False)), rows(spark, ("A", 6, "North", False), ("B", 9, "East", False))]
     run, keep = stream(spark, tmp_path, "lost", batches), streams.keep_states
     target = next(run)
@@ -103,10 +104,19 @@ def test_a_lost_batch_is_replayed(spark, tmp_path, monkeypatch):
     def lost(*a, **k):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(streams, "keep_states", lost)
+    def half(rows, path, dynamic):
+        write(rows.filter(F.col(tables.BUCKET) == rows.agg(F.min(tables.BUCKET)).first()[0]), path, dynamic)
+        raise RuntimeError("driver lost")
+
+    write = tables._write_parts
+    if at == "before the states":
+        monkeypatch.setattr(streams, "keep_states", lost)
+    else:
+        monkeypatch.setattr(tables, "_write_parts", half)
     with pytest.raises(Exception, match="driver lost"):
         next(run)
     monkeypatch.setattr(streams, "keep_states", keep)
+    monkeypatch.setattr(tables, "_write_parts", write)
     again = streams.stream_table(spark, target.replace("-target", "-source"), batches[0].schema)
     batches[2].write.mode("append").parquet(target.replace("-target", "-source"))
     streams.stream_scd2(again, USERS, target, target.replace("-target", "-checkpoint"), layout=tables.Layout(4, 10)).awaitTermination()

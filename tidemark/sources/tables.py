@@ -191,9 +191,16 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def _only(df: DataFrame, parts: list) -> DataFrame:
-    """Rows of the given directories, as a filter that prunes the files read."""
-    names = [f"{p[BUCKET]}/{p[PERIOD]}" for p in parts]
-    return df.filter(F.concat_ws("/", BUCKET, PERIOD).isin(*names))
+    """Rows of the given directories, as a filter on the directory columns that prunes the files read."""
+    periods: dict[int, list] = {}
+    for p in parts:
+        periods.setdefault(p[BUCKET], []).append(p[PERIOD])
+    # Buckets mostly share their periods: one test for each set of these.
+    buckets: dict[tuple, list] = {}
+    for b, found in periods.items():
+        buckets.setdefault(tuple(sorted(found, key=lambda x: (x is None, x))), []).append(b)
+    tests = [F.col(BUCKET).isin(*bs) & F.col(PERIOD).isin(*ps) for ps, bs in buckets.items()]
+    return df.filter(reduce(lambda a, b: a | b, tests)) if tests else df.limit(0)
 
 
 def _log(path: str) -> str:
@@ -290,11 +297,6 @@ def merge_into(
     theirs = match(near, keys, spec.key, "left_semi", cuts)
     changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded, complete), "changes")
 
-    return _merge_changes(path, table, changes, spec, run_id)
-
-
-def _merge_changes(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec, run_id: str) -> dict[str, int]:
-    """Apply written changes to the directories they name; see :func:`_changes` for their columns."""
     fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
     # One row per directory to rewrite; never more than the table has directories.
     parts = changes.groupBy(BUCKET, PERIOD).agg(
@@ -309,17 +311,28 @@ def _merge_changes(path: str, table: DataFrame, changes: DataFrame, spec: Histor
         )
         _replace(merged, path, run_id)
     else:
-        runs.record(table.sparkSession, _log(path), MERGE, run_id, "applied")
+        runs.record(spark, _log(path), MERGE, run_id, "applied")
     return counts
 
 
+def _rewrite(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec) -> None:
+    """Bring written changes into the directories they name, by Spark's own partition overwrite.
+
+    Doing it again changes nothing: versions that are there already only get the same flags.
+    """
+    parts = changes.select(BUCKET, PERIOD).distinct().collect()  # never more than the table has directories
+    if parts:
+        merged = merge_on_key(_only(table, parts), changes, [spec.version_id], merge_update_columns(spec, True))
+        # They are replaced while they are read: what replaces them is made first.
+        _write_parts(written(merged, "merged"), path, dynamic=True)
+
+
 def merge_derived(
     spark: SparkSession,
     path: str,
     derived: DataFrame,
     columns: list[str],
     spec: HistorySpec,
-    run_id: str,
     layout: Layout | None = None,
     late: DataFrame | None = None,
     now: Column | None = None,
@@ -329,23 +342,22 @@ def merge_derived(
     ``columns`` are those of the staged rows.  Keys that follow their state add versions and
     close those their state names, so only the directories these lie in are read.  ``late``
     are the keys that don't, derived from all their rows: their stored versions are read
-    and brought in line with these.
+    and brought in line with these.  A merge that was lost on its way is repeated whole.
     """
-    done, schema = recover(spark, path, run_id), stored_schema(spark, path)
+    schema = stored_schema(spark, path)
     follows = derived if late is None else derived.filter(~F.col("_late"))
     sides = [follows] if late is None else [follows, late]
     versions = [state.continued(side, columns, spec, now) for side in sides]
     if schema is None:
         layout = layout or Layout()
-        _keep_layout(spark, path, spec, layout)
-        _replace(layout.place(reduce(DataFrame.unionByName, versions), spec), path, run_id)
-    elif not done:
+        write_history(reduce(DataFrame.unionByName, versions), path, spec, layout)
+    else:
         layout = layout_of(spark, path, layout)
         table = _read_parts(spark, path, schema)
-        changes = layout.place(versions[0], spec).withColumn("_was", F.lit(None).cast("boolean"))
+        changes = layout.place(versions[0], spec)
         if state.has_past(follows):
             ended = layout.place(state.closing(follows, spec), spec).withColumns({
-                spec.current: F.lit(False), spec.stamp: F.current_timestamp() if now is None else now, "_was": F.lit(True),
+                spec.current: F.lit(False), spec.stamp: F.current_timestamp() if now is None else now,
             })
             changes = changes.unionByName(ended, allowMissingColumns=True)
         if late is not None:
@@ -353,8 +365,8 @@ def merge_derived(
             used = keys.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
             theirs = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])).join(keys, spec.key, "left_semi")
             redone = _changes(theirs, layout.place(versions[1], spec), keys, spec, now, complete=True)
-            changes = changes.unionByName(redone)
-        _merge_changes(path, table, written(changes, "changes"), spec, run_id)
+            changes = changes.unionByName(redone.drop("_was"))
+        _rewrite(path, table, written(changes, "changes"), spec)
     return reduce(DataFrame.unionByName, [state.next_state(side, stored, spec) for side, stored in zip(sides, versions)])
 
 

@@ -82,7 +82,6 @@ def stream_scd2(
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
     layout: Layout | None = None,
-    name: str = "history",
     segments: int | None = None,
 ) -> StreamingQuery:
     """Process what is available and stop; start again to go on from the checkpoint.
@@ -91,9 +90,9 @@ def stream_scd2(
     a state for each key (see ``operators.state``).  Keys whose rows all come later than
     their state go on from it: their batch is all that is read.  Only keys with a row that
     is late are derived from all rows they ever had.  Either way the history is that of a
-    full build, with rows in any order and values that are not valid.  The batch id is the
-    merge's run id: a batch replayed after a failure is not merged twice, and states are
-    read from the batches before it only.
+    full build, with rows in any order and values that are not valid.  A batch replayed
+    after a failure gives what it gave before: its states are those of earlier batches, and
+    merging versions that are there already changes nothing.
     """
     store, states = path.rstrip("/") + "_staged", path.rstrip("/") + "_states"
 
@@ -115,7 +114,7 @@ def stream_scd2(
             cuts = find_cuts(past, spec.key, spec.order(past.columns), segments)
             late = written(state.advance(past, spec, None, cuts), "late")
             derived = derived.withColumn("_late", F.lit(True)) if keys is None else derived
-        changed = merge_derived(spark, path, derived, rows.columns, spec, f"{name}-{batch_id}", layout, late)
+        changed = merge_derived(spark, path, derived, rows.columns, spec, layout, late)
         keep_states(changed, states, batch_id, spec)
 
     return (
