@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions.audit import audit_columns
 from tidemark.functions.clean import delete_status, is_blank
 from tidemark.functions.ids import hash_id, version_id
-from tidemark.operators import checks, history, merge, metrics, report, serve, staging
+from tidemark.operators import checks, history, merge, metrics, profiles, report, serve, staging
 from tidemark.operators.keyed import Cuts, find_cuts
 from tidemark.operators.metrics import AlarmRule
 from tidemark.plans import expected as sql, feeds, lifecycle
@@ -769,6 +769,26 @@ def volume_baseline(spark, d):
     return checks.volume_baseline(daily, "job", "day", "n", spread=0.5)
 
 
+@query(sql.with_(sql.RAW, """n as (select count(*) as n from raw)""", select="""
+select 'null_share:division' as measure, round(count(*) filter (where division is null) / max(n)::double, 6) as value,
+  count(*) filter (where division is null) / max(n)::double <= 0.05 as passed from raw, n
+union all select 'success_rate', round(count(*) filter (where division is not null and lastmodifieddate is not null) / max(n)::double, 6),
+  count(*) filter (where division is not null and lastmodifieddate is not null) / max(n)::double >= 0.95 from raw, n
+union all select 'null_share:lastmodifieddate', round(count(*) filter (where lastmodifieddate is null) / max(n)::double, 6),
+  count(*) filter (where lastmodifieddate is null) / max(n)::double <= 0.05 from raw, n
+union all select 'duplicate_share:user', null, 1 - count(distinct id) / max(n)::double <= 0.01 from raw, n
+union all select 'duplicate_share:change', round(1 - max(d) / max(n)::double, 6), 1 - max(d) / max(n)::double <= 0.01
+  from n, (select count(*) as d from (select distinct id, lastmodifieddate, createddate from raw))"""))
+def profile_by_extract(spark, d):
+    """The profile of all extracts from those of each, of which the last arrives later; what the sketches can't tell is counted."""
+    raw, path = Feed(spark, d).raw, scratch(spark, "profiles")
+    columns, keys = ["division", "lastmodifieddate"], {"user": ["id"], "change": ["id", "lastmodifieddate", "createddate"]}
+    for part in (F.col("_extracted_date") < "2024-01-20", F.col("_extracted_date") >= "2024-01-20"):
+        profiles.keep_profiles(profiles.profile_extracts(raw.filter(part), columns, keys, "_extracted_date"), path)
+    out = profiles.merged_profile(profiles.read_profiles(spark, path), raw, columns, keys)
+    return out.select("measure", F.when(F.col("error") == 0, F.round("value", 6)).alias("value"), "passed")
+
+
 @query(sql.with_(sql.RAW, select=f"select *, {_REASON} as reject_reason from raw where {_REASON} is not null"))
 def quarantine_sink(spark, d):
     """The rejected rows as they were filed, a directory for each reason."""
