@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import USERS
 from tidemark.operators import checks, history, metrics, report, staging
 from tidemark.plans import catalog, feeds, lifecycle
-from tidemark.sources import landing, runs, tables
+from tidemark.sources import kept, landing, runs, tables
 from tidemark.streaming.history import stream_scd2, stream_table
 from tidemark.streaming.windows import merge_partials, read_windows, stream_windows, window_partials
 from users import BEGIN, at, build, rows, same, shape
@@ -378,3 +378,23 @@ def test_untimed_rows_of_a_second_run_reach_quarantine(spark, tmp_path):
     assert second["pulled"] == 42
     rejected = spark.read.parquet(f"{lifecycle.Paths(str(tmp_path)).quarantine}/r2").collect()
     assert [r.reject_reason for r in rejected] == ["missing_lastmodifieddate"]
+
+
+def test_kept_counts_follow_a_merge(spark, stored):
+    """The suite after a merge is that of the whole history, though only touched buckets are read and replaced."""
+    first, path = stored
+    assert kept.refresh_counts(spark, path, USERS) is None
+    before = files(kept.counts_path(path))
+    later = first.unionByName(rows(spark, ("K3", 16, "South", False), ("K3", 17, "East", False), ("new", 2, "West", True)))
+    keys = spark.createDataFrame([("K3",), ("new",)], "user_id string")
+    tables.merge_into(spark, path, later, USERS, run_id="r1", now=now(), keys=keys, complete=True)
+    used = kept.refresh_counts(spark, path, USERS, keys)
+    touched = {d for d, names in files(kept.counts_path(path)).items() if before.get(d) != names}
+    assert len(used) in (1, 2) and touched == {f"_bucket={b}" for b in used}
+    dim = tables.read_history(spark, path)
+    assert same(report.suite_of(kept.read_counts(spark, path)), report.scd_suite(dim, USERS))
+    score = report.integrity_score(kept.read_counts(spark, path)).first().score
+    assert score == checks.quality_scores(first, [], dim, USERS).filter("metric = 'SCDIntegrityScore'").first().score
+    # Other buckets' history is not looked at.
+    plan = tables.read_history(spark, path, used)._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" in plan.split("PartitionFilters")[1].split("]")[0]

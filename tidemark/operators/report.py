@@ -42,11 +42,20 @@ def count_violations(violations: DataFrame, name: str, description: str) -> Data
     )
 
 
+COUNTS = ("live", "current", "gaps", "unchanged", "broken", "gone")
+
+
 def scd_suite(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
-    """The four history checks and a statistics line, statistics first.
+    """The four history checks and a statistics line, statistics first."""
+    return suite_of(key_counts(dim, spec, cuts))
+
+
+def key_counts(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> DataFrame:
+    """What the suite counts, for each key: rows by kind and violations.
 
-    The checks are not run one by one: a single pass over the per-key windows
-    leaves per-key counts, and these roll up to one row that is then unfolded.
+    The checks are not run one by one: a single pass over the per-key windows leaves all
+    counts.  No check looks beyond a key, so the counts of other keys stay as they are
+    when a merge changes some; see ``sources.kept``.
     """
     live = ~F.col(spec.deleted)
     columns = list(dict.fromkeys([spec.key, spec.ts, *spec.tracked, *spec.required, *spec.valid, spec.current, spec.deleted]))
@@ -83,8 +92,17 @@ def scd_suite(dim: DataFrame, spec: HistorySpec, cuts: Cuts | None = None) -> Da
         *[F.lit(0).cast("bigint").alias(c) for c in ("live", "current", "gaps", "unchanged", "broken")],
         n.alias("gone"),
     )
-    sums = [F.sum(c).alias(c) for c in ("live", "current", "gaps", "unchanged", "broken", "gone")]
-    per_key = of_live.unionByName(of_deleted).groupBy(spec.key).agg(*sums)
+    return of_live.unionByName(of_deleted).groupBy(spec.key).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def integrity_score(per_key: DataFrame) -> DataFrame:
+    """``SCDIntegrityScore``: percent of keys with exactly one current row."""
+    wrong = F.try_divide(F.count_if(F.col("current") != 1), F.count(F.lit(1)))
+    return per_key.agg(F.lit("SCDIntegrityScore").alias("metric"), F.round(100 * (1 - wrong), 4).alias("score"))
+
+
+def suite_of(per_key: DataFrame) -> DataFrame:
+    """The suite's lines as sums over :func:`key_counts`, which roll up to one row that is then unfolded."""
     zero = F.lit(0).cast("bigint")
     total = per_key.agg(
         F.count(F.lit(1)).alias("users"),

@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.audit import audit_columns
 from tidemark.functions.clean import delete_status, is_blank
-from tidemark.functions.ids import hash_id, version_id
+from tidemark.functions.ids import bucket_of, hash_id, version_id
 from tidemark.operators import checks, history, merge, metrics, profiles, report, serve, staging
 from tidemark.operators.keyed import Cuts, find_cuts
 from tidemark.operators.metrics import AlarmRule
 from tidemark.plans import expected as sql, feeds, lifecycle
 from tidemark.session import scratch, small_table, written
-from tidemark.sources import landing, runs, tables
+from tidemark.sources import kept, landing, runs, tables
 from tidemark.spec import AUDIT_PHASES, DIVISIONS, USERS
 from tidemark.streaming.history import stream_scd2, stream_table
 from tidemark.streaming.windows import read_windows, stream_windows
@@ -851,6 +851,20 @@ def scd_suite(spark, d):
     return report.scd_suite(f.dim, USERS, f.cuts)
 
 
+@query(sql.with_(sql.DIM, _NEIGHBOURS, select=f"select * from ({_COUNTS}) c"))
+def suite_after_merge(spark, d):
+    """The suite from kept counts, of which a merge of late changes replaces those of three hash buckets."""
+    f, path = Feed(spark, d), scratch(spark, "history")
+    moved = bucket_of("user_id", 16) < 3
+    tables.write_history(f.build(f.rows.filter(~moved | (F.col("update_date") < F.lit(SPLIT).cast("timestamp_ntz")))), path, USERS)
+    kept.refresh_counts(spark, path, USERS, cuts=f.cuts)
+    rows = f.rows.filter(moved)
+    keys = rows.select("user_id").distinct()
+    tables.merge_into(spark, path, rows, USERS, run_id="late", cuts=f.cuts, now=now(), keys=keys, complete=True)
+    kept.refresh_counts(spark, path, USERS, keys, f.cuts)
+    return report.suite_of(kept.read_counts(spark, path))
+
+
 _REPORT = f"""select 'sf_user_scd_test_report' as report_type, test_name, violation_count,
   case when violation_count = 0 then 'PASS' when violation_count > 0 and test_name <> 'overall_statistics' then 'FAIL' else 'INFO' end as test_status,
   description from ({_COUNTS}) c"""

@@ -173,10 +173,11 @@ def _read_parts(spark: SparkSession, path: str, schema: T.StructType | None = No
     return spark.read.schema(_parts_schema(schema)).parquet(path)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The versions in force; versions that were taken back stay stored with the sequence 0."""
+def read_history(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The versions in force, all or those of some hash buckets; versions that were taken back stay stored with the sequence 0."""
     _, sequence = stored_layout(spark, path)
-    rows = _read_parts(spark, path).drop(BUCKET, PERIOD)
+    rows = _read_parts(spark, path)
+    rows = (rows if buckets is None else rows.filter(F.col(BUCKET).isin(buckets))).drop(BUCKET, PERIOD)
     return rows if sequence is None else rows.filter(F.col(sequence) > 0)
 
 
