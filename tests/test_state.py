@@ -11,7 +11,7 @@ from tidemark import USERS
 from tidemark.operators import history, state
 from tidemark.operators.keyed import find_cuts
 from tidemark.session import written
-from tidemark.sources import tables
+from tidemark.sources import states, tables
 from tidemark.streaming import history as streams
 from users import BEGIN, build, rows, same, shape
 
@@ -68,7 +68,7 @@ def stream(spark, path, name, batches, segments=None, buckets=4):
 
 @pytest.mark.parametrize("segments", [None, 10])
 def test_batches_in_any_order_equal_one_build(spark, tmp_path, segments, monkeypatch):
-    monkeypatch.setattr(streams, "FOLD", 3)
+    monkeypatch.setattr(states, "FOLD", 3)
     rnd = random.Random(3)
     data = [(rnd.choice("AAAABCDEF"), rnd.randrange(40), rnd.choice(VALUES), rnd.random() < 0.2) for _ in range(120)]
     seen = []
@@ -98,7 +98,7 @@ def test_batches_in_order_read_nothing_that_was_staged(spark, tmp_path):
 def test_a_lost_batch_is_replayed(spark, tmp_path, monkeypatch, at):
     """The driver is lost after the merge and before the states are stored, or when half of the directories are replaced."""
     batches = [rows(spark, ("A", 1, "North", False), ("B", 1, "North", False)), rows(spark, ("A", 4, "South", False)), rows(spark, ("A", 6, "North", False), ("B", 9, "East", False))]
-    run, keep = stream(spark, tmp_path, "lost", batches), streams.keep_states
+    run, keep = stream(spark, tmp_path, "lost", batches), states.keep_states
     target = next(run)
 
     def lost(*a, **k):
@@ -110,12 +110,12 @@ def test_a_lost_batch_is_replayed(spark, tmp_path, monkeypatch, at):
 
     write = tables._write_parts
     if at == "before the states":
-        monkeypatch.setattr(streams, "keep_states", lost)
+        monkeypatch.setattr(states, "keep_states", lost)
     else:
         monkeypatch.setattr(tables, "_write_parts", half)
     with pytest.raises(Exception, match="driver lost"):
         next(run)
-    monkeypatch.setattr(streams, "keep_states", keep)
+    monkeypatch.setattr(states, "keep_states", keep)
     monkeypatch.setattr(tables, "_write_parts", write)
     again = streams.stream_table(spark, target.replace("-target", "-source"), batches[0].schema)
     batches[2].write.mode("append").parquet(target.replace("-target", "-source"))

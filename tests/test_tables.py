@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import USERS
 from tidemark.operators import checks, history, metrics, report, staging
 from tidemark.plans import catalog, feeds, lifecycle
-from tidemark.sources import kept, landing, runs, tables
+from tidemark.sources import kept, landing, runs, states, tables
 from tidemark.streaming.history import stream_scd2, stream_table
 from tidemark.streaming.windows import merge_partials, read_windows, stream_windows, window_partials
 from users import BEGIN, at, build, rows, same, shape
@@ -267,15 +267,15 @@ def test_lifecycle_goes_on_after_a_lost_merge(spark, tmp_path, monkeypatch):
         {"user_id": "id", "is_active": "isactive", "update_date": "lastmodifieddate", "is_deleted": "isdeleted"}
     )
     source = changes.drop("_extracted_at", "_extraction_run_id").withColumn("createddate", F.col("lastmodifieddate"))
-    root, merge = str(tmp_path / "run"), tables.merge_into
+    root, merge = str(tmp_path / "run"), states.merge_derived
 
     def lost(*a, **k):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(tables, "merge_into", lost)
+    monkeypatch.setattr(states, "merge_derived", lost)
     with pytest.raises(RuntimeError):
         lifecycle.run_once(spark, source, root, "r1")
-    monkeypatch.setattr(tables, "merge_into", merge)
+    monkeypatch.setattr(states, "merge_derived", merge)
     again = lifecycle.run_once(spark, source, root, "r1")
     assert again["pulled"] == 0 and again["records_created"] == 2
     assert tables.read_raw(spark, lifecycle.Paths(root).raw).count() == 2
@@ -398,3 +398,23 @@ def test_kept_counts_follow_a_merge(spark, stored):
     # Other buckets' history is not looked at.
     plan = tables.read_history(spark, path, used)._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_scheduled_runs_in_order_late_and_with_a_lookback(spark, tmp_path):
+    """Whatever the order of the runs' ways, the history is that of a full build of all landed rows."""
+    given = lambda *c: rows(spark, *c).withColumnsRenamed({"user_id": "id", "is_active": "isactive", "update_date": "lastmodifieddate", "is_deleted": "isdeleted"}).drop(
+        "_extracted_at", "_extraction_run_id").withColumn("createddate", F.col("lastmodifieddate"))
+    parts = [
+        [("A", 1, "North", False), ("B", 1, "North", False), ("C", 1, "East", False)],
+        [("A", 4, "South", False), ("D", 4, "West", False)],
+        [("A", 3, "East", False), ("B", 5, "South", True)],  # one of them late
+        [("C", 6, "West", False)],
+        [("A", 8, "North", False), ("C", 7, "West", False)],
+    ]
+    root, landed = str(tmp_path), []
+    for i, part in enumerate(parts):
+        landed += part
+        how = {"lookback_days": 30, "as_of": at(9)} if i == 3 else {"overlap_days": 4}
+        got = lifecycle.run_once(spark, given(*landed), root, f"r{i}", now=F.lit(at(i)).cast("timestamp_ntz"), **how)
+        assert got["pulled"] == len(part)
+        assert shape(tables.read_history(spark, lifecycle.Paths(root).history)) == shape(build(rows(spark, *landed)))

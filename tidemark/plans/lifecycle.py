@@ -11,7 +11,7 @@ from tidemark.functions.clean import is_blank
 from tidemark.functions.times import from_micros, micros
 from tidemark.operators import checks, report, staging
 from tidemark.operators.keyed import find_cuts, match
-from tidemark.sources import landing, runs, tables
+from tidemark.sources import landing, runs, states, tables
 from tidemark.spec import USERS
 
 JOB = "ingest"
@@ -103,9 +103,11 @@ def run_once(
     """One scheduled run. Raises :class:`~tidemark.operators.checks.QualityGateClosed`
     before the merge when too many rows are rejected.
 
-    By default the batch's keys are staged with their whole raw history, so versions
-    come out as in a full build.  With ``lookback_days`` only that many days of
-    extracts before ``as_of`` are read and the stored history is continued.
+    By default the history goes on from its keys' states (``sources.states``): the batch is
+    all that is read, but for keys with a late row, which are derived from all their raw
+    rows.  Versions come out as in a full build.  With ``lookback_days`` only that many days
+    of extracts before ``as_of`` are read and the stored history is continued without
+    states; the next run without it derives all keys anew.
     ``overlap_days``: see :func:`ingest`.
     """
     paths, began = Paths(root), datetime.now(timezone.utc)
@@ -125,13 +127,17 @@ def run_once(
     checks.gate(rate.withColumn("measure", F.lit("reject_rate")), passed="batch_accepted")
 
     rows = staging.to_history_names(staging.stage_users(raw))
-    keys = batch.select(F.col("id").alias(USERS.key)).distinct()
-    cuts = find_cuts(rows, USERS.key, USERS.order(rows.columns), segments)
-    staged = match(rows, keys, USERS.key, "left_semi", cuts)
-    result |= tables.merge_into(
-        spark, paths.history, staged, USERS, run_id=run_id, cuts=cuts,
-        seeded=lookback_days is not None, complete=lookback_days is None, now=now, keys=keys,
-    )
+    cuts = None
+    if lookback_days is not None:
+        keys = batch.select(F.col("id").alias(USERS.key)).distinct()
+        cuts = find_cuts(rows, USERS.key, USERS.order(rows.columns), segments)
+        staged = match(rows, keys, USERS.key, "left_semi", cuts)
+        result |= tables.merge_into(spark, paths.history, staged, USERS, run_id=run_id, cuts=cuts, seeded=True, now=now, keys=keys)
+    else:
+        new = staging.to_history_names(staging.stage_users(batch))
+        past = lambda keys: rows if keys is None else rows.join(keys, USERS.key, "left_semi")
+        number = runs.number(spark, paths.log, JOB, run_id)
+        result |= states.go_on(spark, paths.history, new, past, number, USERS, segments=segments, now=now)
     dim = tables.read_history(spark, paths.history)
     suite = report.scd_report(report.scd_suite(dim, USERS, cuts))
     tables.write_report(suite, f"{paths.reports}/{run_id}")

@@ -48,6 +48,14 @@ def any_state(spark: SparkSession, log: str, job: str, state: str) -> bool:
     return not read(spark, log).filter((F.col("job") == job) & (F.col("state") == state)).isEmpty()
 
 
+def number(spark: SparkSession, log: str, job: str, run_id: str) -> int:
+    """How many other runs of a job had succeeded before this one did, for the first time."""
+    done = read(spark, log).filter((F.col("job") == job) & (F.col("state") == "succeeded"))
+    firsts = done.groupBy("run_id").agg(F.min("recorded_at").alias("at"))
+    mine = firsts.filter(F.col("run_id") == run_id).select(F.col("at").alias("_mine"))
+    return firsts.join(F.broadcast(mine), firsts["at"] < F.col("_mine")).count()
+
+
 def standing(spark: SparkSession, log: str, job: str, run_id: str) -> tuple[bool, list[tuple[str, str]]]:
     """(whether ``run_id`` was applied, runs staged but never applied, oldest first).
 

@@ -298,14 +298,7 @@ def merge_into(
     theirs = match(near, keys, spec.key, "left_semi", cuts)
     changes = written(_changes(theirs, layout.place(new, spec), closers, spec, now, seeded, complete), "changes")
 
-    fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
-    # One row per directory to rewrite; never more than the table has directories.
-    parts = changes.groupBy(BUCKET, PERIOD).agg(
-        F.count_if(fresh & ~gone).alias("records_created"),
-        F.count_if(~fresh & (F.col("_was") != F.col(spec.current))).alias("records_updated"),
-        F.count_if(fresh & gone).alias("records_deleted"),
-    ).collect()
-    counts = {c: sum(p[c] for p in parts) for c in COUNTS}
+    parts, counts = _touched(changes, spec)
     if parts:
         merged = merge_on_key(
             _only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, True)
@@ -316,16 +309,28 @@ def merge_into(
     return counts
 
 
-def _rewrite(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec) -> None:
+def _touched(changes: DataFrame, spec: HistorySpec) -> tuple[list, dict[str, int]]:
+    """The directories that written changes name, never more than the table has, and the merge's counts."""
+    fresh, gone = F.col("_was").isNull(), F.col(spec.deleted)
+    parts = changes.groupBy(BUCKET, PERIOD).agg(
+        F.count_if(fresh & ~gone).alias("records_created"),
+        F.count_if(~fresh & (F.col("_was") != F.col(spec.current))).alias("records_updated"),
+        F.count_if(fresh & gone).alias("records_deleted"),
+    ).collect()
+    return parts, {c: sum(p[c] for p in parts) for c in COUNTS}
+
+
+def _rewrite(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec) -> dict[str, int]:
     """Bring written changes into the directories they name, by Spark's own partition overwrite.
 
     Doing it again changes nothing: versions that are there already only get the same flags.
     """
-    parts = changes.select(BUCKET, PERIOD).distinct().collect()  # never more than the table has directories
+    parts, counts = _touched(changes, spec)
     if parts:
-        merged = merge_on_key(_only(table, parts), changes, [spec.version_id], merge_update_columns(spec, True))
+        merged = merge_on_key(_only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, True))
         # They are replaced while they are read: what replaces them is made first.
         _write_parts(written(merged, "merged"), path, dynamic=True)
+    return counts
 
 
 def merge_derived(
@@ -337,8 +342,8 @@ def merge_derived(
     layout: Layout | None = None,
     late: DataFrame | None = None,
     now: Column | None = None,
-) -> DataFrame:
-    """Merge written results of :func:`~tidemark.operators.state.advance`; returns the keys' new states.
+) -> tuple[DataFrame, dict[str, int]]:
+    """Merge written results of :func:`~tidemark.operators.state.advance`; returns the keys' new states and the merge's counts.
 
     ``columns`` are those of the staged rows.  Keys that follow their state add versions and
     close those their state names, so only the directories these lie in are read.  ``late``
@@ -352,13 +357,14 @@ def merge_derived(
     if schema is None:
         layout = layout or Layout()
         write_history(reduce(DataFrame.unionByName, versions), path, spec, layout)
+        counts = _loaded(spark, path, spec)
     else:
         layout = layout_of(spark, path, layout)
         table = _read_parts(spark, path, schema)
-        changes = layout.place(versions[0], spec)
+        changes = layout.place(versions[0], spec).withColumn("_was", F.lit(None).cast("boolean"))
         if state.has_past(follows):
             ended = layout.place(state.closing(follows, spec), spec).withColumns({
-                spec.current: F.lit(False), spec.stamp: F.current_timestamp() if now is None else now,
+                spec.current: F.lit(False), spec.stamp: F.current_timestamp() if now is None else now, "_was": F.lit(True),
             })
             changes = changes.unionByName(ended, allowMissingColumns=True)
         if late is not None:
@@ -366,9 +372,9 @@ def merge_derived(
             used = keys.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
             theirs = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])).join(keys, spec.key, "left_semi")
             redone = _changes(theirs, layout.place(versions[1], spec), keys, spec, now, complete=True)
-            changes = changes.unionByName(redone.drop("_was"))
-        _rewrite(path, table, written(changes, "changes"), spec)
-    return reduce(DataFrame.unionByName, [state.next_state(side, stored, spec) for side, stored in zip(sides, versions)])
+            changes = changes.unionByName(redone)
+        counts = _rewrite(path, table, written(changes, "changes"), spec)
+    return reduce(DataFrame.unionByName, [state.next_state(side, stored, spec) for side, stored in zip(sides, versions)]), counts
 
 
 def _changes(
@@ -417,6 +423,11 @@ def _first_load(path, staged, spec, run_id, layout, cuts, now) -> dict[str, int]
     spark = staged.sparkSession
     _keep_layout(spark, path, spec, layout)
     _replace(layout.place(scd2_build(staged, spec, cuts, now=now), spec), path, run_id)
+    return _loaded(spark, path, spec)
+
+
+def _loaded(spark: SparkSession, path: str, spec: HistorySpec) -> dict[str, int]:
+    """The counts of a first load."""
     counts = read_history(spark, path).agg(
         F.count_if(~F.col(spec.deleted)).alias("records_created"),
         F.lit(0).cast("bigint").alias("records_updated"),

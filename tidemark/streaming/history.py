@@ -4,21 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.ids import bucket_of
-from tidemark.operators import state
-from tidemark.operators.keyed import find_cuts
-from tidemark.session import written
-from tidemark.sources.tables import BUCKET, Layout, layout_of, merge_derived
+from tidemark.sources.states import BATCH, go_on
+from tidemark.sources.tables import BUCKET, Layout, layout_of
 from tidemark.spec import HistorySpec
 
-BATCH = "_batch"
-#: Every so many batches all states are stored again, so that reading them stays cheap.
-FOLD = 16
-
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """A parquet table as a stream; ``path`` may be a directory or a single file."""
@@ -53,28 +46,6 @@ def kept_rows(spark: SparkSession, store: str, batch_id: int, keys: DataFrame |
     return kept.select(*schema.names)
 
 
-def keep_states(changed: DataFrame, store: str, batch_id: int, spec: HistorySpec) -> None:
-    """Store the states that a batch changed; every ``FOLD``-th batch stores all of them."""
-    if batch_id % FOLD == FOLD - 1:
-        before = read_states(changed.sparkSession, store, batch_id, spec)
-        if before is not None:
-            changed = changed.unionByName(before.join(changed.select(spec.key), spec.key, "left_anti"))
-    changed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{store}/{BATCH}={batch_id}")
-
-
-def read_states(spark: SparkSession, store: str, batch_id: int, spec: HistorySpec) -> DataFrame | None:
-    """Each key's state before a batch: the last one stored, from the batches since all were; None if nothing is known."""
-    try:
-        rows = spark.read.parquet(store)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-    rows = rows.filter((F.col(BATCH) < batch_id) & (F.col(BATCH) >= batch_id // FOLD * FOLD - 1))
-    last = rows.groupBy(spec.key).agg(F.max_by(F.struct(*state.STATE), BATCH).alias("_state"))
-    return last.select(spec.key, "_state.*")
-
-
 def stream_scd2(
     stream: DataFrame,
     spec: HistorySpec,
@@ -94,28 +65,14 @@ def stream_scd2(
     after a failure gives what it gave before: its states are those of earlier batches, and
     merging versions that are there already changes nothing.
     """
-    store, states = path.rstrip("/") + "_staged", path.rstrip("/") + "_states"
+    store = path.rstrip("/") + "_staged"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         buckets = layout_of(spark, path, layout).buckets
         rows = keep_batch(prepare(batch), store, batch_id, spec, buckets)
-        known = read_states(spark, states, batch_id, spec)
-        cuts = find_cuts(rows, spec.key, spec.order(rows.columns), segments)
-        derived = written(state.advance(rows, spec, known, cuts), "derived")
-        total, behind = derived.agg(F.count(F.lit(1)), F.count_if("_late")).first()
-        if not total and known is None:
-            return
-        late = None
-        # Without states every key is derived anew, once; the next batch can go on.
-        if behind or (known is None and batch_id > 0):
-            keys = None if known is None else derived.filter("_late").select(spec.key).distinct()
-            past = kept_rows(spark, store, batch_id, keys, rows.schema, spec, buckets)
-            cuts = find_cuts(past, spec.key, spec.order(past.columns), segments)
-            late = written(state.advance(past, spec, None, cuts), "late")
-            derived = derived.withColumn("_late", F.lit(True)) if keys is None else derived
-        changed = merge_derived(spark, path, derived, rows.columns, spec, layout, late)
-        keep_states(changed, states, batch_id, spec)
+        past = lambda keys: kept_rows(spark, store, batch_id, keys, rows.schema, spec, buckets)
+        go_on(spark, path, rows, past, batch_id, spec, layout, segments)
 
     return (
         stream.writeStream.foreachBatch(merge)
