@@ -22,7 +22,6 @@ own, and share a component's name only if they are linked.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
