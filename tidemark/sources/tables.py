@@ -321,15 +321,15 @@ def _touched(changes: DataFrame, spec: HistorySpec) -> tuple[list, dict[str, int
 
 
 def _rewrite(path: str, table: DataFrame, changes: DataFrame, spec: HistorySpec) -> dict[str, int]:
-    """Bring written changes into the directories they name, by Spark's own partition overwrite.
+    """Bring changes into the directories they name, by Spark's own partition overwrite.
 
+    That replaces directories when all of them have been made, so they can be read for it.
     Doing it again changes nothing: versions that are there already only get the same flags.
     """
     parts, counts = _touched(changes, spec)
     if parts:
         merged = merge_on_key(_only(table, parts), changes.drop("_was"), [spec.version_id], merge_update_columns(spec, True))
-        # They are replaced while they are read: what replaces them is made first.
-        _write_parts(written(merged, "merged"), path, dynamic=True)
+        _write_parts(merged, path, dynamic=True)
     return counts
 
 
@@ -372,8 +372,9 @@ def merge_derived(
             used = keys.select(bucket_of(spec.key, layout.buckets).alias(BUCKET)).distinct().collect()
             theirs = table.filter(F.col(BUCKET).isin(*[r[0] for r in used])).join(keys, spec.key, "left_semi")
             redone = _changes(theirs, layout.place(versions[1], spec), keys, spec, now, complete=True)
-            changes = changes.unionByName(redone)
-        counts = _rewrite(path, table, written(changes, "changes"), spec)
+            # Read twice; without late keys that is a projection of what is written already.
+            changes = written(changes.unionByName(redone), "changes")
+        counts = _rewrite(path, table, changes, spec)
     return reduce(DataFrame.unionByName, [state.next_state(side, stored, spec) for side, stored in zip(sides, versions)]), counts
 
 
