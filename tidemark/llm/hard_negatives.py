@@ -85,6 +85,9 @@ class Block:
 
     def __init__(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, lists: np.ndarray):
         self.rows, self.ids, self.labels, self.lists = rows, ids, labels, lists
+        #: For products in doubles, while these hold them.
+        self.wide = rows.astype(np.float64)
+        self.most = float(np.abs(self.wide).max(initial=0)) * rows.shape[1]
         unit, self.length = directions(rows)
         self.unit = np.ascontiguousarray(unit.T)
         self.sorted = np.take_along_axis(self.unit, lists.astype(np.int64), axis=1)
@@ -125,11 +128,11 @@ class Block:
                 found = found[(self.unit[g, found] >= bottom) & (self.unit[g, found] <= top)]
         return np.union1d(found, zero) if len(zero) else found
 
-    def exactly(self, anchor: np.ndarray, found: np.ndarray) -> np.ndarray:
-        """Scores of the candidates; where most of the block is left, it is not copied for them."""
-        if 2 * len(found) > len(self.rows):
-            return scores(self.rows, anchor[None])[found, 0]
-        return scores(self.rows[found], anchor[None])[:, 0]
+    def scores(self, anchors: np.ndarray, found: np.ndarray | None = None) -> np.ndarray:
+        """Exact scores, rows by anchors, of all rows or some."""
+        if self.most * float(np.abs(anchors.astype(np.float64)).max(initial=0)) < 1 << 53:
+            return (self.wide if found is None else self.wide[found]) @ anchors.astype(np.float64).T
+        return scores(self.rows if found is None else self.rows[found], anchors)
 
 
 def first(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -146,7 +149,7 @@ def best(block: Block, anchors: np.ndarray, ids: np.ndarray, labels: np.ndarray,
     seeds = np.unique(np.linspace(0, len(block.rows) - 1, min(SEEDS, len(block.rows))).astype(int))
     for at in range(0, len(anchors), TOGETHER):
         some = range(at, min(at + TOGETHER, len(anchors)))
-        tried = scores(block.rows[seeds], anchors[at : at + TOGETHER])
+        tried, whole = block.scores(anchors[at : at + TOGETHER], seeds), None
         for i in some:
             wanted = (block.labels == labels[i]) == same
             wanted &= block.ids != ids[i]
@@ -158,7 +161,12 @@ def best(block: Block, anchors: np.ndarray, ids: np.ndarray, labels: np.ndarray,
                 continue
             found = block.candidates(anchors[i], min(b for b, _ in bounds), max(b for _, b in bounds))
             found = found[wanted[found]]
-            score = block.exactly(anchors[i], found)
+            # Where most of a block is left, all rows are scored for these anchors at once.
+            if 4 * len(found) > len(block.rows):
+                whole = np.ascontiguousarray(block.scores(anchors[at : at + TOGETHER]).T) if whole is None else whole
+                score = whole[i - at, found].astype(np.int64)
+            else:
+                score = block.scores(anchors[i : i + 1], found)[:, 0].astype(np.int64)
             for w, (low, high) in enumerate(bounds):
                 here = np.flatnonzero((score >= low) & (score <= high))
                 here = here[first(block.ids[found[here]], score[here], k)]
