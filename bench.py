@@ -20,6 +20,7 @@ HEADLINE = [
     "lookback_seeded", "merge_stats", "dim_merge", "upsert_latest", "snapshot_timestamp",
     "scd2_apply", "compact", "scheduled_runs", "metric_windows", "metric_alarms", "run_alarms", "metric_gapfill", "error_tail",
     "stream_scd2_history", "stream_metric_windows", "stream_metric_windows_late",
+    "heavy_key_history", "suite_after_merge", "alarms_by_dimension", "profile_by_extract",
 ]
 
 

@@ -2,12 +2,14 @@
 
 import subprocess
 import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from conftest import ROOT
 from tidemark.session import scratch, written
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
 OWN = """
 import sys
 sys.path.insert(0, {root!r})

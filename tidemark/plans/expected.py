@@ -48,7 +48,7 @@ SCD_ID = (
 VALID = f"name is not null and division in {listed(DIVISIONS)} and audit_phase__c in {listed(AUDIT_PHASES)}"
 CHANGED = """(rn = 1 or division <> coalesce(prev_division, '')
     or audit_phase__c <> coalesce(prev_audit_phase__c, ''))"""
-# The columns of the dimension.
+# The columns of the dimension.
 DIM_COLUMNS = """user_key, user_id, name, division, audit_phase__c, is_active, update_date, is_current,
     is_deleted, _dbt_updated_at, _extracted_at, _extraction_run_id, _scd_id, version_sequence"""
 

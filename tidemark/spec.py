@@ -53,7 +53,7 @@ USERS = HistorySpec(
     valid={"division": DIVISIONS, "audit_phase__c": AUDIT_PHASES},
 )
 
-# The staged column names on the left, the dimension's names on the right.
+# The staged column names on the left, the dimension's names on the right.
 USER_COLUMNS = {
     "id": "user_id",
     "isactive": "is_active",
